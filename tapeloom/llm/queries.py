@@ -6,27 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import merkle, mixing, sharding
+from tapeloom.llm import langid, merkle, mixing, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_docs(spark, sf_dir, "pages"), _docs(spark, sf_dir, "labels"))
+
+
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(_docs(spark, sf_dir))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_docs(spark, sf_dir))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_docs(spark, sf_dir)))
+
+
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(_docs(spark, sf_dir))
 
 
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir)).drop("copies")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": op1_url_rules,
+    "op2_tokens": op2_tokens,
     "op3_shards": op3_shards,
+    "op4_secrets": op4_secrets,
     "op6_merkle": op6_merkle,
+    "op8_languages": op8_languages,
     "op10_mixing": op10_mixing,
 }
