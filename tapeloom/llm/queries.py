@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import langid, merkle, mixing, secrets, sharding, tokens, urls
+from tapeloom.llm import decontaminate, langid, merkle, mixing, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -37,6 +37,10 @@ def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(_docs(spark, sf_dir), _docs(spark, sf_dir, "benchmark"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir)).drop("copies")
 
@@ -48,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op6_merkle": op6_merkle,
     "op8_languages": op8_languages,
+    "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,
 }

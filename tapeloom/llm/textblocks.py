@@ -14,7 +14,8 @@ BLOCK_CHARS = 3_000_000
 
 def blocks(batch: pa.RecordBatch, text_col: str = "text", limit: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each; one longer text is a slice of its own."""
-    sizes = np.array([len(x) if x is not None else 0 for x in _views(batch.column(text_col))], dtype=np.int64)
+    column = batch.column(text_col)
+    sizes = np.diff(utf8(column)[1]) if len(column) else np.zeros(0, dtype=np.int64)
     at = 0
     while at < len(sizes):
         total, end = sizes[at], at + 1
@@ -25,10 +26,6 @@ def blocks(batch: pa.RecordBatch, text_col: str = "text", limit: int = BLOCK_CHA
         at = end
 
 
-def _views(column: pa.Array) -> list:
-    return [x.as_buffer() if x.is_valid else None for x in column]
-
-
 @cache
 def letters() -> np.ndarray:
     """For each code point, whether it is a letter."""
@@ -60,3 +57,65 @@ def list_column(counts: np.ndarray, values: pa.Array) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+# Words from UTF-8 bytes: no Python string is made.
+
+#: Bytes that separate words: space and U+0009 to U+000D.
+SEPARATOR = np.zeros(256, dtype=bool)
+SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_powers = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit mixer (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd base and of its inverse modulo 2^64."""
+    global _powers
+    if len(_powers[0]) < n:
+        n = 1 << (n - 1).bit_length()
+        inverse = pow(_BASE, -1, 1 << 64)
+        _powers = tuple(np.concatenate((np.ones(1, dtype=np.uint64), np.cumprod(np.full(n - 1, b, dtype=np.uint64)))) for b in (_BASE, inverse))
+    return _powers
+
+
+def rolling(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2^64 of values[first:end], wherever these stand."""
+    up, down = powers(len(values) + 1)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(values * up[: len(values)], dtype=np.uint64)))
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column without nulls, and the offsets of its rows in them."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    whole = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
+    return whole[at[0] : at[-1]], at - at[0]
+
+
+def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last-plus-one byte of every word, and of every row the number of its first word (rows + 1 of them)."""
+    inside = ~SEPARATOR[raw]
+    start, stop = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    stop[:-1] &= ~inside[1:]
+    edge = at[(at > 0) & (at < len(raw))]
+    start[edge] |= inside[edge]
+    stop[edge - 1] |= inside[edge - 1]
+    first = np.flatnonzero(start)
+    return first, np.flatnonzero(stop) + 1, np.searchsorted(first, at, side="left")
+
+
+def word_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return rolling(_BYTE[raw], first, end)
