@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import decontaminate, langid, merkle, mixing, secrets, sharding, tokens, urls
+from tapeloom.llm import decontaminate, langid, merkle, mixing, phrases, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -33,6 +33,10 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(_docs(spark, sf_dir))
 
 
+def op7_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digest(phrases.remove(phrases.recurring(_docs(spark, sf_dir))))
+
+
 def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_docs(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_shards": op3_shards,
     "op4_secrets": op4_secrets,
     "op6_merkle": op6_merkle,
+    "op7_phrases": op7_phrases,
     "op8_languages": op8_languages,
     "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,

@@ -59,4 +59,16 @@ r as (select d.*, source_size, target, whole, rest, sum(d.size) over (partition
 select doc_id, size, source_size, round(target, 3) as target, cast((whole + case when rest > 0 and 2 * before + size <= 2 * rest then 1 else 0 end) * size as bigint) as taken from r
 """
 
-ORACLES = {"op3_shards": OP3, "op6_merkle": OP6, "op10_mixing": OP10}
+OP7 = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select r, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35),
+h as (select s.r, i, md5(array_to_string(w[i:i + 34], ' ')) as k from s join d using (r)),
+c as (select r, i from h join (select k from h group by k having count(*) > 1) using (k)),
+g as (select distinct r, unnest(range(i, i + 35)) as p from c),
+m as (select r, list(p) as ps, count(*) as n from g group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed,
+  sha256(array_to_string(case when n is null then w else list_select(w, list_filter(range(1, len(w) + 1), lambda p: not list_contains(ps, p))) end, ' ')) as kept_sha256
+from d left join m using (r)
+"""
+
+ORACLES = {"op3_shards": OP3, "op6_merkle": OP6, "op7_phrases": OP7, "op10_mixing": OP10}
