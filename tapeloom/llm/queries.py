@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import decontaminate, langid, merkle, mixing, phrases, secrets, sharding, tokens, urls
+from tapeloom.llm import decontaminate, langid, merkle, mixing, neardup, phrases, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -29,6 +29,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_docs(spark, sf_dir)))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_docs(spark, sf_dir))
+
+
 def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(_docs(spark, sf_dir))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_tokens": op2_tokens,
     "op3_shards": op3_shards,
     "op4_secrets": op4_secrets,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_merkle": op6_merkle,
     "op7_phrases": op7_phrases,
     "op8_languages": op8_languages,
