@@ -141,37 +141,55 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        names = pa.array(m.langs, pa.string())
         for whole in batches:
             for part in blocks(whole):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                hashed, script, at, first, end, doc, starts = _features(texts)
-                rows = len(texts)
-                if not len(first) or not m.langs:
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(["und"] * rows), pa.array(np.zeros(rows)), pa.array([[]] * rows, pa.list_(SPAN))], NAMES)
-                    continue
-                scores = np.add.reduceat(m.weights[hashed], at, axis=0)
-                allowed = m.scripts[script]
-                allowed |= ~allowed.any(axis=1, keepdims=True)
-                scores[~allowed] -= 1e6
-                n = np.bincount(doc, minlength=rows)
-                labels = viterbi(scores, np.cumsum(n) - n, n, switch).astype(np.int64)
-                size = (end - first).astype(np.float64)
-                shares = np.bincount(doc * len(m.langs) + labels, weights=size, minlength=rows * len(m.langs)).reshape(rows, -1)
-                total = shares.sum(axis=1)
-                best = shares.argmax(axis=1)
-                lang = [m.langs[b] if x else "und" for b, x in zip(best, total, strict=True)]
-                score = np.where(total > 0, shares.max(axis=1) / np.maximum(total, 1), 0.0)
-                new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1]))))
-                last = np.concatenate((new[1:], [len(doc)])) - 1
-                of = doc[new]
-                spans = pa.StructArray.from_arrays([pa.array((first[new] - starts[of]).astype(np.int32)), pa.array((end[last] - starts[of]).astype(np.int32)), names.take(pa.array(labels[new]))], fields=list(SPAN))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang), pa.array(score), list_column(np.bincount(of, minlength=rows), spans)], NAMES)
+                found = _label([t or "" for t in part.column("text").to_pylist()], shared.value, switch)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *found], NAMES)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(label, schema)
 
 
+def select_languages(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5, switch: float = SWITCH) -> DataFrame:
+    """The documents, with all their columns, that are mainly in one language of the model's.
+
+    Those without letters and those of whose letters no language has a share of ``least`` are left out.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in blocks(whole, text_col):
+                lang, score, _ = _label([t or "" for t in part.column(text_col).to_pylist()], shared.value, switch)
+                yield part.filter(pa.array((lang.to_numpy(zero_copy_only=False) != "und") & (score.to_numpy() >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _label(texts: list[str], m: Model, switch: float) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Language, score and spans of each text."""
+    hashed, script, at, first, end, doc, starts = _features(texts)
+    rows = len(texts)
+    if not len(first) or not m.langs:
+        return pa.array(["und"] * rows), pa.array(np.zeros(rows)), pa.array([[]] * rows, pa.list_(SPAN))
+    scores = np.add.reduceat(m.weights[hashed], at, axis=0)
+    allowed = m.scripts[script]
+    allowed |= ~allowed.any(axis=1, keepdims=True)
+    scores[~allowed] -= 1e6
+    n = np.bincount(doc, minlength=rows)
+    labels = viterbi(scores, np.cumsum(n) - n, n, switch).astype(np.int64)
+    shares = np.bincount(doc * len(m.langs) + labels, weights=(end - first).astype(np.float64), minlength=rows * len(m.langs)).reshape(rows, -1)
+    total = shares.sum(axis=1)
+    lang = [m.langs[b] if x else "und" for b, x in zip(shares.argmax(axis=1), total, strict=True)]
+    score = np.where(total > 0, shares.max(axis=1) / np.maximum(total, 1), 0.0)
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1]))))
+    last = np.concatenate((new[1:], [len(doc)])) - 1
+    of = doc[new]
+    spans = pa.StructArray.from_arrays(
+        [pa.array((first[new] - starts[of]).astype(np.int32)), pa.array((end[last] - starts[of]).astype(np.int32)), pa.array(m.langs, pa.string()).take(pa.array(labels[new]))], fields=list(SPAN)
+    )
+    return pa.array(lang), pa.array(score), list_column(np.bincount(of, minlength=rows), spans)
+
+
 SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 NAMES = ["doc_id", "lang_pred", "score", "spans"]
 

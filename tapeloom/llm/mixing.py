@@ -155,3 +155,16 @@ def mix(
         copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: the documents, with all their columns, each as often as it is taken; those not taken are gone."""
+    key = F.xxhash64(*docs.columns)
+    plan = mix(docs.withColumn("_row", key), id_col, text_col, source_col=source_col, keep=["_row"], **options)
+    copies = cut(plan.groupBy("doc_id", "_row").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0").withColumnRenamed("doc_id", "_id").withColumnRenamed("_row", "_key"))
+    every = docs.withColumn("_row", key).join(copies, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")))
+    if docs.select(key.alias("k")).groupBy("k").count().where("count > 1").isEmpty():
+        once = every
+    else:  # equal rows share their copies
+        once = every.dropDuplicates(["_id", "_row"])
+    return once.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)

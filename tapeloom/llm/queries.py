@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tapeloom.llm import decontaminate, langid, merkle, mixing, neardup, phrases, secrets, sharding, tokens, urls
 
 
@@ -64,4 +65,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_languages": op8_languages,
     "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
