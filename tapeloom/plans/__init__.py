@@ -1,6 +1,6 @@
 """Named plans and their registry."""
 
-from tapeloom.plans import market
+from tapeloom.plans import features, market, streams
 from tapeloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "market"]
+__all__ = ["QUERIES", "SQL", "features", "market", "streams"]
