@@ -1,6 +1,6 @@
 """Named plans and their registry."""
 
-from tapeloom.plans import features, market, streams
+from tapeloom.plans import checks, features, market, streams, text
 from tapeloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "features", "market", "streams"]
+__all__ = ["QUERIES", "SQL", "checks", "features", "market", "streams", "text"]
