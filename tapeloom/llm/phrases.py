@@ -4,11 +4,13 @@ A window is ``window`` consecutive words of one text. Its anchor is the least ha
 equal windows have equal anchors, and neighbouring windows mostly share one: an anchor stands for a run of windows.
 
 1. Anchors are counted over all documents. Those that occur very often (HOT_ANCHORS at most, each HOT times or
-   more) would put a large part of the rows under one key; they go another way.
-2. The other anchors' runs meet by anchor; the windows in them that start at two places or more are confirmed.
-3. Windows of hot anchors are counted with map-side sums. The most frequent (PATTERNS at most) are compiled to
-   Aho-Corasick automata, in shards of SHARD patterns, and every document is streamed through them in the last
-   scan: no row of theirs is shuffled. The other recurring ones are located by a join on the window.
+   more) would put a large part of the rows under one key. Their windows take the least of the other grams for
+   an anchor, those that are very common in such windows (HOT_GRAMS at most) left out too.
+2. Runs of windows meet by anchor; the windows in them that start at two places or more are confirmed.
+3. Windows of nothing but common grams have no anchor left. They are counted with map-side sums. The most
+   frequent (PATTERNS at most) are compiled to Aho-Corasick automata, in shards of SHARD patterns, and every
+   document is streamed through them in the last scan: no row of theirs is shuffled. The other recurring ones
+   are located by a join on the window.
 4. The places meet the documents again, and covered words go.
 """
 
@@ -31,16 +33,29 @@ GRAM = 5
 HOT = 1000
 #: So many of the commonest anchors are hot at most: any other has a share of the rows below 1 / HOT_ANCHORS.
 HOT_ANCHORS = 4096
+HOT_GRAMS = 65536
 #: So many windows are compiled to automata at most, so many in a shard; a driver and task hold no more, whatever the corpus.
 PATTERNS, SHARD = 8192, 2048
 #: Bytes of a window's hash that travel beside its anchor's 64 bits.
 SHORT = 6
 
 
+class Common:
+    """Anchors and grams that are too common to bring rows together; sorted hashes."""
+
+    def __init__(self, anchors: np.ndarray | None = None, grams: np.ndarray | None = None):
+        self.anchors = np.zeros(0, dtype=np.uint64) if anchors is None else np.sort(anchors)
+        self.every = np.union1d(self.anchors, np.zeros(0, dtype=np.uint64) if grams is None else grams)
+
+
+#: Stands for the anchor of a window that has none but common grams.
+NO_ANCHOR = np.uint64(2**64 - 1)
+
+
 class Block:
     """Words, windows and runs of windows with one anchor of a block of texts."""
 
-    def __init__(self, column: pa.Array, window: int):
+    def __init__(self, column: pa.Array, window: int, common: Common | None = None):
         self.raw, at = utf8(column)
         self.first, self.end, self.row_first = words(self.raw, at)
         self.hashes = word_hashes(self.raw, self.first, self.end)
@@ -52,12 +67,20 @@ class Block:
         self.place = np.arange(len(self.row)) - before[self.row]  # first word, in its text
         start = self.place + self.row_first[self.row]
         self.windows = rolling(self.hashes, start, start + window)
+        width = window - gram + 1
+        self.grams = np.zeros(0, dtype=np.uint64)
+        self.first_anchors = self.anchors = np.zeros(0, dtype=np.uint64)
+        self.hot = np.zeros(0, dtype=bool)  # windows whose first anchor is common
         if len(start):
             g = np.arange(len(self.hashes) - gram + 1)
-            grams = rolling(self.hashes, g, g + gram)
-            self.anchors = _sliding_min(grams, window - gram + 1)[start]
-        else:
-            self.anchors = np.zeros(0, dtype=np.uint64)
+            self.grams = np.minimum(rolling(self.hashes, g, g + gram), NO_ANCHOR - np.uint64(1))
+            self.first_anchors = self.anchors = _sliding_min(self.grams, width)[start]
+            self.hot = _in_sorted(self.anchors, common.anchors) if common else np.zeros(len(start), dtype=bool)
+            if self.hot.any():
+                rare = np.where(_in_sorted(self.grams, common.every), NO_ANCHOR, self.grams)
+                self.anchors = np.where(self.hot, _sliding_min(rare, width)[start], self.anchors)
+        self.start = start
+        self.width = width
         new = np.ones(len(start), dtype=bool)
         new[1:] = (self.anchors[1:] != self.anchors[:-1]) | (self.row[1:] != self.row[:-1])
         self.run = np.flatnonzero(new)
@@ -137,24 +160,52 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_h"))
 
 
-def _count(source: DataFrame, window: int, hot: np.ndarray | None) -> DataFrame:
-    """Without hot: anchors and the number of runs they have. With it: the hot anchors' windows and their number."""
+def _anchor_counts(source: DataFrame, window: int) -> DataFrame:
+    """Anchors and the number of runs of windows that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in blocks(whole):
-                b = Block(part.column("text"), window)
-                if hot is None:
-                    g, n = np.unique(b.run_anchors(), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
-                else:
-                    own = _in_sorted(b.anchors, hot)
-                    pair, n = np.unique(np.stack([b.anchors[own], b.windows[own]], axis=1), axis=0, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([_signed(np.ascontiguousarray(pair[:, 0])), _signed(np.ascontiguousarray(pair[:, 1])), pa.array(n)], ["g", "w", "n"])
+                g, n = np.unique(Block(part.column("text"), window).run_anchors(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
+
+    return source.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+
+
+def _gram_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
+    """Grams in windows of common anchors and how often they stand there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in blocks(whole):
+                b = Block(part.column("text"), window, common)
+                edge = np.zeros(len(b.grams) + 1, dtype=np.int64)
+                np.add.at(edge, b.start[b.hot], 1)
+                np.add.at(edge, b.start[b.hot] + b.width, -1)
+                g, n = np.unique(b.grams[np.cumsum(edge)[:-1] > 0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
+
+    return source.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+
+
+def _window_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
+    """Windows without an anchor, with their first one, and how often they start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in blocks(whole):
+                b = Block(part.column("text"), window, common)
+                own = b.anchors == NO_ANCHOR
+                pair, n = np.unique(np.stack([b.first_anchors[own], b.windows[own]], axis=1), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([_signed(np.ascontiguousarray(pair[:, 0])), _signed(np.ascontiguousarray(pair[:, 1])), pa.array(n)], ["g", "w", "n"])
+
+    return source.select("text").mapInArrow(run, "g long, w long, n long").groupBy("g", "w").agg(F.sum("n").alias("n"))
 
-    keys = ["g"] if hot is None else ["g", "w"]
-    schema = ", ".join(f"{k} long" for k in [*keys, "n"])
-    return source.select("text").mapInArrow(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+def _commonest(counts: DataFrame, key: str, least: int, most: int) -> np.ndarray:
+    """The keys of the ``most`` largest counts from ``least`` on. What is left over takes the general way."""
+    rows: list[Row] = counts.where(F.col("n") >= least).orderBy(F.col("n").desc(), key).limit(most).collect()
+    return np.array([r[key] for r in rows], dtype=np.int64).view(np.uint64)
 
 
 def _phrases(source: DataFrame, window: int, frequent: np.ndarray) -> np.ndarray:
@@ -179,17 +230,17 @@ def _phrases(source: DataFrame, window: int, frequent: np.ndarray) -> np.ndarray
     return np.stack([np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in rows]) if rows else np.zeros((0, window), dtype=np.uint64)
 
 
-def _cold_places(source: DataFrame, window: int, hot: np.ndarray) -> DataFrame:
-    """Confirmed runs of windows of anchors that aren't hot: doc_id, _h, a, b (first words, b exclusive)."""
+def _anchored_places(source: DataFrame, window: int, common: Common) -> DataFrame:
+    """Confirmed runs of windows that have an anchor: doc_id, _h, a, b (first words, b exclusive)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in blocks(whole):
-                b = Block(part.column("text"), window)
+                b = Block(part.column("text"), window, common)
                 if not len(b.run):
                     continue
                 g = b.run_anchors()
-                keep = ~_in_sorted(g, hot)
+                keep = g != NO_ANCHOR
                 size = np.where(keep, b.length, 0)
                 short = b.windows.view(np.uint8).reshape(-1, 8)[np.repeat(keep, b.length), :SHORT]
                 offsets = np.zeros(int(keep.sum()) + 1, dtype=np.int32)
@@ -253,20 +304,20 @@ def _confirmed(table: pa.Table) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _hot_places(source: DataFrame, window: int, hot: np.ndarray, frequent: np.ndarray, recurring: DataFrame) -> DataFrame:
-    """Places of recurring windows of hot anchors that no automaton holds."""
+def _common_places(source: DataFrame, window: int, common: Common, frequent: np.ndarray, again: DataFrame) -> DataFrame:
+    """Places of recurring windows without an anchor that no automaton holds."""
     known = np.sort(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in blocks(whole):
-                b = Block(part.column("text"), window)
-                own = np.flatnonzero(_in_sorted(b.anchors, hot) & ~_in_sorted(b.windows, known))
+                b = Block(part.column("text"), window, common)
+                own = np.flatnonzero((b.anchors == NO_ANCHOR) & ~_in_sorted(b.windows, known))
                 row = pa.array(b.row[own])
-                yield pa.RecordBatch.from_arrays([_signed(b.anchors[own]), _signed(b.windows[own]), part.column("doc_id").take(row), part.column("_h").take(row), pa.array(b.place[own].astype(np.int32))], ["g", "w", "doc_id", "_h", "a"])
+                yield pa.RecordBatch.from_arrays([_signed(b.first_anchors[own]), _signed(b.windows[own]), part.column("doc_id").take(row), part.column("_h").take(row), pa.array(b.place[own].astype(np.int32))], ["g", "w", "doc_id", "_h", "a"])
 
     places = source.mapInArrow(run, "g long, w long, doc_id long, _h long, a int")
-    return places.join(recurring.select("g", "w"), ["g", "w"]).select("doc_id", "_h", "a", (F.col("a") + 1).alias("b"))
+    return places.join(again.select("g", "w"), ["g", "w"]).select("doc_id", "_h", "a", (F.col("a") + 1).alias("b"))
 
 
 def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
@@ -278,17 +329,17 @@ def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     source = _source(docs, id_col, text_col)
-    top: list[Row] = _count(source, window, None).where(F.col("n") >= hot).orderBy(F.col("n").desc(), "g").limit(HOT_ANCHORS).collect()  # the rest goes by _cold_places
-    hot_anchors = np.sort(np.array([r["g"] for r in top], dtype=np.int64).view(np.uint64))
-    places = _cold_places(source, window, hot_anchors)
+    common = Common(_commonest(_anchor_counts(source, window), "g", hot, HOT_ANCHORS))
+    if len(common.anchors):
+        common = Common(common.anchors, _commonest(_gram_counts(source, window, common), "g", hot, HOT_GRAMS))
+    places = _anchored_places(source, window, common)
     machines = Automata(np.zeros((0, window), dtype=np.uint64))
-    if len(hot_anchors):
-        again = cut(_count(source, window, hot_anchors).where("n > 1"))
-        most = again.where(F.col("n") >= hot).orderBy(F.col("n").desc(), "w").limit(PATTERNS).collect()  # the rest goes by _hot_places
-        frequent = np.array([r["w"] for r in most], dtype=np.int64).view(np.uint64)
+    if len(common.anchors):
+        again = cut(_window_counts(source, window, common).where("n > 1"))
+        frequent = _commonest(again, "w", hot, PATTERNS)
         if len(frequent):
             machines = Automata(_phrases(source, window, frequent))
-        places = places.unionByName(_hot_places(source, window, hot_anchors, frequent, again))
+        places = places.unionByName(_common_places(source, window, common, frequent, again))
     shared = spark.sparkContext.broadcast(machines)
     # one row for each document and place: repeated rows of a document are the same document here
     by_doc = places.groupBy("doc_id", "_h").agg(F.collect_set(F.struct("a", "b")).alias("places"))
