@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,11 +90,10 @@ def importance(model: PipelineModel, numeric: Sequence[str], categorical: Sequen
     out, at = [], len(numeric)
     named = list(zip(numeric, values[:at].tolist(), strict=True))
     for c in categorical:
-        size = next(s for s in model.stages if getattr(s, "getOutputCols", lambda: [])() == [f"{c}__o"]).categorySizes[0]
+        size = next(s for s in model.stages if isinstance(s, OneHotEncoderModel) and s.getOutputCols() == [f"{c}__o"]).categorySizes[0]
         named.append((c, float(values[at : at + size].sum())))
         at += size
-    out = sorted(named, key=lambda x: (-x[1], x[0]))
-    return out
+    return sorted(named, key=lambda x: (-x[1], x[0]))
 
 
 def choose_best(metrics: DataFrame, metric: str, tie: str) -> DataFrame:
