@@ -233,6 +233,7 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select t.trade_id, t.symbol, f.sent_ts, f.funding_rate_pct, f.sent_id from v_s_trades t left join lateral (
         select * from v_s_sent s where s.symbol = t.symbol and s.sent_ts <= t.trade_ts and s.sent_ts >= t.trade_ts - interval 2 hour order by s.sent_ts desc, s.sent_id desc limit 1) f on true""",
     "funding_rate_pct",
+    9,
 )
 def asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest known context within two hours."""

@@ -113,6 +113,7 @@ query(
     "m01_trades_hourly",
     TRADES_HOURLY_SQL,
     "open_price high_price low_price close_price vwap_price base_volume quote_volume taker_sell_quote_volume taker_buy_quote_volume taker_buy_quote_ratio return_1h log_return_1h quote_volume_24h avg_return_24h realized_volatility_24h quote_volume_zscore_24h",
+    9,
 )(lambda spark, sf_dir: trades_hourly(view(spark, sf_dir, "v_trades")))
 
 
@@ -121,6 +122,7 @@ query(
     """select symbol, cast(date_trunc('minute', trade_ts) as timestamp) as minute_ts, arg_min(price, (trade_ts, trade_id)) as open_price, max(price) as high_price, min(price) as low_price,
       arg_max(price, (trade_ts, trade_id)) as close_price, sum(price * quantity) / sum(quantity) as vwap_price, sum(quantity) as base_volume, count(*) as trade_count from v_trades group by 1, 2""",
     "open_price high_price low_price close_price vwap_price base_volume",
+    9,
 )
 def minute_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = view(spark, sf_dir, "v_trades").withColumn("minute_ts", F.date_trunc("minute", "trade_ts").cast("timestamp_ntz"))
@@ -134,6 +136,7 @@ def minute_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
       select symbol, cast(date_trunc('hour', minute_ts) as timestamp) as hour_ts, arg_min(o, minute_ts) as open_price, max(h) as high_price, min(l) as low_price, arg_max(c, minute_ts) as close_price,
         sum(v * q) / sum(q) as vwap_price, sum(q) as base_volume, count(*) as candle_count from m group by 1, 2""",
     "open_price high_price low_price close_price vwap_price base_volume",
+    9,
 )
 def rerolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming minute candles to hours."""

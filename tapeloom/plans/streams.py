@@ -119,6 +119,7 @@ query("t15_lead_lag", _sql(LAG, "LEAD_LAG_ARBITRAGE", _context("case when w.s =
     """select symbol, time_bucket(interval 1 minute, trade_ts) as window_start, time_bucket(interval 1 minute, trade_ts) + interval 1 minute as window_end, arg_max(trade_id, (trade_ts, trade_id)) as trade_id, arg_min(price, (trade_ts, trade_id)) as open_price, max(price) as high_price, min(price) as low_price,
       arg_max(price, (trade_ts, trade_id)) as close_price, sum(quantity) as volume, sum(price * quantity) / sum(quantity) as vwap from v_trades group by symbol, time_bucket(interval 1 minute, trade_ts)""",
     "open_price high_price low_price close_price volume vwap",
+    9,
 )
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.candles(view(spark, sf_dir, "v_trades"))
