@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm.shared import cut
-from tapeloom.llm.textblocks import blocks, mix, rolling, utf8, word_hashes, words
+from tapeloom.llm.textblocks import blocks, list_column, mix, rolling, utf8, word_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bands of rows each: at similarity 0.8 a pair shares no band with probability (1 - 0.8^4)^24 = 3e-6.
-BANDS, ROWS = 24, 4
-#: Leaders that a bucket has in the first round; each later round has so many times more.
-LEADER_GROWTH = 8
+#: Bands of rows each: at similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^32 = 6e-5, at 0.85 with 3e-7.
+BANDS, ROWS = 32, 6
+#: One in so many shingles, by hash, serves to tell how much of a text others share.
+SAMPLE = 16
 
 
 def shingle_bags(column: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,17 +87,17 @@ def signatures(row: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: in
     return out
 
 
-def expanded(row: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: int) -> list[np.ndarray]:
-    """Each row's multiset as a sorted set of (shingle, occurrence) hashes: set overlap is multiset overlap."""
+def expanded(row: np.ndarray, shingle: np.ndarray, count: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's multiset as a sorted set of (shingle, occurrence) hashes, and its size: set overlap is multiset overlap."""
     e = np.repeat(np.arange(len(row)), count)
     nth = np.arange(len(e)) - (np.cumsum(count) - count)[e]
     every = mix(shingle[e] + nth.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     every = every[np.lexsort((every, row[e]))]
-    return np.split(every, np.cumsum(np.bincount(row[e], minlength=rows))[:-1])
+    return every, np.bincount(row[e], minlength=rows)
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, node (the text's MD5), n (shingles) and the bands' hashes."""
+    """doc_id, node (the text's MD5), n (shingles), the bands' hashes and a sample of the shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -110,9 +110,11 @@ def _signed(docs: DataFrame) -> DataFrame:
                     band = mix(band ^ bits[:, :, i]) + np.uint64(i + 1)
                 n = np.bincount(row, weights=count, minlength=rows).astype(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * BANDS), pa.array(band.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), pa.array(n), lists], ["doc_id", "node", "n", "bands"])
+                some = shingle % np.uint64(SAMPLE) == 0
+                sample = list_column(np.bincount(row[some], minlength=rows), pa.array(shingle[some].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), pa.array(n), lists, sample], ["doc_id", "node", "n", "bands", "sample"])
 
-    return docs.mapInArrow(run, "doc_id long, node binary, n long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, node binary, n long, bands array<long>, sample array<long>")
 
 
 def _bags(texts: DataFrame) -> DataFrame:
@@ -120,10 +122,10 @@ def _bags(texts: DataFrame) -> DataFrame:
         for whole in batches:
             for part in blocks(whole):
                 row, shingle, count = shingle_bags(part.column("text"))
-                bags = [x.tobytes() for x in expanded(row, shingle, count, part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(bags, pa.binary())], ["node", "bag"])
+                every, sizes = expanded(row, shingle, count, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column("node"), list_column(sizes, pa.array(every.view(np.int64)))], ["node", "bag"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, bag binary")
+    return texts.select("node", "text").mapInArrow(run, "node binary, bag array<long>")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
@@ -135,7 +137,7 @@ def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("bag_a"), batch.column("bag_b"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -178,58 +180,83 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str) ->
     are one shingle. Texts without words (null counts as empty) are linked to equal texts only. Rows of equal
     id and text are copies. An empty table gives an empty result; other columns are ignored.
 
-    Candidates are texts that share a bucket (band). In each round the buckets that still hold several components
-    name leaders; all members of other components are verified against them, and the components merge. A leader
-    has then met its whole bucket and leaves it. So a bucket of copies of one text is done after one round, no
-    pairs are made within components, and yet each pair of a bucket is verified unless it is connected already.
+    Candidates are texts that share a bucket (band). All members of a bucket are verified against its leader, the
+    text of which most is shared: originals come before their variants. So the copies and variants of one text
+    are one component without pairs among them. Where a bucket then still holds several components, its texts are
+    joined by an exact prefix filter on their bags, across components only, and verified. No pair of a bucket
+    that reaches the similarity is left out: it is connected already or verified.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("node"))
     signed = cut(_signed(source))
-    rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n", "bands")  # null ids last
-    nodes = cut(signed.groupBy("node").agg(F.min(rep).alias("r")).select("node", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"), F.col("r.bands").alias("bands")))
+    rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n", "bands", "sample")  # null ids last
+    nodes = cut(signed.groupBy("node").agg(F.min(rep).alias("r")).select("node", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"), F.col("r.bands").alias("bands"), F.col("r.sample").alias("sample")))
     member = nodes.where("n > 0").select("node", "n", F.explode("bands").alias("bucket"))
     shared = cut(member.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket"))
-    member = cut(member.join(shared, "bucket").select("bucket", "node", "n", F.col("node").alias("comp")))
-    comp = _link(source, member, similarity)
+    member = cut(member.join(shared.hint("merge"), "bucket").select("bucket", "node", "n"))
+    wanted = cut(member.select("node").distinct())
+    sample = nodes.join(wanted, "node", "left_semi").select("node", F.size("sample").alias("all"), F.explode("sample").alias("shingle"))
+    common = cut(sample.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle"))
+    score = cut(sample.join(common, "shingle").groupBy("node").agg((F.count(F.lit(1)) / F.max("all")).alias("score")))
+    member = cut(member.join(score, "node", "left").select("bucket", "node", "n", F.coalesce("score", F.lit(0.0)).alias("score")))
+    comp = _link(source, wanted, member, similarity)
     named = cut(nodes.select("node", "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     least = cut(named.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "node")).alias("l")).select("comp", F.col("l.rep").alias("class_id"), F.col("l.node").alias("class_node")))
     by_node = cut(named.join(least, "comp").select("node", "class_id", "class_node"))
     return signed.select("doc_id", "node", F.col("n").alias("n_shingles")).join(by_node, "node")
 
 
-def _link(source: DataFrame, member: DataFrame, similarity: float) -> DataFrame:
-    """Components of the verified links: node, comp. member: bucket, node, n, comp."""
-    wanted = member.select("node").distinct()
-    first = source.select("node", "text").join(cut(wanted), "node", "left_semi")
-    bags = cut(_bags(first).dropDuplicates(["node"]))
-    comp = cut(wanted.select("node", F.col("node").alias("comp")))
-    checked, leaders_per_bucket, round_ = None, 1, 0
-    while True:
-        open_ = cut(member.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"))
-        if open_.isEmpty():
-            return comp
-        member = member.join(open_, "bucket", "left_semi")
-        salt = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(leaders_per_bucket))
-        lead = cut(member.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "n", "comp")).alias("l")).select("bucket", F.col("l.node").alias("l_node"), F.col("l.n").alias("l_n"), F.col("l.comp").alias("l_comp")))
-        # sizes further apart than the similarity can't overlap enough
-        met = member.join(lead, "bucket").where((F.col("comp") != F.col("l_comp")) & (F.least("n", "l_n") >= F.greatest("n", "l_n") * similarity - 1e-9))
-        pairs = met.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        links = cut(_verified(pairs, bags, similarity))
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        member = member.join(lead.select("bucket", F.col("l_node").alias("node")), ["bucket", "node"], "left_anti")
-        if not links.isEmpty():
-            up = comp.select("node", "comp")
-            edges = links.join(up.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(up.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-            merged = components(cut(edges.where("a <> b").distinct()))
-            comp = cut(comp.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
-            member = member.drop("comp").join(comp, "node").select("bucket", "node", "n", "comp")
-        member = cut(member)
-        leaders_per_bucket *= LEADER_GROWTH
-        round_ += 1
+def _rest(active: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that may still reach the similarity: an exact prefix filter.
+
+    active: node, n, comp. c of a bag's n entries occur in bags of other components. A pair needs an overlap of
+    (n + m) * similarity / (1 + similarity), and can't have more than either's c. With entries ordered by how few
+    bags have them, those that no other component has first, it must share one of the first n - need + 1 of both,
+    where the smaller bag needs 2 * similarity / (1 + similarity) of its n and the larger one similarity. What is
+    shared up to the last such entry, and what is left after it on the shorter side, bounds the overlap.
+    """
+    ratio = similarity / (1 + similarity)
+    entry = bags.join(active.hint("merge"), "node").select("node", "n", "comp", F.explode("bag").alias("e"))
+    across = cut(entry.groupBy("e").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("df")).where("lo <> hi").select("e", "df"))
+    own = entry.join(across.hint("merge"), "e").groupBy("node", "n", "comp").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("es")).withColumn("c", F.size("es"))
+    slots = lambda share: (F.col("c") - F.ceil(F.col("n") * share - 1e-9) + 1).cast("int")
+    prefix = own.where(slots(similarity) > 0).select("node", "n", "comp", "c", slots(2 * ratio).alias("inner"), F.posexplode(F.slice("es", F.lit(1), slots(similarity))))
+    prefix = cut(prefix.select("node", "n", "comp", "c", "inner", "pos", F.col("col.e").alias("e")))
+    larger = prefix.select("e", *[F.col(x).alias(f"r_{x}") for x in ("node", "n", "comp", "c", "pos")])
+    need = (F.col("n") + F.col("r_n")) * ratio - 1e-6
+    after = F.least(F.col("c") - F.col("pos"), F.col("r_c") - F.col("r_pos"))
+    ordered = (F.col("n") < F.col("r_n")) | ((F.col("n") == F.col("r_n")) & (F.col("node") < F.col("r_node")))
+    met = prefix.where("pos < inner").join(larger.hint("merge"), "e").where(ordered & (F.col("comp") != F.col("r_comp")) & (F.least("pos", "r_pos") + after >= need))
+    shared = met.groupBy("node", "r_node", "n", "r_n").agg(F.count(F.lit(1)).alias("k"), F.max("pos").alias("i"), F.max("r_pos").alias("j"), F.max("c").alias("c"), F.max("r_c").alias("r_c"))
+    left = F.least(F.col("c") - F.col("i"), F.col("r_c") - F.col("j")) - 1
+    return shared.where(F.col("k") + left >= need).select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
+
+
+def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """node, comp after the links have joined components."""
+    if links.isEmpty():
+        return comp
+    of_a, of_b = (comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}")) for x in "ab")
+    edges = links.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
+    merged = components(cut(edges))
+    return cut(comp.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+
+
+def _link(source: DataFrame, wanted: DataFrame, member: DataFrame, similarity: float) -> DataFrame:
+    """Components of the verified links: node, comp. member: bucket, node, n, score."""
+    bags = cut(_bags(source.select("node", "text").join(wanted.hint("merge"), "node", "left_semi")).dropDuplicates(["node"]))
+    comp = wanted.select("node", F.col("node").alias("comp"))
+    lead = member.groupBy("bucket").agg(F.max(F.struct("score", "node", "n")).alias("l")).select("bucket", F.col("l.node").alias("l_node"), F.col("l.n").alias("l_n"))
+    # sizes further apart than the similarity can't overlap enough
+    near = F.least("n", "l_n") >= F.greatest("n", "l_n") * similarity - 1e-9
+    met = member.join(cut(lead).hint("merge"), "bucket").where((F.col("node") != F.col("l_node")) & near)
+    pairs = cut(met.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct())
+    comp = _merge(comp, cut(_verified(pairs, bags, similarity)))
+    placed = member.select("bucket", "node", "n").join(comp.hint("merge"), "node")
+    open_ = cut(placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"))
+    active = cut(placed.join(open_.hint("merge"), "bucket", "left_semi").select("node", "n", "comp").distinct())
+    rest = cut(_rest(active, bags, similarity).join(pairs, ["a", "b"], "left_anti"))
+    return _merge(comp, cut(_verified(rest, bags, similarity)))
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
