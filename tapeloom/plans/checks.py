@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.mlops import metrics as M
 from tapeloom.operators import series
-from tapeloom.plans.features import OVER
+from tapeloom.plans.features import by_symbol
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
 from tapeloom.quality import rules as Q
@@ -102,7 +102,7 @@ def assertion(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feature_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A25."""
-    df = view(spark, sf_dir, "v_hourly").select(F.to_date("hour_ts").alias("feature_date"), "symbol", F.lag("close_price", 4).over(OVER).alias("return_4h"), F.lag("quote_volume", 24).over(OVER).alias("volume_24h"))
+    df = view(spark, sf_dir, "v_hourly").select(F.to_date("hour_ts").alias("feature_date"), "symbol", F.lag("close_price", 4).over(by_symbol()).alias("return_4h"), F.lag("quote_volume", 24).over(by_symbol()).alias("volume_24h"))
     return Q.missing_profile(df, ["feature_date", "symbol"], ["return_4h", "volume_24h"])
 
 
@@ -114,7 +114,7 @@ def feature_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A26."""
-    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", OVER, {4: 0.003})
+    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", by_symbol(), {4: 0.003})
     r, d = F.col("future_return_4"), F.col("future_direction_4")
     return df.groupBy(F.to_date("hour_ts").alias("label_date"), "symbol").agg(
         F.count(F.lit(1)).alias("row_count"), F.count(r).alias("available"), F.count_if(d == "UP").alias("up_count"), F.count_if(d == "DOWN").alias("down_count"), F.count_if(d == "FLAT").alias("flat_count"),
@@ -190,7 +190,7 @@ def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ways to the same features: a window mean against a sum over a count, a price against its rounding."""
     h = view(spark, sf_dir, "v_hourly")
-    w = series.last_rows(OVER, 7)
+    w = series.last_rows(by_symbol(), 7)
     a = h.select("hour_ts", "symbol", F.avg("close_price").over(w).alias("mean_7"), F.col("close_price").alias("px"))
     b = h.select("hour_ts", "symbol", (F.sum("close_price").over(w) / F.count("close_price").over(w)).alias("mean_7"), F.round("close_price", 2).alias("px"))
     return M.parity(a, b, ["hour_ts", "symbol"], ["mean_7", "px"])
@@ -244,7 +244,7 @@ def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class shares by period."""
     from pyspark.sql import Window
 
-    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", OVER, {4: 0.003}).where("future_direction_4 is not null")
+    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", by_symbol(), {4: 0.003}).where("future_direction_4 is not null")
     g = df.groupBy(F.to_date("hour_ts").alias("day"), F.col("future_direction_4").alias("direction")).agg(F.count(F.lit(1)).alias("n"))
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("day")))
 
@@ -258,7 +258,7 @@ def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def completeness_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tapeloom.functions.columns import completeness
 
-    df = view(spark, sf_dir, "v_hourly").select("symbol", F.lag("close_price").over(OVER).alias("a"), F.lag("close_price", 24).over(OVER).alias("b"), F.lag("quote_volume", 168).over(OVER).alias("d"))
+    df = view(spark, sf_dir, "v_hourly").select("symbol", F.lag("close_price").over(by_symbol()).alias("a"), F.lag("close_price", 24).over(by_symbol()).alias("b"), F.lag("quote_volume", 168).over(by_symbol()).alias("d"))
     df = df.select("symbol", completeness(["a", "b", "d"]).alias("c"))
     return df.groupBy("symbol").agg(F.avg("c").alias("mean_completeness"), F.percentile("c", 0.1).alias("p10_completeness"), F.min("c").alias("min_completeness"))
 
@@ -275,7 +275,7 @@ def naive_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule predictions fanned out by a generator, scored in one pass."""
     from tapeloom.functions.columns import label_by, pct_change, safe_div
 
-    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", OVER, {4: 0.003}).withColumn("past", pct_change(F.col("close_price"), OVER, 4)).where("future_direction_4 is not null")
+    df = series.forward_labels(view(spark, sf_dir, "v_hourly"), "close_price", by_symbol(), {4: 0.003}).withColumn("past", pct_change(F.col("close_price"), by_symbol(), 4)).where("future_direction_4 is not null")
     mom = label_by([(F.col("past") >= 0.003, "UP"), (F.col("past") <= -0.003, "DOWN")], "FLAT")
     sig = label_by([(F.col("taker_buy_ratio") > 0.6, "UP"), (F.col("taker_buy_ratio") < 0.4, "DOWN")], "FLAT")
     pairs = F.array(F.struct(F.lit("momentum").alias("baseline_name"), mom.alias("predicted")), F.struct(F.lit("signal").alias("baseline_name"), sig.alias("predicted")))

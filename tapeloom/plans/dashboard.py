@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions import columns as C
 from tapeloom.mlops import training
 from tapeloom.operators import alerts, dedupe, series
-from tapeloom.plans.features import CORE_SQL, OVER, core_fact, wide_features
+from tapeloom.plans.features import CORE_SQL, by_symbol, core_fact, wide_features
 from tapeloom.plans.market import TRADES_HOURLY_SQL, reserve_enriched, trades_hourly
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
@@ -186,9 +186,9 @@ FEATURES = ["return_1", "return_4", "past_mean_24", "past_volume_z", "taker_z"]
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Past-only features, labels four hours ahead, splits by time, sample weight; rows without a label go."""
     px = F.col("close_price")
-    df = view(spark, sf_dir, "v_hourly").withColumns({"return_1": C.pct_change(px, OVER), "return_4": C.pct_change(px, OVER, 4)})
-    df = df.withColumns({"past_mean_24": series.past_rolling(F.col("return_1"), OVER, 24, "mean", 12), "past_volume_z": series.past_zscore(F.col("quote_volume"), OVER, 24, 6), "taker_z": series.past_zscore(F.col("taker_buy_ratio"), OVER, None, 24)})
-    df = series.forward_labels(df, "close_price", OVER, {4: 0.003})
+    df = view(spark, sf_dir, "v_hourly").withColumns({"return_1": C.pct_change(px, by_symbol()), "return_4": C.pct_change(px, by_symbol(), 4)})
+    df = df.withColumns({"past_mean_24": series.past_rolling(F.col("return_1"), by_symbol(), 24, "mean", 12), "past_volume_z": series.past_zscore(F.col("quote_volume"), by_symbol(), 24, 6), "taker_z": series.past_zscore(F.col("taker_buy_ratio"), by_symbol(), None, 24)})
+    df = series.forward_labels(df, "close_price", by_symbol(), {4: 0.003})
     df = series.time_split(df, ["symbol"], "hour_ts", [(0.7, "train"), (0.85, "validation"), (1.1, "test")])
     return df.withColumns({"sample_weight": C.clamp(F.abs("future_return_4") / 0.003, 0.1, 10.0), "feature_completeness": C.completeness(FEATURES)}).where("future_direction_4 is not null")
 

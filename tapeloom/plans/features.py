@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tapeloom.functions import columns as C
 from tapeloom.operators import dedupe, joins, series
@@ -11,7 +12,10 @@ from tapeloom.plans.market import funding_hourly, peg_cross_section, trades_hour
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
 
-OVER = series.by(["symbol"], ["hour_ts"])
+
+def by_symbol() -> WindowSpec:
+    """Rows of a symbol in time order."""
+    return series.by(["symbol"], ["hour_ts"])
 
 
 @query(
@@ -26,8 +30,8 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One shuffle and sort serve every window of a symbol."""
     px, vol = F.col("close_price"), F.col("quote_volume")
     return view(spark, sf_dir, "v_hourly").select(
-        "hour_ts", "symbol", C.pct_change(px, OVER, 4).alias("return_4h"), F.avg(px).over(series.last_rows(OVER, 7)).alias("mean_7"), F.stddev_samp(px).over(series.last_rows(OVER, 24)).alias("std_24"),
-        F.sum(vol).over(series.last_rows(OVER, 168)).alias("volume_168"), C.zscore(vol, series.last_rows(OVER, 24)).alias("volume_z"), C.delta(px, OVER, 24).alias("delta_24"),
+        "hour_ts", "symbol", C.pct_change(px, by_symbol(), 4).alias("return_4h"), F.avg(px).over(series.last_rows(by_symbol(), 7)).alias("mean_7"), F.stddev_samp(px).over(series.last_rows(by_symbol(), 24)).alias("std_24"),
+        F.sum(vol).over(series.last_rows(by_symbol(), 168)).alias("volume_168"), C.zscore(vol, series.last_rows(by_symbol(), 24)).alias("volume_z"), C.delta(px, by_symbol(), 24).alias("delta_24"),
     )
 
 
@@ -42,10 +46,10 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def past_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing of the row's own hour or later enters its mean and deviation."""
-    df = view(spark, sf_dir, "v_hourly").withColumn("ret", C.pct_change(F.col("close_price"), OVER))
+    df = view(spark, sf_dir, "v_hourly").withColumn("ret", C.pct_change(F.col("close_price"), by_symbol()))
     return df.select(
-        "hour_ts", "symbol", series.past_rolling(F.col("ret"), OVER, 4, "mean", 2).alias("past_mean_4"), series.past_rolling(F.col("ret"), OVER, 24, "sum", 12).alias("past_sum_24"),
-        series.past_zscore(F.col("quote_volume"), OVER, 24, 6).alias("past_volume_z"), series.past_zscore(F.col("taker_buy_ratio"), OVER, None, 24).alias("expanding_z"),
+        "hour_ts", "symbol", series.past_rolling(F.col("ret"), by_symbol(), 4, "mean", 2).alias("past_mean_4"), series.past_rolling(F.col("ret"), by_symbol(), 24, "sum", 12).alias("past_sum_24"),
+        series.past_zscore(F.col("quote_volume"), by_symbol(), 24, 6).alias("past_volume_z"), series.past_zscore(F.col("taker_buy_ratio"), by_symbol(), None, 24).alias("expanding_z"),
     )
 
 
@@ -57,8 +61,8 @@ def past_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     "cum_log_return drawdown",
 )
 def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = view(spark, sf_dir, "v_hourly").withColumn("lr", C.log_return(F.col("close_price"), OVER))
-    return series.drawdown(df, "lr", OVER, 24).select("hour_ts", "symbol", "cum_log_return", "drawdown")
+    df = view(spark, sf_dir, "v_hourly").withColumn("lr", C.log_return(F.col("close_price"), by_symbol()))
+    return series.drawdown(df, "lr", by_symbol(), 24).select("hour_ts", "symbol", "cum_log_return", "drawdown")
 
 
 @query(
@@ -73,10 +77,10 @@ def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returns ahead, direction beyond .1, .3 and 1 %, volatility of the next day, sample weight."""
-    df = view(spark, sf_dir, "v_hourly").withColumn("lr", C.log_return(F.col("close_price"), OVER))
-    df = series.forward_labels(df, "close_price", OVER, {1: 0.001, 4: 0.003, 24: 0.01})
+    df = view(spark, sf_dir, "v_hourly").withColumn("lr", C.log_return(F.col("close_price"), by_symbol()))
+    df = series.forward_labels(df, "close_price", by_symbol(), {1: 0.001, 4: 0.003, 24: 0.01})
     weight = C.clamp(F.abs("future_return_4") / 0.003, 0.1, 10.0)
-    return df.withColumns({"future_volatility_24": series.forward_volatility(F.col("lr"), OVER, 24, 12), "is_up_4": F.col("future_return_4") > 0, "sample_weight_4": F.coalesce(weight, F.lit(0.1))}).drop("close_price", "quote_volume", "taker_buy_ratio", "lr")
+    return df.withColumns({"future_volatility_24": series.forward_volatility(F.col("lr"), by_symbol(), 24, 12), "is_up_4": F.col("future_return_4") > 0, "sample_weight_4": F.coalesce(weight, F.lit(0.1))}).drop("close_price", "quote_volume", "taker_buy_ratio", "lr")
 
 
 @query(
@@ -130,7 +134,7 @@ def range_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     8,
 )
 def bollinger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.bollinger(view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", "close_price"), "close_price", OVER)
+    return series.bollinger(view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", "close_price"), "close_price", by_symbol())
 
 
 @query(
@@ -145,8 +149,8 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hour spine, forward fill, zero fill, difference and smoothing."""
     hourly = view(spark, sf_dir, "v_hourly")
     j = series.spine(hourly, ["symbol"], "hour_ts").join(hourly, ["symbol", "hour_ts"], "left")
-    f = j.select("symbol", "hour_ts", F.col("close_price").isNull().alias("was_missing"), series.fill("close_price", OVER).alias("px"), C.zero("quote_volume").alias("vol"))
-    return f.withColumns({"px_diff": C.delta(F.col("px"), OVER), "vol_mean_12": F.avg("vol").over(series.last_rows(OVER, 12))})
+    f = j.select("symbol", "hour_ts", F.col("close_price").isNull().alias("was_missing"), series.fill("close_price", by_symbol()).alias("px"), C.zero("quote_volume").alias("vol"))
+    return f.withColumns({"px_diff": C.delta(F.col("px"), by_symbol()), "vol_mean_12": F.avg("vol").over(series.last_rows(by_symbol(), 12))})
 
 
 @query(
@@ -342,7 +346,7 @@ query("m17_core_fact", CORE_SQL, "close_price market_momentum_score social_senti
     "feature_completeness",
 )
 def feature_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", F.lag("close_price", 1).over(OVER).alias("a"), F.lag("close_price", 24).over(OVER).alias("b"), F.col("close_price").alias("c"), F.lag("quote_volume", 168).over(OVER).alias("d"))
+    df = view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", F.lag("close_price", 1).over(by_symbol()).alias("a"), F.lag("close_price", 24).over(by_symbol()).alias("b"), F.col("close_price").alias("c"), F.lag("quote_volume", 168).over(by_symbol()).alias("d"))
     return df.select("hour_ts", "symbol", C.completeness(["a", "b", "c", "d"]).alias("feature_completeness"))
 
 

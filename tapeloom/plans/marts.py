@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions import columns as C
 from tapeloom.mlops import metrics as M
 from tapeloom.operators import dedupe, joins, series
-from tapeloom.plans.features import OVER
+from tapeloom.plans.features import by_symbol
 from tapeloom.plans.market import etf_daily, liquidation_buckets, macro_daily
 from tapeloom.plans.registry import SQL, query
 from tapeloom.plans.standins import table, view
@@ -65,7 +65,7 @@ def macro_etf(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def microstructure(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("taker_buy_ratio")
-    return view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", C.delta(t, OVER).alias("taker_delta_1"), C.delta(t, OVER, 4).alias("taker_delta_4"), series.past_rolling(t, OVER, 4, "mean", 2).alias("past_pressure_4"), (t > 0.65).cast("int").alias("is_buy_burst"))
+    return view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", C.delta(t, by_symbol()).alias("taker_delta_1"), C.delta(t, by_symbol(), 4).alias("taker_delta_4"), series.past_rolling(t, by_symbol(), 4, "mean", 2).alias("past_pressure_4"), (t > 0.65).cast("int").alias("is_buy_burst"))
 
 
 @query(
@@ -121,8 +121,8 @@ def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def research_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags, rolls and interactions of the symbol with the market."""
     px = F.col("close_price")
-    r = view(spark, sf_dir, "v_hourly").withColumns({"ret": C.pct_change(px, OVER), "market": F.avg(px).over(Window.partitionBy("hour_ts"))})
-    f = r.select("hour_ts", "symbol", F.lag("ret", 4).over(OVER).alias("lag_4"), F.lag("ret", 12).over(OVER).alias("lag_12"), series.past_rolling(F.col("ret"), OVER, 12, "mean", 6).alias("roll_12"), C.safe_div(px, F.col("market")).alias("relative_price"))
+    r = view(spark, sf_dir, "v_hourly").withColumns({"ret": C.pct_change(px, by_symbol()), "market": F.avg(px).over(Window.partitionBy("hour_ts"))})
+    f = r.select("hour_ts", "symbol", F.lag("ret", 4).over(by_symbol()).alias("lag_4"), F.lag("ret", 12).over(by_symbol()).alias("lag_12"), series.past_rolling(F.col("ret"), by_symbol(), 12, "mean", 6).alias("roll_12"), C.safe_div(px, F.col("market")).alias("relative_price"))
     return f.withColumn("symbol_interaction", F.col("roll_12") * F.col("relative_price"))
 
 

@@ -1,8 +1,8 @@
 """Alert detection over trades, order book, liquidations, sentiment and chain flows.
 
 Each detector works on all symbols at once; thresholds come from a parameter table with a ``default`` row. A
-window fires at most once: what the reference's fan-out joins decide row by row is here whether any order-book,
-sentiment or chain row near the window's end meets the condition.
+window fires at most once: it looks whether any order-book, sentiment or chain row near its end meets the
+condition, so there is no fan-out of matching rows.
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 import datetime
 import math
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -43,6 +45,12 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_imports_without_a_session():
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=root, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
