@@ -212,8 +212,9 @@ def _rest(active: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     active: node, n, comp. c of a bag's n entries occur in bags of other components. A pair needs an overlap of
     (n + m) * similarity / (1 + similarity), and can't have more than either's c. With entries ordered by how few
     bags have them, those that no other component has first, it must share one of the first n - need + 1 of both,
-    where the smaller bag needs 2 * similarity / (1 + similarity) of its n and the larger one similarity. What is
-    shared up to the last such entry, and what is left after it on the shorter side, bounds the overlap.
+    where the smaller bag needs 2 * similarity / (1 + similarity) of its n at least, the larger one similarity, and
+    both together what the pair needs. What is shared up to the last such entry, and what is left after it on the
+    shorter side, bounds the overlap.
     """
     ratio = similarity / (1 + similarity)
     entry = bags.join(active.hint("merge"), "node").select("node", "n", "comp", F.explode("bag").alias("e"))
@@ -226,7 +227,7 @@ def _rest(active: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     need = (F.col("n") + F.col("r_n")) * ratio - 1e-6
     after = F.least(F.col("c") - F.col("pos"), F.col("r_c") - F.col("r_pos"))
     ordered = (F.col("n") < F.col("r_n")) | ((F.col("n") == F.col("r_n")) & (F.col("node") < F.col("r_node")))
-    met = prefix.where("pos < inner").join(larger.hint("merge"), "e").where(ordered & (F.col("comp") != F.col("r_comp")) & (F.least("pos", "r_pos") + after >= need))
+    met = prefix.where("pos < inner").join(larger.hint("merge"), "e").where(ordered & (F.col("comp") != F.col("r_comp")) & (F.least("pos", "r_pos") + after >= need) & (F.col("pos") <= F.col("c") - need) & (F.col("r_pos") <= F.col("r_c") - need))
     shared = met.groupBy("node", "r_node", "n", "r_n").agg(F.count(F.lit(1)).alias("k"), F.max("pos").alias("i"), F.max("r_pos").alias("j"), F.max("c").alias("c"), F.max("r_c").alias("r_c"))
     left = F.least(F.col("c") - F.col("i"), F.col("r_c") - F.col("j")) - 1
     return shared.where(F.col("k") + left >= need).select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
