@@ -36,6 +36,8 @@ HOT_ANCHORS = 4096
 HOT_GRAMS = 65536
 #: So many windows are compiled to automata at most, so many in a shard; a driver and task hold no more, whatever the corpus.
 PATTERNS, SHARD = 8192, 2048
+#: Bytes of text that a task works on at once: hashes and prefix sums take some fifty times as much.
+BLOCK = 1_500_000
 #: Bytes of a window's hash that travel beside its anchor's 64 bits.
 SHORT = 6
 
@@ -165,7 +167,7 @@ def _anchor_counts(source: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 g, n = np.unique(Block(part.column("text"), window).run_anchors(), return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
 
@@ -177,7 +179,7 @@ def _gram_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 b = Block(part.column("text"), window, common)
                 edge = np.zeros(len(b.grams) + 1, dtype=np.int64)
                 np.add.at(edge, b.start[b.hot], 1)
@@ -193,7 +195,7 @@ def _window_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 b = Block(part.column("text"), window, common)
                 own = b.anchors == NO_ANCHOR
                 pair, n = np.unique(np.stack([b.first_anchors[own], b.windows[own]], axis=1), axis=0, return_counts=True)
@@ -215,7 +217,7 @@ def _phrases(source: DataFrame, window: int, frequent: np.ndarray) -> np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, dtype=np.uint64)
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 b = Block(part.column("text"), window)
                 w, at = np.unique(b.windows[_in_sorted(b.windows, known)], return_index=True)
                 at = np.flatnonzero(_in_sorted(b.windows, known))[at]
@@ -235,7 +237,7 @@ def _anchored_places(source: DataFrame, window: int, common: Common) -> DataFram
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 b = Block(part.column("text"), window, common)
                 if not len(b.run):
                     continue
@@ -310,7 +312,7 @@ def _common_places(source: DataFrame, window: int, common: Common, frequent: np.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 b = Block(part.column("text"), window, common)
                 own = np.flatnonzero((b.anchors == NO_ANCHOR) & ~_in_sorted(b.windows, known))
                 row = pa.array(b.row[own])
@@ -348,7 +350,7 @@ def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 raw, at = utf8(part.column("text"))
                 first, end, row_first = words(raw, at)
                 edge = np.zeros(len(first) + 1, dtype=np.int64)
