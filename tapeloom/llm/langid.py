@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.shared import cut
 from tapeloom.llm.textblocks import blocks, code_points, letters, list_column, lowered, runs
 
 #: Letter trigrams are hashed to so many buckets.
@@ -20,6 +21,11 @@ SWITCH = 12.0
 MAX_ROWS_PER_LANG = 4000
 #: A script counts as one of a language's from this share of its letters on.
 SCRIPT_SHARE = 0.01
+#: A text is in a language if its mean log score a letter lies within so many standard deviations of the labelled rows'.
+#: Short clean texts with keys, addresses or a licence line in them go to about 7, foreign ones of 50 letters and more begin at about 10.
+SPREAD = 8.0
+#: Labelled texts are scored in blocks of about so many characters: their trigrams are sorted, which takes many times that in memory.
+SCORED_CHARS = 300_000
 
 #: First code points of Unicode blocks and the script that starts there; script 0 is Latin and what isn't listed.
 SCRIPT_STARTS = (
@@ -35,6 +41,7 @@ class Model:
     langs: list[str]
     weights: np.ndarray  # BUCKETS x languages, log probabilities
     scripts: np.ndarray  # SCRIPTS x languages, whether the language is written in it
+    own: np.ndarray | None = None  # 3 x languages, of labelled texts: mean log score a letter, its variance, and that of a letter within a text
 
 
 def _features(texts: list[str]) -> tuple[np.ndarray, ...]:
@@ -54,8 +61,8 @@ def _features(texts: list[str]) -> tuple[np.ndarray, ...]:
     return hashed, script, np.cumsum(end - first) - (end - first), first, end, np.searchsorted(starts, first, side="right") - 1, starts
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_rows: int = MAX_ROWS_PER_LANG) -> Model:
-    """Trigram and script counts for each language.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_rows: int = MAX_ROWS_PER_LANG, bounded: bool = True) -> Model:
+    """Trigram and script counts for each language and, if ``bounded``, how well its own texts fit.
 
     Languages with more than ``max_rows`` rows are thinned by a hash of the id to about that many; whole texts
     count. What reaches the driver is the model: one number for each bucket and language. Null texts and null
@@ -71,6 +78,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
             shares = F.when(F.col("lang") == lang, max_rows / n).otherwise(shares)
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("langid")), F.lit(1_000_000)) / 1_000_000
     sample = rows.where(draw < shares).select("text", "lang")
+    if bounded and langs:
+        sample = cut(sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = np.zeros((len(langs), BUCKETS), dtype=np.int64)
@@ -95,7 +104,48 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     grams, written = both[:, :BUCKETS], both[:, BUCKETS:]
     weights = np.log((grams + 0.5) / (grams.sum(axis=1, keepdims=True) + 0.5 * BUCKETS))
     scripts = written >= SCRIPT_SHARE * np.maximum(1, written.sum(axis=1, keepdims=True))
-    return Model(langs, np.ascontiguousarray(weights.T.astype(np.float32)), scripts.T & (written.T > 0))
+    model = Model(langs, np.ascontiguousarray(weights.T.astype(np.float32)), scripts.T & (written.T > 0))
+    if bounded:
+        model.own = _own_scores(sample, model, grams)
+    return model
+
+
+def _own_scores(sample: DataFrame, model: Model, grams: np.ndarray) -> np.ndarray:
+    """How the labelled texts score in their own language; see ``Model.own``.
+
+    A text's own trigrams are taken out of the counts before it is scored, so it scores as one that wasn't learned
+    from. Equal texts count once, and only words in the language's scripts. One row for each language comes back.
+    """
+    at = {x: i for i, x in enumerate(model.langs)}
+    shared = sample.sparkSession.sparkContext.broadcast((grams, grams.sum(axis=1), model.scripts))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, sums, scripts = shared.value
+        for whole in batches:
+            for part in blocks(whole, limit=SCORED_CHARS):
+                own = np.array([at[x] for x in part.column("lang").to_pylist()])
+                hashed, script, start, first, end, doc, _ = _features(part.column("text").to_pylist())
+                if not len(first):
+                    continue
+                of_letter = np.repeat(doc, end - first)
+                pair, which, k = np.unique(of_letter * BUCKETS + hashed, return_inverse=True, return_counts=True)
+                of, gram = pair // BUCKETS, pair % BUCKETS
+                all_ = np.bincount(of_letter, minlength=len(own))
+                value = np.log((grams[own[of], gram] - k + 0.5) / (sums[own[of]] - all_[of] + 0.5 * BUCKETS))[which]
+                word = np.add.reduceat(value, start)
+                fits = scripts[script, own[doc]]
+                word, size, doc = word[fits], (end - first)[fits], doc[fits]
+                n = np.bincount(doc, weights=size, minlength=len(own))
+                mean = np.bincount(doc, weights=word, minlength=len(own)) / np.maximum(n, 1)
+                spread = np.bincount(doc, weights=(word - mean[doc] * size) ** 2, minlength=len(own))
+                has = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(own[has].astype(np.int32)), *(pa.array(x[has]) for x in (n, mean, spread))], ["lang", "n", "mean", "spread"])
+
+    found = sample.dropDuplicates(["text", "lang"]).mapInArrow(score, "lang int, n double, mean double, spread double")
+    table = found.groupBy("lang").agg(F.avg("mean").alias("m"), F.var_pop("mean").alias("v"), (F.sum("spread") / F.sum("n")).alias("w")).toPandas()
+    out = np.zeros((3, len(model.langs)))
+    out[:, table["lang"]] = table[["m", "v", "w"]].to_numpy().T
+    return out
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -134,7 +184,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     Returns doc_id, lang_pred (the language of most letters; ``und`` where the text is null or has no letter),
     score (its share of the letters, 0 for ``und``) and spans (array of start, end, lang; code points from 0, end
     exclusive; from the first word of a run of words in one language to its last). A word is a run of letters.
-    Ties go to the language that sorts first. One row for each row; other columns are ignored.
+    Ties go to the language that sorts first. Every word gets the best of the model's languages, also where none
+    fits; ``select_languages`` judges that. One row for each row; other columns are ignored.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # buckets x languages, whatever the corpus
@@ -149,34 +200,62 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(label, schema)
 
 
-def select_languages(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5, switch: float = SWITCH) -> DataFrame:
+def select_languages(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5, switch: float = SWITCH, spread: float = SPREAD) -> DataFrame:
     """The documents, with all their columns, that are mainly in one language of the model's.
 
-    Those without letters and those of whose letters no language has a share of ``least`` are left out.
+    Words in a script that no language of the model's is written in are in no language. Left out are documents
+    without letters, those of whose letters no language has a share of ``least``, and those of which the words in
+    the main language score worse a letter than its labelled texts do, by more than ``spread`` standard deviations
+    for a text of that many letters. A model without ``own`` sets no such bound.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in blocks(whole, text_col):
-                lang, score, _ = _label([t or "" for t in part.column(text_col).to_pylist()], shared.value, switch)
-                yield part.filter(pa.array((lang.to_numpy(zero_copy_only=False) != "und") & (score.to_numpy() >= least)))
+                yield part.filter(pa.array(_in_language([t or "" for t in part.column(text_col).to_pylist()], shared.value, least, switch, spread)))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def _label(texts: list[str], m: Model, switch: float) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """Language, score and spans of each text."""
-    hashed, script, at, first, end, doc, starts = _features(texts)
-    rows = len(texts)
-    if not len(first) or not m.langs:
-        return pa.array(["und"] * rows), pa.array(np.zeros(rows)), pa.array([[]] * rows, pa.list_(SPAN))
+def _labelled_words(features: tuple[np.ndarray, ...], rows: int, m: Model, switch: float) -> tuple[np.ndarray, ...]:
+    """Of all words (one at least): text, first letter, end, label, log score under it, whether in a script of some language; starts of the texts."""
+    hashed, script, at, first, end, doc, starts = features
     scores = np.add.reduceat(m.weights[hashed], at, axis=0)
     allowed = m.scripts[script]
-    allowed |= ~allowed.any(axis=1, keepdims=True)
+    known = allowed.any(axis=1)
+    allowed |= ~known[:, None]
+    free = scores.copy()
     scores[~allowed] -= 1e6
     n = np.bincount(doc, minlength=rows)
     labels = viterbi(scores, np.cumsum(n) - n, n, switch).astype(np.int64)
+    return doc, first, end, labels, free[np.arange(len(labels)), labels], known, starts
+
+
+def _in_language(texts: list[str], m: Model, least: float, switch: float, spread: float) -> np.ndarray:
+    """Whether each text is in a language; see ``select_languages``."""
+    rows, features = len(texts), _features(texts)
+    if not m.langs or not len(features[3]):
+        return np.zeros(rows, dtype=bool)
+    doc, first, end, labels, score, known, _ = _labelled_words(features, rows, m, switch)
+    size = (end - first).astype(np.float64)
+    sums = lambda x: np.bincount((doc * len(m.langs) + labels)[known], weights=x[known], minlength=rows * len(m.langs)).reshape(rows, -1)
+    shares, total = sums(size), np.bincount(doc, weights=size, minlength=rows)
+    main = shares.argmax(axis=1)
+    n = shares[np.arange(rows), main]
+    keep = (n > 0) & (n >= least * total)
+    if m.own is not None:
+        mean, of_text, of_letter = m.own[:, main]
+        keep &= sums(score.astype(np.float64))[np.arange(rows), main] >= n * (mean - spread * np.sqrt(of_text + of_letter / np.maximum(n, 1)))
+    return keep
+
+
+def _label(texts: list[str], m: Model, switch: float) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Language, score and spans of each text."""
+    rows, features = len(texts), _features(texts)
+    if not m.langs or not len(features[3]):
+        return pa.array(["und"] * rows), pa.array(np.zeros(rows)), pa.array([[]] * rows, pa.list_(SPAN))
+    doc, first, end, labels, _, _, starts = _labelled_words(features, rows, m, switch)
     shares = np.bincount(doc * len(m.langs) + labels, weights=(end - first).astype(np.float64), minlength=rows * len(m.langs)).reshape(rows, -1)
     total = shares.sum(axis=1)
     lang = [m.langs[b] if x else "und" for b, x in zip(shares.argmax(axis=1), total, strict=True)]
@@ -201,5 +280,5 @@ def is_held_out(doc_id: Column) -> Column:
 
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn from the rows that aren't held out and label all rows; adds held_out to what ``identify`` returns."""
-    model = fit(docs.where(~is_held_out(F.col(id_col))), text_col, lang_col, id_col)
+    model = fit(docs.where(~is_held_out(F.col(id_col))), text_col, lang_col, id_col, bounded=False)
     return identify(docs, model, id_col, text_col).withColumn("held_out", is_held_out(F.col("doc_id")))

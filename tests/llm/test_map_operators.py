@@ -67,6 +67,30 @@ def test_languages_edges(spark, edge):
     assert {r["lang_pred"] for r in langid.identify(edge, none).collect()} == {"und"}
 
 
+FOREIGN = [
+    "\u041d\u0430 \u0441\u043b\u0435\u0434\u0443\u044e\u0449\u0435\u0435 \u0443\u0442\u0440\u043e \u043c\u0430\u043b\u044c\u0447\u0438\u043a \u0440\u0430\u043d\u043e \u0432\u0441\u0442\u0430\u043b",
+    "\u7b2c\u4e8c\u5929\u65e9\u4e0a\u90a3\u4e2a\u7537\u5b69\u5f88\u65e9\u5c31\u8d77\u5e8a\u4e86",
+    "\u0641\u064a \u0635\u0628\u0627\u062d \u0627\u0644\u064a\u0648\u0645 \u0627\u0644\u062a\u0627\u0644\u064a \u0627\u0633\u062a\u064a\u0642\u0638 \u0627\u0644\u0648\u0644\u062f",
+    "La mattina seguente il ragazzo si alz\u00f2 presto e and\u00f2 verso il mercato della piccola citt\u00e0, dove sua madre vendeva frutta e verdura ogni giorno.",
+    "Nast\u0119pnego ranka ch\u0142opiec wsta\u0142 wcze\u015bnie i poszed\u0142 na targ ma\u0142ego miasteczka, gdzie jego matka codziennie sprzedawa\u0142a owoce i warzywa.",
+    "Seuraavana aamuna poika her\u00e4si aikaisin ja l\u00e4hti pienen kaupungin torille, jossa h\u00e4nen \u00e4itins\u00e4 myi joka p\u00e4iv\u00e4 hedelmi\u00e4.",
+    "Ertesi sabah \u00e7ocuk erken kalkt\u0131 ve annesinin her g\u00fcn meyve ve sebze satt\u0131\u011f\u0131 k\u00fc\u00e7\u00fck kasaban\u0131n pazar\u0131na do\u011fru y\u00fcr\u00fcd\u00fc.",
+    "xqzv kjwqp vvkzt qhjxw zzpfk wqxgj bvkqz jjxwv kqpzx vwkjq hzxqk pvjwz",
+]
+
+
+def test_languages_foreign_texts_leave_and_labelled_ones_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    clean = {r["doc_id"]: r["text"] for r in docs.where("text rlike '[a-z]'").collect()}
+    english = max((r["text"] for r in docs.where("lang = 'en'").collect()), key=len)
+    planted = [(-1 - i, t, None) for i, t in enumerate(FOREIGN)]
+    planted += [(-100, f"{english[:100]} {FOREIGN[0] * 5}", None), (-200, f"{english[:600]} {FOREIGN[0]}", None)]  # the smaller and the larger part is English
+    model = langid.fit(docs.where(~langid.is_held_out(F.col("doc_id"))))
+    got = {r["doc_id"] for r in langid.select_languages(docs.unionByName(spark.createDataFrame(planted, docs.schema)), model).collect()}
+    assert {d for d in got if d < 0} == {-200}
+    assert set(clean) <= got
+
+
 def brute_entropy(s, threshold, window=secrets.WINDOW):
     hit = set()
     for i in range(len(s) - window + 1):
