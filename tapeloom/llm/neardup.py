@@ -21,8 +21,8 @@ from tapeloom.llm.textblocks import blocks, list_column, mix, rolling, utf8, wor
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bands of rows each: at similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^32 = 6e-5, at 0.85 with 3e-7.
-BANDS, ROWS = 32, 6
+#: Bands of rows each: at similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^42 = 2.8e-6, at 0.85 with 2e-9.
+BANDS, ROWS = 42, 6
 #: One in so many shingles, by hash, serves to tell how much of a text others share.
 SAMPLE = 16
 

@@ -62,6 +62,11 @@ def test_signatures_estimate_weighted_jaccard(a, b):
     assert abs((s[0] == s[1]).mean() - want) < 4 * (want * (1 - want) / m) ** 0.5 + 1e-9
 
 
+def test_bands_miss_no_more_than_before():
+    for s in (0.8, 0.85, 0.9, 0.95):
+        assert (1 - s**nd.ROWS) ** nd.BANDS <= (1 - s**4) ** 24
+
+
 def test_documents_match_all_pairs(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
