@@ -82,11 +82,11 @@ class Items:
     of its n // (d + 1) word sequences can't match: such sequences place the windows.
     """
 
-    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY, seed: int = 7):
+    def __init__(self, ids: list[int | None], texts: list[str], similarity: float = SIMILARITY, seed: int = 7):
         symbols, first = normal_words(texts)
         n = np.diff(first)
         kept = np.flatnonzero(n)
-        self.ids = np.array(ids, dtype=np.int64)[kept]
+        self.ids = [ids[i] for i in kept]
         self.symbols, self.first, self.n = symbols, first[:-1][kept], n[kept]
         self.edits = np.floor((1 - similarity) * self.n + 1e-9).astype(np.int64)
         self.embedded = embed(symbols, self.first, self.n, self.first, self.first + self.n) if len(kept) else np.zeros((0, 0), np.uint64)
@@ -124,8 +124,8 @@ class Items:
         return tuple(np.unique(np.concatenate(found, axis=1), axis=1))
 
     def match(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(row, item, first word, end word, edits): the best window of each item in each text, words from 0."""
-        if not len(self.ids) or not texts:
+        """(row, item's number, first word, end word, edits): the best window of each item in each text, words from 0."""
+        if not self.ids or not texts:
             return []
         symbols, row_first = normal_words(texts)
         rows, items, starts = self.candidates(symbols, row_first)
@@ -148,12 +148,12 @@ class Items:
                 if cost <= d:
                     offer = (cost, a + x - int(row_first[r]), a + y - int(row_first[r]))
                     best[r, i] = min(best.get((r, i), offer), offer)
-        return [(r, int(self.ids[i]), x, y, cost) for (r, i), (cost, x, y) in sorted(best.items())]
+        return [(r, i, x, y, cost) for (r, i), (cost, x, y) in sorted(best.items())]
 
 
 def _passes(benchmark: DataFrame, item_col: str, item_text: str, similarity: float) -> Iterator[Items]:
-    """The stated query set, a block of items at a time."""
-    rows = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").orderBy("i", "t").toLocalIterator()
+    """The stated query set, items without an id too, a block of items at a time."""
+    rows = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).alias("t")).where("t is not null").orderBy("i", "t").toLocalIterator()
     block: list = []
     for r in rows:
         block.append(r)
@@ -169,17 +169,18 @@ def search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
     Returns doc_id, item_id, word_start, word_end (words from 0, end exclusive; words are runs of letters and
     digits, case ignored), edits and similarity: the window with the fewest edits, the first of equals. Null
-    and wordless texts and items match nothing. Rows of repeated documents repeat. No shuffle: items go to the
-    documents in blocks of ITEMS_PER_PASS.
+    and wordless texts and items match nothing. Items of null id are left out, as a match can't name them
+    (``decontaminate`` keeps them). Items of one id are items of their own, each with a row for its own match. Rows
+    of repeated documents repeat. No shuffle: items go to the documents in blocks of ITEMS_PER_PASS.
     """
     schema = "doc_id long, item_id long, word_start int, word_end int, edits int, similarity double"
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = None
-    for items in _passes(benchmark, item_col, item_text, similarity):
+    for items in _passes(benchmark.where(F.col(item_col).cast("long").isNotNull()), item_col, item_text, similarity):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            sizes = dict(zip(shared.value.ids.tolist(), shared.value.n.tolist(), strict=True))
+            ids, sizes = shared.value.ids, shared.value.n.tolist()
             for whole in batches:
                 for part in blocks(whole):
                     hits = shared.value.match(part.column("text").to_pylist())
@@ -187,7 +188,7 @@ def search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                         row, item, a, b, cost = map(list, zip(*hits, strict=True))
                         likeness = [1 - c / sizes[i] for c, i in zip(cost, item, strict=True)]
                         yield pa.RecordBatch.from_arrays(
-                            [part.column("doc_id").take(pa.array(row)), pa.array(item, pa.int64()), *(pa.array(x, pa.int32()) for x in (a, b, cost)), pa.array(likeness)],
+                            [part.column("doc_id").take(pa.array(row)), pa.array([ids[i] for i in item], pa.int64()), *(pa.array(x, pa.int32()) for x in (a, b, cost)), pa.array(likeness)],
                             ["doc_id", "item_id", "word_start", "word_end", "edits", "similarity"],
                         )
 
@@ -197,7 +198,7 @@ def search(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The documents, with all their columns, in which no item is found."""
+    """The documents, with all their columns, in which no item is found, items of null id and of equal ids included."""
     for items in _passes(benchmark, item_col, item_text, similarity):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 

@@ -67,6 +67,15 @@ def test_documents_match_exact_containment(spark):
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} - {r["doc_id"] for r in left.select("doc_id").collect()} == {x for x, _ in want}
 
 
+def test_items_of_null_and_equal_ids(spark):
+    long, short = " ".join(f"w{i}" for i in range(20)), "one two three four five"
+    docs = spark.createDataFrame([(1, long.replace("w3", "x")), (2, short), (3, "secret item of no id"), (4, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, long), (7, short), (None, "secret item of no id")], "item_id long, text string")
+    got = [(r["doc_id"], r["item_id"], r["edits"], r["similarity"]) for r in d.search(docs, bench).collect()]
+    assert sorted(got) == [(1, 7, 1, 0.95), (2, 7, 0, 1.0)]
+    assert [r["doc_id"] for r in d.decontaminate(docs, bench).collect()] == [4]
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "a b c d", 1), (4, "a b c d", 1), (4, "a b c d", 1)], "doc_id long, text string, item_id long")
     bench = spark.createDataFrame([(1, "a b, C"), (2, None), (None, "a"), (3, "!!"), (4, "")], "item_id long, text string")
