@@ -1,17 +1,22 @@
-"""Substring dedup: recurring passages confirmed by content-chosen anchors, frequent ones located by automata.
-
-A window is ``window`` consecutive words of one text. Its anchor is the least hash of the word 5-grams in it, so
-equal windows have equal anchors, and neighbouring windows mostly share one: an anchor stands for a run of windows.
-
-1. Anchors are counted over all documents. Those that occur very often (HOT_ANCHORS at most, each HOT times or
-   more) would put a large part of the rows under one key. Their windows take the least of the other grams for
-   an anchor, those that are very common in such windows (HOT_GRAMS at most) left out too.
-2. Runs of windows meet by anchor; the windows in them that start at two places or more are confirmed.
-3. Windows of nothing but common grams have no anchor left. They are counted with map-side sums. The most
-   frequent (PATTERNS at most) are compiled to Aho-Corasick automata, in shards of SHARD patterns, and every
-   document is streamed through them in the last scan: no row of theirs is shuffled. The other recurring ones
-   are located by a join on the window.
-4. The places meet the documents again, and covered words go.
+"""Substring dedup: recurring passages are confirmed, compiled to sharded automata, and located by streaming all documents.
+
+A window is ``window`` consecutive words of one text. Its anchor is a 5-gram in it, chosen by content, so equal
+windows have equal anchors, and neighbouring windows mostly share one: an anchor stands for a run of windows.
+
+1. Sketch. Grams are counted in CELLS counters, whatever the corpus. The anchor of a window is the gram whose counter
+   is least (by powers of two), then the one of least hash. A window that sticks out of a very common passage takes
+   its anchor from the part that sticks out, so only windows within such passages meet under a common anchor.
+2. Confirm. Documents are dealt to shards. Runs of windows, as text, meet by anchor; equal runs of a block are one
+   row before the shuffle, with the shards they stand in. Windows that start at two places or more are confirmed.
+   Each distinct passage of them goes once to every shard whose documents may hold it: a passage that a third of
+   all documents share is a row a shard, and its occurrences are never gathered.
+3. Compile. Each shard makes its passages' key phrases (words that all windows of a passage share) an Aho-Corasick
+   automaton (pyahocorasick).
+4. Locate. Each document is streamed once through the automaton of its shard. At each hit the windows around it are
+   compared with the passages, word by word, and covered words go.
+
+Every passage that can occur in a document is in its shard's automaton, so one pass over a document finds all
+occurrences, and the work grows with the corpus, not with corpus times passages.
 """
 
 from __future__ import annotations
@@ -21,75 +26,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tapeloom.llm.shared import cut, shuffle_partitions
-from tapeloom.llm.textblocks import blocks, list_column, rolling, runs, utf8, word_hashes, words
+from tapeloom.llm.shared import shuffle_partitions
+from tapeloom.llm.textblocks import joined_words, blocks, list_column, rolling, runs, utf8, word_hashes, words
 
 WINDOW = 35
 GRAM = 5
-#: An anchor or window that occurs less often is never hot.
-HOT = 1000
-#: So many of the commonest anchors are hot at most: any other has a share of the rows below 1 / HOT_ANCHORS.
-HOT_ANCHORS = 4096
-HOT_GRAMS = 65536
-#: So many windows are compiled to automata at most, so many in a shard; a driver and task hold no more, whatever the corpus.
-PATTERNS, SHARD = 8192, 2048
+#: Counters of the sketch: 2^16 of 8 bytes are what the driver and a task hold, whatever the corpus.
+CELL_BITS = 16
 #: Bytes of text that a task works on at once: hashes and prefix sums take some fifty times as much.
-BLOCK = 1_500_000
-#: Bytes of a window's hash that travel beside its anchor's 64 bits.
-SHORT = 6
-
-
-class Common:
-    """Anchors and grams that are too common to bring rows together; sorted hashes."""
-
-    def __init__(self, anchors: np.ndarray | None = None, grams: np.ndarray | None = None):
-        self.anchors = np.zeros(0, dtype=np.uint64) if anchors is None else np.sort(anchors)
-        self.every = np.union1d(self.anchors, np.zeros(0, dtype=np.uint64) if grams is None else grams)
-
-
-#: Stands for the anchor of a window that has none but common grams.
-NO_ANCHOR = np.uint64(2**64 - 1)
+BLOCK = 1_000_000
+#: Words of documents in a shard, on average.
+SHARD_WORDS = 1_500_000
+#: A key phrase has so many words at most.
+KEY_WORDS = 8
+#: Windows whose words are compared at once.
+COMPARED = 50_000
 
 
 class Block:
-    """Words, windows and runs of windows with one anchor of a block of texts."""
+    """Words and windows of a block of texts."""
 
-    def __init__(self, column: pa.Array, window: int, common: Common | None = None):
+    def __init__(self, column: pa.Array, window: int):
         self.raw, at = utf8(column)
         self.first, self.end, self.row_first = words(self.raw, at)
         self.hashes = word_hashes(self.raw, self.first, self.end)
-        gram = min(GRAM, window)
-        n = np.diff(self.row_first)
-        valid = np.maximum(n - window + 1, 0)  # windows of each row
-        self.row = np.repeat(np.arange(len(n)), valid)
-        before = np.cumsum(valid) - valid
-        self.place = np.arange(len(self.row)) - before[self.row]  # first word, in its text
-        start = self.place + self.row_first[self.row]
-        self.windows = rolling(self.hashes, start, start + window)
-        width = window - gram + 1
-        self.grams = np.zeros(0, dtype=np.uint64)
-        self.first_anchors = self.anchors = np.zeros(0, dtype=np.uint64)
-        self.hot = np.zeros(0, dtype=bool)  # windows whose first anchor is common
-        if len(start):
-            g = np.arange(len(self.hashes) - gram + 1)
-            self.grams = np.minimum(rolling(self.hashes, g, g + gram), NO_ANCHOR - np.uint64(1))
-            self.first_anchors = self.anchors = _sliding_min(self.grams, width)[start]
-            self.hot = _in_sorted(self.anchors, common.anchors) if common else np.zeros(len(start), dtype=bool)
-            if self.hot.any():
-                rare = np.where(_in_sorted(self.grams, common.every), NO_ANCHOR, self.grams)
-                self.anchors = np.where(self.hot, _sliding_min(rare, width)[start], self.anchors)
-        self.start = start
-        self.width = width
-        new = np.ones(len(start), dtype=bool)
-        new[1:] = (self.anchors[1:] != self.anchors[:-1]) | (self.row[1:] != self.row[:-1])
-        self.run = np.flatnonzero(new)
-        self.length = np.diff(np.append(self.run, len(start)))
-
-    def run_anchors(self) -> np.ndarray:
-        return self.anchors[self.run]
+        valid = np.maximum(np.diff(self.row_first) - window + 1, 0)  # windows of each row
+        self.row = np.repeat(np.arange(len(valid)), valid)
+        #: first word of each window, in the block
+        self.start = np.arange(len(self.row)) + (self.row_first[:-1] - (np.cumsum(valid) - valid))[self.row]
+        self.window = window
+
+    def windows(self) -> np.ndarray:
+        return rolling(self.hashes, self.start, self.start + self.window)
+
+    def grams(self) -> np.ndarray:
+        gram = min(GRAM, self.window)
+        at = np.arange(max(len(self.hashes) - gram + 1, 0))
+        return rolling(self.hashes, at, at + gram)
+
+    def runs(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows with one anchor: the anchor, the first window's number, how many windows, whether some may be equal.
+
+        All windows of a run have words in common: where a gram comes again and again, its run is cut.
+        """
+        if not len(self.start):
+            return (np.zeros(0, dtype=np.int64),) * 4
+        grams = self.grams()
+        order = (level[grams >> np.uint64(64 - CELL_BITS)] << np.uint64(58)) | (grams & np.uint64(2**58 - 1))
+        width = self.window - min(GRAM, self.window) + 1
+        anchor = _sliding_min(order, width)[self.start]
+        new = np.ones(len(anchor), dtype=bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (self.row[1:] != self.row[:-1])
+        at = np.arange(len(anchor))
+        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % width == 0
+        first = np.flatnonzero(new)
+        # where a window begins with its anchor and the next one has that anchor too, the gram comes again
+        comes_again = order[self.start] == anchor
+        comes_again[:-1] &= ~new[1:]
+        comes_again[-1] = False
+        return anchor[first].view(np.int64), first, np.diff(np.append(first, len(anchor))), np.logical_or.reduceat(comes_again, first)
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -102,297 +101,279 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _in_sorted(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    if not len(of):
-        return np.zeros(len(values), dtype=bool)
-    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
-
-
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
-
-
-class Automata:
-    """Frequent windows as Aho-Corasick automata over an alphabet of their words, in shards."""
-
-    def __init__(self, phrases: np.ndarray):
-        self.phrases = phrases  # patterns x window word hashes
-        self.vocabulary = np.unique(phrases)
-        self.built = None
-
-    def build(self) -> None:
-        import ahocorasick
-
-        self.built = []
-        for at in range(0, len(self.phrases), SHARD):
-            machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-            for p in np.searchsorted(self.vocabulary, self.phrases[at : at + SHARD]):
-                machine.add_word(_letters(p))
-            machine.make_automaton()
-            self.built.append(machine)
-
-    def locate(self, hashes: np.ndarray, row_first: np.ndarray, window: int) -> np.ndarray:
-        """Numbers of the words at which a frequent window starts. Only stretches of the patterns' words are streamed."""
-        if not len(self.phrases) or not len(hashes):
-            return np.zeros(0, dtype=np.int64)
-        if self.built is None:
-            self.build()
-        code = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        known = self.vocabulary[code] == hashes
-        first, end = runs(known)
-        found = []
-        for a, b in zip(first.tolist(), end.tolist(), strict=True):
-            if b - a >= window:
-                stream = _letters(code[a:b])
-                for machine in self.built:
-                    found += [a + (e + 1) // 2 - window for e, _ in machine.iter(stream) if e & 1]
-        starts = np.unique(np.array(found, dtype=np.int64))
-        row = np.searchsorted(row_first, starts, side="right") - 1
-        return starts[starts + window <= row_first[row + 1]]
-
-
-def _letters(codes: np.ndarray) -> str:
-    """Two letters a word, the second from another range, so that nodes have few branches and matches are whole words."""
-    pair = np.stack([codes // 256 + 0x100, codes % 256 + 0x20000], axis=1).astype(np.uint32)
-    return pair.tobytes().decode("utf-32-le")
-
-
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Only what is needed, under names of our own; _h deals documents out and depends on their content alone."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_h"))
-
-
-def _anchor_counts(source: DataFrame, window: int) -> DataFrame:
-    """Anchors and the number of runs of windows that have them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                g, n = np.unique(Block(part.column("text"), window).run_anchors(), return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
-
-    return source.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("_h"))
 
 
-def _gram_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
-    """Grams in windows of common anchors and how often they stand there."""
+def _sketch(source: DataFrame, window: int) -> np.ndarray:
+    """How often the grams of each cell occur. The driver gets a row a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, dtype=np.int64)
         for whole in batches:
             for part in blocks(whole, limit=BLOCK):
-                b = Block(part.column("text"), window, common)
-                edge = np.zeros(len(b.grams) + 1, dtype=np.int64)
-                np.add.at(edge, b.start[b.hot], 1)
-                np.add.at(edge, b.start[b.hot] + b.width, -1)
-                g, n = np.unique(b.grams[np.cumsum(edge)[:-1] > 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(g), pa.array(n)], ["g", "n"])
-
-    return source.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-
-
-def _window_counts(source: DataFrame, window: int, common: Common) -> DataFrame:
-    """Windows without an anchor, with their first one, and how often they start."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                b = Block(part.column("text"), window, common)
-                own = b.anchors == NO_ANCHOR
-                pair, n = np.unique(np.stack([b.first_anchors[own], b.windows[own]], axis=1), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(np.ascontiguousarray(pair[:, 0])), _signed(np.ascontiguousarray(pair[:, 1])), pa.array(n)], ["g", "w", "n"])
-
-    return source.select("text").mapInArrow(run, "g long, w long, n long").groupBy("g", "w").agg(F.sum("n").alias("n"))
-
+                cells = Block(part.column("text"), window).grams() >> np.uint64(64 - CELL_BITS)
+                total += np.bincount(cells.astype(np.int64), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-def _commonest(counts: DataFrame, key: str, least: int, most: int) -> np.ndarray:
-    """The keys of the ``most`` largest counts from ``least`` on. What is left over takes the general way."""
-    rows: list[Row] = counts.where(F.col("n") >= least).orderBy(F.col("n").desc(), key).limit(most).collect()
-    return np.array([r[key] for r in rows], dtype=np.int64).view(np.uint64)
+    counts = np.zeros(1 << CELL_BITS, dtype=np.int64)
+    for r in source.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r["cell"]] = r["n"]
+    return counts
 
 
-def _phrases(source: DataFrame, window: int, frequent: np.ndarray) -> np.ndarray:
-    """The words of the frequent windows, each from one of its places."""
-    known = np.sort(frequent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, dtype=np.uint64)
-        for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                b = Block(part.column("text"), window)
-                w, at = np.unique(b.windows[_in_sorted(b.windows, known)], return_index=True)
-                at = np.flatnonzero(_in_sorted(b.windows, known))[at]
-                fresh = ~_in_sorted(w, seen)
-                w, at = w[fresh], at[fresh]
-                seen = np.union1d(seen, w)
-                start = b.place[at] + b.row_first[b.row[at]]
-                own = [b.hashes[s : s + window].tobytes() for s in start]
-                yield pa.RecordBatch.from_arrays([_signed(w), pa.array(own, pa.binary())], ["w", "words"])
-
-    rows = source.select("text").mapInArrow(run, "w long, words binary").groupBy("w").agg(F.min("words").alias("words")).collect()  # PATTERNS at most
-    return np.stack([np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in rows]) if rows else np.zeros((0, window), dtype=np.uint64)
-
-
-def _anchored_places(source: DataFrame, window: int, common: Common) -> DataFrame:
-    """Confirmed runs of windows that have an anchor: doc_id, _h, a, b (first words, b exclusive)."""
+def _runs(source: DataFrame, window: int, level: np.ndarray) -> DataFrame:
+    """Runs of windows: g (anchor), n (places in the block), own (it may hold equal windows), shards (where it stands), seg (the words)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in blocks(whole, limit=BLOCK):
-                b = Block(part.column("text"), window, common)
-                if not len(b.run):
+                b = Block(part.column("text"), window)
+                anchor, first, length, own = b.runs(level)
+                if not len(first):
                     continue
-                g = b.run_anchors()
-                keep = g != NO_ANCHOR
-                size = np.where(keep, b.length, 0)
-                short = b.windows.view(np.uint8).reshape(-1, 8)[np.repeat(keep, b.length), :SHORT]
-                offsets = np.zeros(int(keep.sum()) + 1, dtype=np.int32)
-                np.cumsum(size[keep] * SHORT, out=offsets[1:])
-                packed = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(short))])
-                row = pa.array(b.row[b.run[keep]])
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(g[keep]), part.column("doc_id").take(row), part.column("_h").take(row), pa.array(b.place[b.run[keep]].astype(np.int32)), packed],
-                    ["g", "doc_id", "_h", "a", "w"],
-                )
+                data = b.raw.tobytes()
+                a = b.first[b.start[first]].tolist()
+                e = b.end[b.start[first + length - 1] + window - 1].tolist()
+                shard = part.column("shard").to_numpy()[b.row[first]].tolist()
+                same: dict[bytes, int] = {}
+                place, of = [], []
+                for i in range(len(a)):
+                    seg = data[a[i] : e[i]]
+                    at = same.setdefault(seg, len(same))
+                    of.append(at)
+                    if at == len(place):
+                        place.append(i)
+                run, n = np.unique(np.array(of), return_counts=True)
+                pair = np.unique(np.stack([np.array(of), np.array(shard)], axis=1), axis=0)
+                lists = list_column(np.bincount(pair[:, 0], minlength=len(run)), pa.array(pair[:, 1].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[place]), pa.array(np.minimum(n, 2).astype(np.int32)), pa.array(own[place]), lists, pa.array(list(same), pa.binary())], ["g", "n", "own", "shards", "seg"])
+
+    return source.select("text", "shard").mapInArrow(emit, "g long, n int, own boolean, shards array<int>, seg binary")
+
+
+def _passages(runs_: DataFrame, window: int) -> DataFrame:
+    """Confirmed passages: shard, text. Each distinct confirmed window of an anchor is in one passage of a shard."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            kept = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
-            g = kept.column("g").to_numpy()
-            if g[0] == g[-1]:
+            g = batch.column("g").to_numpy()
+            if held and held[0].column("g")[0].as_py() == g[-1]:
+                held.append(batch)
                 continue
             whole = int(np.searchsorted(g, g[-1], side="left"))  # the last anchor may go on
-            yield from _confirmed(kept.slice(0, whole))
-            kept = kept.slice(whole)
-        if kept is not None:
-            yield from _confirmed(kept)
-
-    schema = "doc_id long, _h long, a int, b int"
-    runs_ = source.mapInArrow(emit, "g long, doc_id long, _h long, a int, w binary")
-    return runs_.repartition(shuffle_partitions(source.sparkSession), "g").sortWithinPartitions("g").mapInArrow(confirm, schema)
-
-
-def _confirmed(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The windows of whole anchor groups that start at two places or more, as runs."""
-    batch = table.combine_chunks().to_batches()[0]
-    g = batch.column("g").to_numpy()
-    offsets, raw = batch.column("w").buffers()[1:]
-    at = np.frombuffer(offsets, dtype=np.int32)[batch.column("w").offset : batch.column("w").offset + batch.num_rows + 1].astype(np.int64)
-    n = np.diff(at) // SHORT
-    row = np.repeat(np.arange(len(n)), n)
-    short = np.zeros((len(row), 8), dtype=np.uint8)
-    short[:, :SHORT] = np.frombuffer(raw, dtype=np.uint8)[at[0] : at[-1]].reshape(-1, SHORT)
-    w = short.view(np.uint64).ravel()
-    group = np.cumsum(np.concatenate(([0], g[1:] != g[:-1])))[row]
-    by = np.lexsort((w, group))
-    same = (w[by][1:] == w[by][:-1]) & (group[by][1:] == group[by][:-1])
-    again = np.zeros(len(w), dtype=bool)
-    again[by[1:][same]] = True
-    again[by[:-1][same]] = True
+            yield from _confirmed([*held, batch.slice(0, whole)], window)
+            held = [batch.slice(whole)]
+        yield from _confirmed(held, window)
+
+    dealt = runs_.repartition(shuffle_partitions(runs_.sparkSession), "g").sortWithinPartitions("g")
+    return dealt.mapInArrow(confirm, "shard int, text string")
+
+
+def _confirmed(batches: list[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """The passages of whole anchor groups. Anchors with one place are left out before any text is looked at."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    g = np.concatenate([b.column("g").to_numpy() for b in batches])
+    n = np.concatenate([b.column("n").to_numpy() for b in batches])
+    group = np.cumsum(np.concatenate(([0], g[1:] != g[:-1])))
+    own = np.concatenate([b.column("own").to_numpy(zero_copy_only=False) for b in batches])
+    keep = np.bincount(group, weights=n + own)[group] > 1
+    if not keep.any():
+        return
+    ends = np.cumsum([b.num_rows for b in batches])
+    parts = [b.filter(pa.array(keep[e - b.num_rows : e])) for b, e in zip(batches, ends, strict=True)]
+    group, n = group[keep], n[keep].astype(np.int64)
+    raw, at = utf8(pa.concat_arrays([p.column("seg").cast(pa.large_binary()) for p in parts]))
+    lists = pa.concat_arrays([p.column("shards").cast(pa.large_list(pa.int32())) for p in parts])
+    first, end, row_first = words(raw, at)
+    valid = np.diff(row_first) - window + 1
+    row = np.repeat(np.arange(len(valid)), valid)
+    start = np.arange(len(row)) + (row_first[:-1] - (np.cumsum(valid) - valid))[row]
+    w = rolling(word_hashes(raw, first, end), start, start + window)
+    # windows are told apart by 64 bits beside the 64 of their anchor
+    by = np.lexsort((w, group[row]))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (w[by][1:] != w[by][:-1]) | (group[row[by]][1:] != group[row[by]][:-1])
+    head = np.flatnonzero(new)
+    distinct = np.empty(len(w), dtype=np.int64)
+    distinct[by] = np.cumsum(new) - 1
+    again = np.add.reduceat(n[row[by]], head) > 1
     if not again.any():
         return
-    place = np.arange(len(row)) - (np.cumsum(n) - n)[row] + batch.column("a").to_numpy()[row]
-    hit = np.flatnonzero(again)
-    new = np.ones(len(hit), dtype=bool)
-    new[1:] = (np.diff(hit) != 1) | (np.diff(row[hit]) != 0)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(hit)) - 1
-    of = pa.array(row[hit[first]])
-    yield pa.RecordBatch.from_arrays(
-        [batch.column("doc_id").take(of), batch.column("_h").take(of), pa.array(place[hit[first]].astype(np.int32)), pa.array((place[hit[last]] + 1).astype(np.int32))],
-        ["doc_id", "_h", "a", "b"],
-    )
-
-
-def _common_places(source: DataFrame, window: int, common: Common, frequent: np.ndarray, again: DataFrame) -> DataFrame:
-    """Places of recurring windows without an anchor that no automaton holds."""
-    known = np.sort(frequent)
+    places = np.sort(by[head][again])  # its first place: lexsort keeps the order of equal windows
+    cut = np.ones(len(places), dtype=bool)
+    cut[1:] = (np.diff(places) != 1) | (np.diff(row[places]) != 0)
+    piece_of = np.full(len(head), -1, dtype=np.int64)
+    piece_of[distinct[places]] = np.cumsum(cut) - 1
+    a = places[np.flatnonzero(cut)]
+    b = places[np.append(np.flatnonzero(cut)[1:], len(places)) - 1]
+    data = raw.tobytes()
+    text = pa.array([data[x:y] for x, y in zip(first[start[a]].tolist(), end[start[b] + window - 1].tolist(), strict=True)], pa.binary()).cast(pa.string())
+    piece = piece_of[distinct]
+    met = np.unique(np.stack([row, piece], axis=1)[piece >= 0], axis=0)
+    sizes = lists.value_lengths().to_numpy()
+    offset = np.cumsum(sizes) - sizes
+    shards = lists.flatten().to_numpy()
+    each = np.repeat(np.arange(len(met)), sizes[met[:, 0]])
+    nth = np.arange(len(each)) - (np.cumsum(sizes[met[:, 0]]) - sizes[met[:, 0]])[each]
+    pair = np.unique(np.stack([met[each, 1], shards[offset[met[each, 0]] + nth]], axis=1), axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 1].astype(np.int32)), text.take(pa.array(pair[:, 0]))], ["shard", "text"])
+
+
+class Automaton:
+    """The passages of a shard: an Aho-Corasick automaton of their key phrases, and their words."""
+
+    def __init__(self, passages: list[str], window: int):
+        import ahocorasick
+
+        raw, at = utf8(pa.array(passages, pa.large_string()))
+        first, end, row_first = words(raw, at)
+        self.window = window
+        self.hashes = word_hashes(raw, first, end)
+        self.vocabulary, code = np.unique(self.hashes, return_inverse=True)
+        n = np.diff(row_first) - window + 1
+        row = np.repeat(np.arange(len(n)), n)
+        start = np.arange(len(row)) + (row_first[:-1] - (np.cumsum(n) - n))[row]
+        w = rolling(self.hashes, start, start + window)
+        by = np.argsort(w, kind="stable")
+        self.windows, self.at = w[by], start[by]
+        # the words from the last window's first one to the first window's last one are in all windows of a passage
+        head, size = row_first[:-1] + n - 1, np.minimum(window - n + 1, KEY_WORDS)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        stream = _letters(code)
+        for a, k in zip(head.tolist(), size.tolist(), strict=True):
+            self.machine.add_word(stream[2 * a : 2 * (a + k)], k)
+        if passages:
+            self.machine.make_automaton()
+
+    def locate(self, hashes: np.ndarray, row_first: np.ndarray) -> np.ndarray:
+        """First words of the windows of the stream that are windows of passages."""
+        if not len(self.hashes) or not len(hashes):
+            return np.zeros(0, dtype=np.int64)
+        code = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        code = np.where(self.vocabulary[code] == hashes, code, len(self.vocabulary))
+        hit = np.array(list(self.machine.iter(_letters(code))), dtype=np.int64).reshape(-1, 2)
+        last = hit[:, 0] // 2
+        row = np.searchsorted(row_first, last, side="right") - 1
+        near = np.zeros(len(hashes) + 1, dtype=np.int64)
+        lo = np.maximum(last - self.window + 1, row_first[row])
+        hi = np.minimum(last - hit[:, 1] + 1, row_first[row + 1] - self.window) + 1
+        np.add.at(near, lo[hi > lo], 1)
+        np.add.at(near, hi[hi > lo], -1)
+        start = np.flatnonzero(np.cumsum(near) > 0)
+        w = rolling(hashes, start, start + self.window)
+        of = np.minimum(np.searchsorted(self.windows, w), len(self.windows) - 1)
+        maybe = self.windows[of] == w
+        start, of = start[maybe], self.at[of[maybe]]
+        equal = np.ones(len(start), dtype=bool)
+        step = np.arange(self.window)
+        for i in range(0, len(start), COMPARED):
+            s, o = start[i : i + COMPARED, None] + step, of[i : i + COMPARED, None] + step
+            equal[i : i + COMPARED] = (hashes[s] == self.hashes[o]).all(axis=1)
+        return start[equal]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                b = Block(part.column("text"), window, common)
-                own = np.flatnonzero((b.anchors == NO_ANCHOR) & ~_in_sorted(b.windows, known))
-                row = pa.array(b.row[own])
-                yield pa.RecordBatch.from_arrays([_signed(b.first_anchors[own]), _signed(b.windows[own]), part.column("doc_id").take(row), part.column("_h").take(row), pa.array(b.place[own].astype(np.int32))], ["g", "w", "doc_id", "_h", "a"])
 
-    places = source.mapInArrow(run, "g long, w long, doc_id long, _h long, a int")
-    return places.join(again.select("g", "w"), ["g", "w"]).select("doc_id", "_h", "a", (F.col("a") + 1).alias("b"))
+def _letters(codes: np.ndarray) -> str:
+    """Two letters a word, the second from another range, so that nodes have few branches and matches are whole words."""
+    pair = np.stack([codes // 256 + 0x10000, codes % 256 + 0x100], axis=1).astype(np.uint32)
+    return pair.tobytes().decode("utf-32-le")
 
 
-def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
     """Every document with the runs of words that recurring windows cover.
 
-    Returns doc_id, text, n_words and covered (array of start, end; words from 0, end exclusive, disjoint and in
-    order). A window counts as recurring where its word sequence also starts anywhere else in the corpus. Null
-    text has no words. Repeated rows are separate documents, so each makes the other's windows recur.
+    Returns doc_id (of the type it has), text, n_words and covered (array of start, end; words from 0, end exclusive,
+    disjoint and in order). A window counts as recurring where its word sequence also starts anywhere else in the
+    corpus. Null text has no words. Repeated rows are separate documents, so each makes the other's windows recur.
+    An empty table gives an empty result; other columns are ignored, whatever their names.
+    A task holds about a block of text or one longer text, some sixty times its size.
     """
     spark = docs.sparkSession
     source = _source(docs, id_col, text_col)
-    common = Common(_commonest(_anchor_counts(source, window), "g", hot, HOT_ANCHORS))
-    if len(common.anchors):
-        common = Common(common.anchors, _commonest(_gram_counts(source, window, common), "g", hot, HOT_GRAMS))
-    places = _anchored_places(source, window, common)
-    machines = Automata(np.zeros((0, window), dtype=np.uint64))
-    if len(common.anchors):
-        again = cut(_window_counts(source, window, common).where("n > 1"))
-        frequent = _commonest(again, "w", hot, PATTERNS)
-        if len(frequent):
-            machines = Automata(_phrases(source, window, frequent))
-        places = places.unionByName(_common_places(source, window, common, frequent, again))
-    shared = spark.sparkContext.broadcast(machines)
-    # one row for each document and place: repeated rows of a document are the same document here
-    by_doc = places.groupBy("doc_id", "_h").agg(F.collect_set(F.struct("a", "b")).alias("places"))
-    both = source.join(by_doc.select(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"), "places"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    counts = _sketch(source, window)
+    n_shards = max(shuffle_partitions(spark), -(-int(counts.sum()) // shard_words))
+    level = np.ceil(np.log2(counts + 1)).astype(np.uint64)
+    source = source.withColumn("shard", F.pmod("_h", F.lit(n_shards)).cast("int")).drop("_h")
+    passages = _passages(_runs(source, window, level), window)
+    id_type = source.schema["doc_id"].dataType
+    both = source.select("shard", F.lit(1).alias("kind"), "doc_id", "text").unionByName(passages.select("shard", F.lit(0).alias("kind"), F.lit(None).cast(id_type).alias("doc_id"), "text"))
+    # shards are numbered, so each is a partition of its own; its passages come before its documents
+    dealt = both.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "kind")
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passages_: list[str] = []
+        machine = None
         for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                raw, at = utf8(part.column("text"))
-                first, end, row_first = words(raw, at)
-                edge = np.zeros(len(first) + 1, dtype=np.int64)
-                found = part.column("places")
-                row = np.repeat(np.arange(part.num_rows), np.nan_to_num(found.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
-                flat = found.flatten()
-                np.add.at(edge, row_first[row] + flat.field("a").to_numpy(), 1)
-                np.add.at(edge, row_first[row] + flat.field("b").to_numpy() + window - 1, -1)
-                if len(shared.value.phrases):
-                    starts = shared.value.locate(word_hashes(raw, first, end), row_first, window)
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + window, -1)
-                covered = np.cumsum(edge)[:-1] > 0
-                a, b = runs(covered)
-                # a run may go over into the next text: it is cut there
-                inner = row_first[1:-1]
-                inner = inner[(inner > 0) & (inner < len(first))]
-                inner = np.unique(inner[covered[inner] & covered[inner - 1]]) if len(inner) else inner
-                a, b = np.sort(np.concatenate((a, inner))), np.sort(np.concatenate((b, inner)))
-                of = np.searchsorted(row_first, a, side="right") - 1
-                spans = pa.StructArray.from_arrays([pa.array((a - row_first[of]).astype(np.int32)), pa.array((b - row_first[of]).astype(np.int32))], fields=list(span))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(np.diff(row_first)), list_column(np.bincount(of, minlength=part.num_rows), spans)], ["doc_id", "text", "n_words", "covered"])
-
-    return both.select("doc_id", "text", "places").mapInArrow(mark, "doc_id long, text string, n_words long, covered array<struct<start:int,end:int>>")
+            kinds = whole.column("kind").to_numpy()
+            split = int(np.searchsorted(kinds, 1))
+            passages_ += whole.column("text").slice(0, split).to_pylist()
+            if split == whole.num_rows:
+                continue
+            if machine is None:
+                machine = Automaton(passages_, window)
+                passages_ = []
+            for part in blocks(whole.slice(split), limit=BLOCK):
+                yield _marked(part, machine)
+
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(span))])
+    return dealt.mapInArrow(locate, schema)
+
+
+def _marked(part: pa.RecordBatch, machine: Automaton) -> pa.RecordBatch:
+    raw, at = utf8(part.column("text"))
+    first, end, row_first = words(raw, at)
+    starts = machine.locate(word_hashes(raw, first, end), row_first)
+    edge = np.zeros(len(first) + 1, dtype=np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + machine.window, -1)
+    covered = np.cumsum(edge)[:-1] > 0
+    a, b = runs(covered)
+    # a run may go over into the next text: it is cut there
+    inner = row_first[1:-1]
+    inner = inner[(inner > 0) & (inner < len(first))]
+    inner = np.unique(inner[covered[inner] & covered[inner - 1]]) if len(inner) else inner
+    a, b = np.sort(np.concatenate((a, inner))), np.sort(np.concatenate((b, inner)))
+    of = np.searchsorted(row_first, a, side="right") - 1
+    span = [pa.field("start", pa.int32()), pa.field("end", pa.int32())]
+    spans = pa.StructArray.from_arrays([pa.array((a - row_first[of]).astype(np.int32)), pa.array((b - row_first[of]).astype(np.int32))], fields=span)
+    lists = list_column(np.bincount(of, minlength=part.num_rows), spans)
+    return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(np.diff(row_first)), lists], ["doc_id", "text", "n_words", "covered"])
 
 
 def remove(marked: DataFrame) -> DataFrame:
-    """Cut the covered words: doc_id, kept (the other words, joined by one space), n_words, n_removed."""
+    """Cut the covered words: doc_id, kept (the other words, joined by one space), n_words, n_removed.
+
+    Takes what ``recurring`` gives; a text without words is kept as the empty text. An empty table gives an empty one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, removed = [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("covered").to_pylist(), strict=True):
-                own = text.encode("utf-8", "surrogatepass").split()
-                before = len(own)
-                for s in reversed(spans):
-                    del own[s["start"] : s["end"]]
-                removed.append(before - len(own))
-                kept.append(b" ".join(own).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept), batch.column("n_words"), pa.array(removed, pa.int64())], ["doc_id", "kept", "n_words", "n_removed"])
-
-    return marked.mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")
+        for whole in batches:
+            for part in blocks(whole, limit=BLOCK):
+                raw, at = utf8(part.column("text"))
+                first, end, row_first = words(raw, at)
+                spans = part.column("covered")
+                row = np.repeat(np.arange(part.num_rows), spans.value_lengths().to_numpy())
+                flat = spans.flatten()
+                edge = np.zeros(len(first) + 1, dtype=np.int64)
+                np.add.at(edge, row_first[row] + flat.field("start").to_numpy(), 1)
+                np.add.at(edge, row_first[row] + flat.field("end").to_numpy(), -1)
+                stay = np.flatnonzero(np.cumsum(edge)[:-1] == 0)
+                kept_first = np.searchsorted(stay, row_first)
+                kept = joined_words(raw, first[stay], end[stay], kept_first)
+                removed = np.diff(row_first) - np.diff(kept_first)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), kept, part.column("n_words"), pa.array(removed)], ["doc_id", "kept", "n_words", "n_removed"])
+
+    schema = T.StructType([marked.schema["doc_id"], T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    return marked.select("doc_id", "text", "n_words", "covered").mapInArrow(run, schema)
 
 
 def digest(kept: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def rolling(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarra
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column without nulls, and the offsets of its rows in them."""
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    at = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
     return whole[at[0] : at[-1]], at - at[0]
 
@@ -119,3 +119,21 @@ def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 def word_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return rolling(_BYTE[raw], first, end)
+
+
+def joined_words(raw: np.ndarray, first: np.ndarray, end: np.ndarray, row_first: np.ndarray) -> pa.Array:
+    """Each row's words, joined by one space. row_first: of every row the number of its first word (rows + 1 of them)."""
+    size = end - first
+    n = np.diff(row_first)
+    some = (n > 0).astype(np.int64)
+    rank = np.repeat(np.cumsum(some) - some, n)  # rows with words before the word's row
+    before = np.cumsum(size) - size
+    at = before + np.arange(len(size)) - rank
+    total = int(size.sum() + (n - some).sum())
+    out = np.full(total, 32, dtype=np.uint8)
+    nth = np.arange(int(size.sum())) - np.repeat(before, size)
+    out[np.repeat(at, size) + nth] = raw[np.repeat(first, size) + nth]
+    offsets = np.zeros(len(n) + 1, dtype=np.int64)
+    bytes_of = np.bincount(np.repeat(np.arange(len(n)), n), weights=size, minlength=len(n)).astype(np.int64)
+    np.cumsum(bytes_of + n - some, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(out)]).cast(pa.string())

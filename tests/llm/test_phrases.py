@@ -1,12 +1,16 @@
-"""Substring dedup against plain counting of every window, on both ways: anchors and automata."""
+"""Substring dedup against plain counting of every window."""
 
 import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tapeloom.llm import phrases as p
+from tapeloom.llm import textblocks
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, n_words long, places string, kept string"
@@ -44,24 +48,48 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("window", "hot"), [(8, 1000), (8, 3), (8, 40), (3, 5), (1, 2)])
-def test_matches_plain_counting(spark, window, hot):
-    rows = [*corpus(window + hot), (1, "a b " * 40), (1, "a b " * 40), (None, "a b " * 40), (7, None), (8, ""), (9, " \n\t ")]
+@pytest.mark.parametrize(("window", "shard_words"), [(8, 10**6), (8, 40), (12, 300), (3, 5000), (1, 100)])
+def test_matches_plain_counting(spark, window, shard_words):
+    rows = [*corpus(window + shard_words), (1, "a b " * 40), (1, "a b " * 40), (None, "a b " * 40), (7, None), (8, ""), (9, " \n\t ")]
     df = spark.createDataFrame([(d, t, 0, "x", "y") for d, t in rows], SCHEMA)
-    assert got(df, window, hot=hot) == plain(rows, window)
+    assert got(df, window, shard_words=shard_words) == plain(rows, window)
 
 
-def test_automata_locate_every_occurrence():
-    import numpy as np
-
-    rng = np.random.default_rng(1)
-    words = rng.integers(0, 700, 5000).astype(np.uint64)
-    phrases = np.unique(np.stack([words[i : i + 6] for i in rng.integers(0, 4900, 300)]), axis=0)
-    machines = p.Automata(phrases)
-    known = {tuple(x) for x in phrases.tolist()}
+def test_automaton_locates_every_occurrence():
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(700)}" for _ in range(5000)]
+    passages = [words[i : i + rng.randint(6, 9)] for i in (rng.randrange(4900) for _ in range(300))]
+    machine = p.Automaton([" ".join(x) for x in passages], 6)
+    known = {tuple(x[i : i + 6]) for x in passages for i in range(len(x) - 5)}
     cuts = np.array([0, 1000, 1003, 5000])
-    want = [i for i in range(4995) if tuple(words[i : i + 6].tolist()) in known and not any(i < c < i + 6 for c in cuts)]
-    assert machines.locate(words, cuts, 6).tolist() == want
+    want = [i for i in range(4995) if tuple(words[i : i + 6]) in known and not any(i < c < i + 6 for c in cuts)]
+    raw, at = textblocks.utf8(pa.array([" ".join(words)]))
+    first, end, _ = textblocks.words(raw, at)
+    assert machine.locate(textblocks.word_hashes(raw, first, end), cuts).tolist() == want
+    assert p.Automaton([], 6).locate(np.arange(9).astype(np.uint64), np.array([0, 9])).tolist() == []
+
+
+def test_common_passage_is_a_row_a_block_and_shard(spark):
+    """A passage that all documents share isn't gathered by its occurrences."""
+    rng = random.Random(2)
+    own = lambda: " ".join(f"u{rng.randrange(10**9)}" for _ in range(20))
+    rows = [(i, f"{own()} {' '.join(f'c{j}' for j in range(60))} {own()}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    source = p._source(df, "doc_id", "text")
+    level = np.ceil(np.log2(p._sketch(source, 35) + 1)).astype(np.uint64)
+    runs = p._runs(source.withColumn("shard", F.pmod("_h", F.lit(4)).cast("int")), 35, level)
+    assert max(r["count"] for r in runs.groupBy("g").count().collect()) <= 10
+    assert got(df, 35) == plain(rows, 35)
+
+
+def test_one_text_of_one_word_again_and_again(spark):
+    rows = [(1, "a " * 50), (2, "b c d " * 20), (3, "e f g h")]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), 8) == plain(rows, 8)
+
+
+def test_ids_of_any_type(spark):
+    df = spark.createDataFrame([("x", "a b c d"), ("y", "b c d e"), (None, None)], "doc_id string, text string")
+    assert got(df, 3) == plain([("x", "a b c d"), ("y", "b c d e"), (None, None)], 3)
 
 
 def test_empty_table(spark):
@@ -71,4 +99,4 @@ def test_empty_table(spark):
 def test_documents(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
-    assert got(df, 35, hot=50) == plain(rows, 35)
+    assert got(df, 35) == plain(rows, 35)
