@@ -6,17 +6,19 @@ windows have equal anchors, and neighbouring windows mostly share one: an anchor
 1. Sketch. Grams are counted in CELLS counters, whatever the corpus. The anchor of a window is the gram whose counter
    is least (by powers of two), then the one of least hash. A window that sticks out of a very common passage takes
    its anchor from the part that sticks out, so only windows within such passages meet under a common anchor.
-2. Confirm. Documents are dealt to shards. Runs of windows, as text, meet by anchor; equal runs of a block are one
+2. Confirm. Documents are dealt to shards. Runs of windows, as hashes, meet by anchor; equal runs of a block are one
    row before the shuffle, with the shards they stand in. Windows that start at two places or more are confirmed.
-   Each distinct passage of them goes once to every shard whose documents may hold it: a passage that a third of
-   all documents share is a row a shard, and its occurrences are never gathered.
+   Each distinct passage of them is cut once, from a document of one shard that holds it, and goes once to every
+   shard whose documents may hold it: a passage that a third of all documents share is a row a shard, and its
+   occurrences are never gathered.
 3. Compile. Each shard makes its passages' key phrases (words that all windows of a passage share) an Aho-Corasick
    automaton (pyahocorasick).
 4. Locate. Each document is streamed once through the automaton of its shard. At each hit the windows around it are
    compared with the passages, word by word, and covered words go.
 
 Every passage that can occur in a document is in its shard's automaton, so one pass over a document finds all
-occurrences, and the work grows with the corpus, not with corpus times passages.
+occurrences, and the work grows with the corpus, not with corpus times passages. Steps 2 and 4 read one exchange of
+the documents by shard.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tapeloom.llm.shared import shuffle_partitions
 from tapeloom.llm.textblocks import joined_words, blocks, list_column, rolling, runs, utf8, word_hashes, words
@@ -37,6 +40,8 @@ WINDOW = 35
 GRAM = 5
 #: Counters of the sketch: 2^16 of 8 bytes are what the driver and a task hold, whatever the corpus.
 CELL_BITS = 16
+#: Bytes of a window's hash that travel beside the 64 bits of its anchor.
+SHORT = 6
 #: Bytes of text that a task works on at once: hashes and prefix sums take some fifty times as much.
 BLOCK = 1_000_000
 #: Words of documents in a shard, on average.
@@ -61,7 +66,8 @@ class Block:
         self.window = window
 
     def windows(self) -> np.ndarray:
-        return rolling(self.hashes, self.start, self.start + self.window)
+        """Short hashes of the windows."""
+        return rolling(self.hashes, self.start, self.start + self.window) & np.uint64(2 ** (8 * SHORT) - 1)
 
     def grams(self) -> np.ndarray:
         gram = min(GRAM, self.window)
@@ -126,7 +132,7 @@ def _sketch(source: DataFrame, window: int) -> np.ndarray:
 
 
 def _runs(source: DataFrame, window: int, level: np.ndarray) -> DataFrame:
-    """Runs of windows: g (anchor), n (places in the block), own (it may hold equal windows), shards (where it stands), seg (the words)."""
+    """Runs of windows: g (anchor), n (places in the block, 2 at most, 4 more if it may hold equal windows), shards (where it stands), w (short hashes)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -135,30 +141,30 @@ def _runs(source: DataFrame, window: int, level: np.ndarray) -> DataFrame:
                 anchor, first, length, own = b.runs(level)
                 if not len(first):
                     continue
-                data = b.raw.tobytes()
-                a = b.first[b.start[first]].tolist()
-                e = b.end[b.start[first + length - 1] + window - 1].tolist()
-                shard = part.column("shard").to_numpy()[b.row[first]].tolist()
+                shard = part.column("shard").to_numpy()[b.row[first]]
+                short = np.ascontiguousarray(b.windows().view(np.uint8).reshape(-1, 8)[:, :SHORT]).tobytes()
                 same: dict[bytes, int] = {}
-                place, of = [], []
-                for i in range(len(a)):
-                    seg = data[a[i] : e[i]]
-                    at = same.setdefault(seg, len(same))
-                    of.append(at)
-                    if at == len(place):
-                        place.append(i)
-                run, n = np.unique(np.array(of), return_counts=True)
-                pair = np.unique(np.stack([np.array(of), np.array(shard)], axis=1), axis=0)
+                ends = zip((first * SHORT).tolist(), ((first + length) * SHORT).tolist(), anchor.tolist(), strict=True)
+                of = np.array([same.setdefault((g, short[x:y]), len(same)) for x, y, g in ends])
+                run, place, n = np.unique(of, return_index=True, return_counts=True)
+                pair = np.unique(np.stack([of, shard], axis=1), axis=0)
                 lists = list_column(np.bincount(pair[:, 0], minlength=len(run)), pa.array(pair[:, 1].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[place]), pa.array(np.minimum(n, 2).astype(np.int32)), pa.array(own[place]), lists, pa.array(list(same), pa.binary())], ["g", "n", "own", "shards", "seg"])
+                n = (np.minimum(n, 2) + 4 * own[place]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[place]), pa.array(n), lists, pa.array([w for _, w in same], pa.binary())], ["g", "n", "shards", "w"])
 
-    return source.select("text", "shard").mapInArrow(emit, "g long, n int, own boolean, shards array<int>, seg binary")
+    return source.select("text", "shard").mapInArrow(emit, "g long, n int, shards array<int>, w binary")
 
 
-def _passages(runs_: DataFrame, window: int) -> DataFrame:
-    """Confirmed passages: shard, text. Each distinct confirmed window of an anchor is in one passage of a shard."""
+REQUEST = "home int, g long, w_first long, w_last long, n int, shards array<int>"
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _confirm(runs_: DataFrame) -> DataFrame:
+    """Confirmed passages: home (a shard that holds one), anchor, first and last window, windows, shards that may hold some of it.
+
+    Each distinct confirmed window of an anchor is in one passage.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -168,37 +174,34 @@ def _passages(runs_: DataFrame, window: int) -> DataFrame:
                 held.append(batch)
                 continue
             whole = int(np.searchsorted(g, g[-1], side="left"))  # the last anchor may go on
-            yield from _confirmed([*held, batch.slice(0, whole)], window)
+            yield from _confirmed([*held, batch.slice(0, whole)])
             held = [batch.slice(whole)]
-        yield from _confirmed(held, window)
+        yield from _confirmed(held)
 
-    dealt = runs_.repartition(shuffle_partitions(runs_.sparkSession), "g").sortWithinPartitions("g")
-    return dealt.mapInArrow(confirm, "shard int, text string")
+    return runs_.repartition(shuffle_partitions(runs_.sparkSession), "g").sortWithinPartitions("g").mapInArrow(run, REQUEST)
 
 
-def _confirmed(batches: list[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The passages of whole anchor groups. Anchors with one place are left out before any text is looked at."""
+def _confirmed(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The passages of whole anchor groups. Anchors with one place are left out before any window is looked at."""
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
     g = np.concatenate([b.column("g").to_numpy() for b in batches])
     n = np.concatenate([b.column("n").to_numpy() for b in batches])
     group = np.cumsum(np.concatenate(([0], g[1:] != g[:-1])))
-    own = np.concatenate([b.column("own").to_numpy(zero_copy_only=False) for b in batches])
-    keep = np.bincount(group, weights=n + own)[group] > 1
+    keep = np.bincount(group, weights=n)[group] > 1
     if not keep.any():
         return
     ends = np.cumsum([b.num_rows for b in batches])
     parts = [b.filter(pa.array(keep[e - b.num_rows : e])) for b, e in zip(batches, ends, strict=True)]
-    group, n = group[keep], n[keep].astype(np.int64)
-    raw, at = utf8(pa.concat_arrays([p.column("seg").cast(pa.large_binary()) for p in parts]))
+    g, group, n = g[keep], group[keep], (n[keep] & 3).astype(np.int64)
+    raw, at = utf8(pa.concat_arrays([p.column("w").cast(pa.large_binary()) for p in parts]))
     lists = pa.concat_arrays([p.column("shards").cast(pa.large_list(pa.int32())) for p in parts])
-    first, end, row_first = words(raw, at)
-    valid = np.diff(row_first) - window + 1
-    row = np.repeat(np.arange(len(valid)), valid)
-    start = np.arange(len(row)) + (row_first[:-1] - (np.cumsum(valid) - valid))[row]
-    w = rolling(word_hashes(raw, first, end), start, start + window)
-    # windows are told apart by 64 bits beside the 64 of their anchor
+    size = np.diff(at) // SHORT
+    row = np.repeat(np.arange(len(size)), size)
+    short = np.zeros((len(row), 8), dtype=np.uint8)
+    short[:, :SHORT] = raw.reshape(-1, SHORT)
+    w = short.view(np.uint64).ravel()
     by = np.lexsort((w, group[row]))
     new = np.ones(len(by), dtype=bool)
     new[1:] = (w[by][1:] != w[by][:-1]) | (group[row[by]][1:] != group[row[by]][:-1])
@@ -215,29 +218,66 @@ def _confirmed(batches: list[pa.RecordBatch], window: int) -> Iterator[pa.Record
     piece_of[distinct[places]] = np.cumsum(cut) - 1
     a = places[np.flatnonzero(cut)]
     b = places[np.append(np.flatnonzero(cut)[1:], len(places)) - 1]
-    data = raw.tobytes()
-    text = pa.array([data[x:y] for x, y in zip(first[start[a]].tolist(), end[start[b] + window - 1].tolist(), strict=True)], pa.binary()).cast(pa.string())
-    piece = piece_of[distinct]
-    met = np.unique(np.stack([row, piece], axis=1)[piece >= 0], axis=0)
     sizes = lists.value_lengths().to_numpy()
     offset = np.cumsum(sizes) - sizes
     shards = lists.flatten().to_numpy()
+    piece = piece_of[distinct]
+    met = np.unique(np.stack([row, piece], axis=1)[piece >= 0], axis=0)
     each = np.repeat(np.arange(len(met)), sizes[met[:, 0]])
     nth = np.arange(len(each)) - (np.cumsum(sizes[met[:, 0]]) - sizes[met[:, 0]])[each]
     pair = np.unique(np.stack([met[each, 1], shards[offset[met[each, 0]] + nth]], axis=1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 1].astype(np.int32)), text.take(pa.array(pair[:, 0]))], ["shard", "text"])
+    goes = list_column(np.bincount(pair[:, 0], minlength=len(a)), pa.array(pair[:, 1].astype(np.int32)))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(shards[offset[row[a]]]), pa.array(g[row[a]]), pa.array(w[a].view(np.int64)), pa.array(w[b].view(np.int64)), pa.array((b - a + 1).astype(np.int32)), goes],
+        ["home", "g", "w_first", "w_last", "n", "shards"],
+    )
+
+
+def _cut_passages(docs: pa.Table, wanted: pa.Table, window: int, level: np.ndarray) -> pa.Table:
+    """The words of a shard's wanted passages, a row for each shard that they go to: shard, text.
+
+    A passage has fewer windows than a window has words, so its first and last window make up the whole.
+    """
+    left = {x: wanted.column(x).to_numpy() for x in ("g", "n")} | {x: wanted.column(x).to_numpy().view(np.uint64) for x in ("w_first", "w_last")}
+    of = np.arange(wanted.num_rows)
+    pieces, found = [], []
+    for whole in docs.to_batches():
+        for part in blocks(whole, limit=BLOCK):
+            if not len(of):
+                break
+            b = Block(part.column("text"), window)
+            anchor, first, length, _ = b.runs(level)
+            anchor, w = np.repeat(anchor, length), b.windows()
+            by = np.argsort(w, kind="stable")
+            lo = np.searchsorted(w[by], left["w_first"][of], side="left")
+            k = np.searchsorted(w[by], left["w_first"][of], side="right") - lo
+            r = np.repeat(of, k)
+            i = by[np.arange(len(r)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo, k)]
+            last = np.minimum(i + left["n"][r] - 1, len(w) - 1)
+            fits = (anchor[i] == left["g"][r]) & (i + left["n"][r] <= len(w)) & (w[last] == left["w_last"][r]) & (b.row[i] == b.row[last])
+            r, at = np.unique(r[fits], return_index=True)
+            i, last = i[fits][at], last[fits][at]
+            data = b.raw.tobytes()
+            pieces += [data[x:y] for x, y in zip(b.first[b.start[i]].tolist(), b.end[b.start[last] + window - 1].tolist(), strict=True)]
+            found.append(r)
+            of = np.setdiff1d(of, r, assume_unique=True)
+    if len(of):
+        raise ValueError("a confirmed passage isn't in its shard: the documents changed while they were read")
+    lists = wanted.column("shards").take(pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *found]))).combine_chunks()
+    text = pa.array(pieces, pa.binary()).cast(pa.string())
+    lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
+    return pa.table({"shard": lists.flatten(), "text": text.take(pa.array(np.repeat(np.arange(len(pieces)), lists.value_lengths().to_numpy())))})
 
 
 class Automaton:
     """The passages of a shard: an Aho-Corasick automaton of their key phrases, and their words."""
 
-    def __init__(self, passages: list[str], window: int):
+    def __init__(self, passages: pa.Array, window: int):
         import ahocorasick
 
-        raw, at = utf8(pa.array(passages, pa.large_string()))
+        raw, at = utf8(passages)
         first, end, row_first = words(raw, at)
-        self.window = window
-        self.hashes = word_hashes(raw, first, end)
+        self.window, self.hashes = window, word_hashes(raw, first, end)
         self.vocabulary, code = np.unique(self.hashes, return_inverse=True)
         n = np.diff(row_first) - window + 1
         row = np.repeat(np.arange(len(n)), n)
@@ -251,7 +291,7 @@ class Automaton:
         stream = _letters(code)
         for a, k in zip(head.tolist(), size.tolist(), strict=True):
             self.machine.add_word(stream[2 * a : 2 * (a + k)], k)
-        if passages:
+        if len(n):
             self.machine.make_automaton()
 
     def locate(self, hashes: np.ndarray, row_first: np.ndarray) -> np.ndarray:
@@ -294,7 +334,7 @@ def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
     disjoint and in order). A window counts as recurring where its word sequence also starts anywhere else in the
     corpus. Null text has no words. Repeated rows are separate documents, so each makes the other's windows recur.
     An empty table gives an empty result; other columns are ignored, whatever their names.
-    A task holds about a block of text or one longer text, some sixty times its size.
+    A task holds a shard's documents and, of a block of text or one longer text, some sixty times its size.
     """
     spark = docs.sparkSession
     source = _source(docs, id_col, text_col)
@@ -302,30 +342,22 @@ def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
     n_shards = max(shuffle_partitions(spark), -(-int(counts.sum()) // shard_words))
     level = np.ceil(np.log2(counts + 1)).astype(np.uint64)
     source = source.withColumn("shard", F.pmod("_h", F.lit(n_shards)).cast("int")).drop("_h")
-    passages = _passages(_runs(source, window, level), window)
-    id_type = source.schema["doc_id"].dataType
-    both = source.select("shard", F.lit(1).alias("kind"), "doc_id", "text").unionByName(passages.select("shard", F.lit(0).alias("kind"), F.lit(None).cast(id_type).alias("doc_id"), "text"))
-    # shards are numbered, so each is a partition of its own; its passages come before its documents
-    dealt = both.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "kind")
+    wanted = _confirm(_runs(source, window, level))
 
-    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passages_: list[str] = []
-        machine = None
-        for whole in batches:
-            kinds = whole.column("kind").to_numpy()
-            split = int(np.searchsorted(kinds, 1))
-            passages_ += whole.column("text").slice(0, split).to_pylist()
-            if split == whole.num_rows:
-                continue
-            if machine is None:
-                machine = Automaton(passages_, window)
-                passages_ = []
-            for part in blocks(whole.slice(split), limit=BLOCK):
-                yield _marked(part, machine)
+    def cut(key: tuple, docs: pa.Table, wanted: pa.Table) -> pa.Table:
+        return _cut_passages(docs, wanted, window, level)
 
+    def locate(key: tuple, docs: pa.Table, passages: pa.Table) -> pa.Table:
+        machine = Automaton(pa.concat_arrays([pa.array([], pa.large_string()), *(x.cast(pa.large_string()) for x in passages.column("text").chunks)]), window)
+        return pa.Table.from_batches([_marked(part, machine) for whole in docs.to_batches() for part in blocks(whole, limit=BLOCK)], target)
+
+    id_type = source.schema["doc_id"].dataType
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(span))])
-    return dealt.mapInArrow(locate, schema)
+    target = to_arrow_schema(schema)
+    by_shard = source.groupBy("shard")
+    passages = by_shard.cogroup(wanted.groupBy("home")).applyInArrow(cut, "shard int, text string")
+    return by_shard.cogroup(passages.groupBy("shard")).applyInArrow(locate, schema)
 
 
 def _marked(part: pa.RecordBatch, machine: Automaton) -> pa.RecordBatch:

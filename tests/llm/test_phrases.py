@@ -55,18 +55,23 @@ def test_matches_plain_counting(spark, window, shard_words):
     assert got(df, window, shard_words=shard_words) == plain(rows, window)
 
 
+def hashed(words):
+    raw, at = textblocks.utf8(pa.array([" ".join(words)]))
+    first, end, _ = textblocks.words(raw, at)
+    return textblocks.word_hashes(raw, first, end)
+
+
 def test_automaton_locates_every_occurrence():
     rng = random.Random(1)
     words = [f"w{rng.randrange(700)}" for _ in range(5000)]
     passages = [words[i : i + rng.randint(6, 9)] for i in (rng.randrange(4900) for _ in range(300))]
-    machine = p.Automaton([" ".join(x) for x in passages], 6)
+    machine = p.Automaton(pa.array([" ".join(x) for x in passages]), 6)
     known = {tuple(x[i : i + 6]) for x in passages for i in range(len(x) - 5)}
     cuts = np.array([0, 1000, 1003, 5000])
     want = [i for i in range(4995) if tuple(words[i : i + 6]) in known and not any(i < c < i + 6 for c in cuts)]
-    raw, at = textblocks.utf8(pa.array([" ".join(words)]))
-    first, end, _ = textblocks.words(raw, at)
-    assert machine.locate(textblocks.word_hashes(raw, first, end), cuts).tolist() == want
-    assert p.Automaton([], 6).locate(np.arange(9).astype(np.uint64), np.array([0, 9])).tolist() == []
+    assert machine.locate(hashed(words), cuts).tolist() == want
+    none = p.Automaton(pa.array([], pa.string()), 6)
+    assert none.locate(np.arange(9).astype(np.uint64), np.array([0, 9])).tolist() == []
 
 
 def test_common_passage_is_a_row_a_block_and_shard(spark):
