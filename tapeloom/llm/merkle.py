@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.shared import shuffle_partitions
 
@@ -63,8 +64,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Ids are cut into ranges at approximate quantiles; texts move once, to their range, with the first
     document of the range that follows added as a guest so that the last one finds its next there.
-    Equal ids are ordered by a hash of the text. Null ids come last.
+    Equal ids are ordered by a hash of the text; one id's rows stay in one range. Null ids come last. Ids must be whole
+    numbers, as ranges are cut between them; others are an error.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise ValueError(f"{id_col} must be of a whole number type")
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
     n = shuffle_partitions(docs.sparkSession)
     cuts = base.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000).alias("c")).first()["c"] if n > 1 else []
@@ -82,7 +86,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         .dropDuplicates(["_range"])
     )
     every = ranged.select("doc_id", "text", "_h", "_range", F.lit(0).alias("_guest")).unionByName(invited)
-    order = Window.partitionBy("_range").orderBy(F.col("_guest"), F.col("doc_id").desc_nulls_last(), F.col("_h").desc())
+    # ranges are numbered, so each is a partition of its own
+    every = every.repartitionById(len(cuts) + 2, F.col("_range").cast("int"))
+    order = Window.partitionBy(F.col("_range").cast("int")).orderBy(F.col("_guest"), F.col("doc_id").desc_nulls_last(), F.col("_h").desc())
     return every.withColumn("next_text", F.lead("text").over(order)).where(F.col("_guest") == 0).select("doc_id", "text", "next_text")
 
 

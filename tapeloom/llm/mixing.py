@@ -7,12 +7,14 @@ from collections import deque
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.shared import WORD, cut, prefix_sums
+from tapeloom.llm.shared import WORD, cut, own_name, prefix_sums
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: A document is taken so often at most.
 MAX_REPEATS = 3
+#: More membership patterns than this are an error: a row of each goes to the driver, and the flow runs there.
+MAX_PATTERNS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -50,6 +52,14 @@ def route(capacity: list[int], members: list[list[int]], quota: list[int], repea
         for s in m:
             givers[s].append(p)
     for level in range(1, repeats + 1):
+        # what fits at once; the paths below re-route it where that makes room
+        for p, m in enumerate(members):
+            for s in m:
+                room = min(level * capacity[p] - used[p], quota[s] - filled[s])
+                if room > 0:
+                    flow[p][s] += room
+                    used[p] += room
+                    filled[s] += room
         while True:
             came: dict[tuple[str, int], tuple[str, int] | None] = {("p", p): None for p in range(n) if used[p] < level * capacity[p]}
             queue, end = deque(came), None
@@ -111,7 +121,8 @@ def mix(
     Returns doc_id, the ``keep`` columns, size (words), source_size (words of its source, of all its sources
     where it has several), target (likewise), copies and taken (words, repeats counted). Null text has 0 words.
     Repeated rows are separate documents; rows equal in id and size are interchangeable. An empty table gives an
-    empty result. The same input and seed give the same rows.
+    empty result. The same input and seed give the same rows. More than MAX_PATTERNS patterns are an error: sources
+    are to be grouped first.
     """
     members = F.col(members_col) if members_col else F.array(F.col(source_col))
     kept = keep or []
@@ -124,7 +135,9 @@ def mix(
         ).withColumn("_draw", F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("long"))
     )
     spark = docs.sparkSession
-    totals = narrow.groupBy("_members").agg(F.sum("size").alias("size")).collect()  # a row for each pattern
+    totals = narrow.groupBy("_members").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()  # a row for each pattern
+    if len(totals) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} sets of sources; group the sources first")
     patterns = sorted(totals, key=lambda r: [(x is None, x or "") for x in r["_members"]])
     names = sorted({s for r in patterns for s in r["_members"]}, key=lambda x: (x is None, x or ""))
     at = {s: i for i, s in enumerate(names)}
@@ -158,13 +171,19 @@ def mix(
 
 
 def mixed(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The mix itself: the documents, with all their columns, each as often as it is taken; those not taken are gone."""
-    key = F.xxhash64(*docs.columns)
-    plan = mix(docs.withColumn("_row", key), id_col, text_col, source_col=source_col, keep=["_row"], **options)
-    copies = cut(plan.groupBy("doc_id", "_row").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0").withColumnRenamed("doc_id", "_id").withColumnRenamed("_row", "_key"))
-    every = docs.withColumn("_row", key).join(copies, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")))
-    if docs.select(key.alias("k")).groupBy("k").count().where("count > 1").isEmpty():
+    """The mix itself: the documents, with all their columns, each as often as it is taken; those not taken are gone.
+
+    Takes what ``mix`` takes: null text has no words and is never taken, null sources are a source, equal rows are
+    documents of their own that share what is taken. Columns may have any names; an empty table gives an empty one.
+    """
+    row, key, id_, copies, times = (own_name(x, docs) for x in ("_row", "_key", "_id", "_copies", "_n"))
+    hashed = F.xxhash64(*docs.columns)
+    plan = mix(docs.withColumn(row, hashed), id_col, text_col, source_col=source_col, keep=[row], **options)
+    taken = plan.groupBy("doc_id", row).agg(F.sum("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
+    taken = cut(taken.withColumnsRenamed({"doc_id": id_, row: key}))
+    every = docs.withColumn(row, hashed).join(taken, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(row) == F.col(key)))
+    if docs.select(hashed.alias("k")).groupBy("k").count().where("count > 1").isEmpty():
         once = every
     else:  # equal rows share their copies
-        once = every.dropDuplicates(["_id", "_row"])
-    return once.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
+        once = every.dropDuplicates([id_, row])
+    return once.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(docs.columns)

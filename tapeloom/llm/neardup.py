@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tapeloom.llm.shared import cut
+from tapeloom.llm.shared import cut, own_name
 from tapeloom.llm.textblocks import blocks, list_column, mix, rolling, utf8, word_hashes, words
 
 SHINGLE = 5
@@ -114,7 +115,9 @@ def _signed(docs: DataFrame) -> DataFrame:
                 sample = list_column(np.bincount(row[some], minlength=rows), pa.array(shingle[some].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("node"), pa.array(n), lists, sample], ["doc_id", "node", "n", "bands", "sample"])
 
-    return docs.mapInArrow(run, "doc_id long, node binary, n long, bands array<long>, sample array<long>")
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("bands", longs), T.StructField("sample", longs)])
+    return docs.mapInArrow(run, schema)
 
 
 def _bags(texts: DataFrame) -> DataFrame:
@@ -146,10 +149,11 @@ def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components by alternating large-star and small-star steps: node, comp (the least node).
+    """Connected components: node, comp (the least node). Each round every node takes the least label around it, and
+    that label's own label; rounds are written tables.
 
-    Both steps group by a node's neighbours through the least of them only, with partial aggregation, so a
-    node with very many neighbours is no large group. Each round is a written table.
+    Groups are summed before the shuffle. The two joins meet a node with very many neighbours, or a component of very
+    many nodes, under one key with a single row on the other side: AQE's skew join splits such a key.
     """
     pairs = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x <> y")
     both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
@@ -178,7 +182,8 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str) ->
     Two texts are linked where the weighted Jaccard similarity of their bags of five-word shingles reaches
     ``similarity``; classes are the components of the links. Equal texts are one node. Texts of one to four words
     are one shingle. Texts without words (null counts as empty) are linked to equal texts only. Rows of equal
-    id and text are copies. An empty table gives an empty result; other columns are ignored.
+    id and text are copies. Ids may be of any type that sorts. An empty table gives an empty result; other columns
+    are ignored. A task holds a block of text or one longer text, some sixty times its size.
 
     Candidates are texts that share a bucket (band). All members of a bucket are verified against its leader, the
     text of which most is shared: originals come before their variants. So the copies and variants of one text
@@ -187,7 +192,7 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str) ->
     that reaches the similarity is left out: it is connected already or verified.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("node"))
+    source = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("node"))
     signed = cut(_signed(source))
     rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n", "bands", "sample")  # null ids last
     nodes = cut(signed.groupBy("node").agg(F.min(rep).alias("r")).select("node", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"), F.col("r.bands").alias("bands"), F.col("r.sample").alias("sample")))
@@ -199,7 +204,7 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str) ->
     common = cut(sample.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle"))
     score = cut(sample.join(common, "shingle").groupBy("node").agg((F.count(F.lit(1)) / F.max("all")).alias("score")))
     member = cut(member.join(score, "node", "left").select("bucket", "node", "n", F.coalesce("score", F.lit(0.0)).alias("score")))
-    comp = _link(source, wanted, member, similarity)
+    comp = _link(source, nodes.select("node", "rep"), wanted, member, similarity)
     named = cut(nodes.select("node", "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     least = cut(named.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "node")).alias("l")).select("comp", F.col("l.rep").alias("class_id"), F.col("l.node").alias("class_node")))
     by_node = cut(named.join(least, "comp").select("node", "class_id", "class_node"))
@@ -243,9 +248,12 @@ def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
     return cut(comp.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
 
 
-def _link(source: DataFrame, wanted: DataFrame, member: DataFrame, similarity: float) -> DataFrame:
-    """Components of the verified links: node, comp. member: bucket, node, n, score."""
-    bags = cut(_bags(source.select("node", "text").join(wanted.hint("merge"), "node", "left_semi")).dropDuplicates(["node"]))
+def _link(source: DataFrame, reps: DataFrame, wanted: DataFrame, member: DataFrame, similarity: float) -> DataFrame:
+    """Components of the verified links: node, comp. reps: node, rep (its least id); member: bucket, node, n, score."""
+    # the row with a text's least id stands for all its copies: these don't meet under the text's key
+    of = wanted.join(reps.hint("merge"), "node").select(F.col("node").alias("_n"), F.col("rep").alias("_r"))
+    one = source.join(of.hint("merge"), (F.col("node") == F.col("_n")) & F.col("doc_id").eqNullSafe(F.col("_r")), "left_semi")
+    bags = cut(_bags(one.select("node", "text")).dropDuplicates(["node"]))
     comp = wanted.select("node", F.col("node").alias("comp"))
     lead = member.groupBy("bucket").agg(F.max(F.struct("score", "node", "n")).alias("l")).select("bucket", F.col("l.node").alias("l_node"), F.col("l.n").alias("l_n"))
     # sizes further apart than the similarity can't overlap enough
@@ -261,13 +269,18 @@ def _link(source: DataFrame, wanted: DataFrame, member: DataFrame, similarity: f
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class, with all its columns: the one with the least id. Of rows with one id and text one stays."""
+    """One document of each class, with all its columns: the one with the least id. Of rows with one id and text one stays.
+
+    Classes as in ``_classes``. Of two rows with the least id the one whose text's hash is less stays. Null ids come
+    last. Columns may have any names; an empty table gives an empty one.
+    """
     found = cut(_classes(docs, similarity, id_col, text_col).select("doc_id", "node", "class_id", "class_node"))
+    id_, node_, rows_ = (own_name(x, docs) for x in ("_id", "_node", "_rows"))
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))
-    keep = cut(found.where(first).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("_rows")).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), "_rows"))
+    keep = cut(found.where(first).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias(rows_)).withColumnsRenamed({"doc_id": id_, "node": node_}))
     node = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    stay = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (node == F.col("_node")))
-    once = stay.where("_rows = 1").select(docs.columns)
-    if keep.where("_rows > 1").isEmpty():
+    stay = docs.join(keep, F.col(id_col).eqNullSafe(F.col(id_)) & (node == F.col(node_)))
+    once = stay.where(F.col(rows_) == 1).select(docs.columns)
+    if keep.where(F.col(rows_) > 1).isEmpty():
         return once
-    return once.unionByName(stay.where("_rows > 1").dropDuplicates(["_id", "_node"]).select(docs.columns))
+    return once.unionByName(stay.where(F.col(rows_) > 1).dropDuplicates([id_, node_]).select(docs.columns))

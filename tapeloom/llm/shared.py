@@ -11,23 +11,56 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Used where spark.checkpoint.dir is unset and driver and executors are one process.
+LOCAL_DIR = "/tmp/checkpoints"
+#: Tables that ``cut`` has written in this process.
+_written: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local run takes LOCAL_DIR. A cluster has no such folder, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return found.rstrip("/") if found else "/tmp/checkpoints"
+    if found:
+        return found.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return LOCAL_DIR
+    raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    The table outlives executors, so what is built on it restarts from files, not from the first scan.
+    The table outlives executors, so what is built on it restarts from files, not from the first scan. It stays
+    until ``clear`` is called, as results are lazy and read it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tapeloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that ``cut`` has written; how many. For when all results built on them are written."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
+def own_name(wanted: str, *frames: DataFrame) -> str:
+    """``wanted``, with as many underscores after it as keep it from any column of the frames, case ignored."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

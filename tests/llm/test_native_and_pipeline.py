@@ -78,6 +78,17 @@ def test_fingerprints(spark, edge):
     assert merkle.fingerprint_edits(edge.where("doc_id = 5")).first()["near_next"] == 1.0
 
 
+def test_ranges_are_partitions_and_ids_are_numbers(spark):
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string")
+    out = merkle.with_next(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "shufflepartitionidpassthrough" in plan
+    assert plan.count("hashpartitioning(_range") == 1  # that of the guests, a row a range
+    assert {r["doc_id"]: r["next_text"] for r in out.collect()} == {i: f"text {(i - 1) % 3000}" for i in range(3000)}
+    with pytest.raises(ValueError, match="whole number"):
+        merkle.with_next(df.select(F.col("doc_id").cast("string"), "text"))
+
+
 def test_differing_branches(spark):
     a, b = "h1\np one. p two.\n\ns2\nq", "h1\np one. p 2.\n\ns2\nq\nr"
     df = spark.createDataFrame([(a, b)], "a string, b string").select(merkle.differing(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("d"))
@@ -138,6 +149,82 @@ def test_mix_overlapping_sources_and_edges(spark, edge):
     assert mixing.mixed(edge).columns == edge.columns
 
 
+def test_mixed_keeps_columns_of_any_name_and_ids_of_any_type(spark):
+    rows = [(f"d{i}", "w " * 10, "a" if i < 20 else None, i, i, i, i, i) for i in range(40)] + [("e", None, "a", 0, 0, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, _id int, _key int, _copies int, _row int, _n int")
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    got = Counter(map(tuple, out.collect()))
+    want = {r["doc_id"]: r["copies"] for r in mixing.mix(df).collect()}
+    assert got == Counter({r: want[r[0]] for r in rows if want[r[0]]})
+
+
+def test_too_many_sets_of_sources_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    df = spark.createDataFrame([(i, "w", str(i)) for i in range(5)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="group the sources"):
+        mixing.mix(df)
+
+
+def test_flow_of_many_sources_is_quick():
+    n = 20_000
+    flow = mixing.route([10] * n, [[i] for i in range(n)], [5 + i % 30 for i in range(n)])
+    assert [f[i] for i, f in enumerate(flow)] == [min(30, 5 + i % 30) for i in range(n)]
+
+
+def test_shared_folder(spark, monkeypatch):
+    from tapeloom.llm import shared
+
+    table = shared.cut(spark.range(3))
+    assert table.count() == 3
+    assert shared.clear(spark) > 0 and shared.clear(spark) == 0
+
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getConf": staticmethod(lambda: {}), "master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_dir(Cluster())
+
+
+def test_pipeline_on_an_empty_table_and_clashing_names(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for table, rows in (("documents", docs.limit(0)), ("benchmark", spark.read.parquet(f"{SF}/benchmark.parquet"))):
+        rows.write.parquet(f"{tmp_path}/{table}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    names = ("_id", "_node", "_rows", "_row", "_n", "_key", "_copies", "class_id", "size", "shard", "kind", "n", "g")
+    more = docs.where("doc_id < 40").withColumns({x: F.lit(1) for x in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns, name
+        assert out.select(F.min("_n"), F.max("_row")).first() == (1, 1)
+    assert corpus_pipeline.shards(spark, more, SF).count() == more.count()
+
+
+@pytest.mark.parametrize("stage", ["op5", "op7", "op8", "op9"])
+def test_a_text_of_megabytes(spark, stage):
+    """One text of 6 MB among small ones goes through; a worker then holds some sixty times its size."""
+    import random
+
+    from tapeloom.llm import decontaminate, langid, neardup, phrases
+
+    rng = random.Random(1)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(800_000))
+    tail = long[-3000:]
+    df = spark.createDataFrame([(1, long, "en"), (2, tail, "en"), (3, "short one", "en")], "doc_id long, text string, lang string").repartition(1)
+    if stage == "op5":
+        assert {r["class_id"] for r in neardup.classes(df).collect()} == {1, 2, 3}
+    elif stage == "op7":
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in phrases.remove(phrases.recurring(df)).collect()}
+        whole = tail.split()[1:]
+        assert got[1] == (800_000, got[2][1]) and len(whole) <= got[2][1] <= len(whole) + 1
+    elif stage == "op8":
+        assert {r["lang_pred"] for r in langid.identify(df, langid.fit(df)).collect()} == {"en"}
+    else:
+        bench = spark.createDataFrame([(1, " ".join(tail.split()[100:140]))], "item_id long, text string")
+        assert sorted(r["doc_id"] for r in decontaminate.search(df, bench).collect()) == [1, 2]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     seen, kept = [docs], {}

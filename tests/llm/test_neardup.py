@@ -96,3 +96,32 @@ def test_large_near_group_chains_and_edges(spark):
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted({c for _, c in plain_classes(rows)}, key=str)
     assert nd.deduplicate(df.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_and_ids_of_any_type(spark):
+    rows = [("b", "one two three four five six", 1, 2, 3, 4), ("a", "one two three four five six", 5, 6, 7, 8), (None, "seven", 9, 0, 1, 2), ("c", None, 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, _id int, _node int, _rows int, _Node_ int")
+    kept = nd.deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[3]], key=str)
+    assert sorted(((r["doc_id"], r["class_id"]) for r in nd.classes(df).collect()), key=str) == sorted([("b", "a"), ("a", "a"), (None, None), ("c", "c")], key=str)
+
+
+def test_near_copies_caught_against_exact_pairs(spark):
+    """Recall for the stated query set: every row whose id is divisible by 50, against all rows, at sf0.1."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()]
+    bags = {d: bag(t) for d, t in rows}
+    where = {}
+    for d, b in bags.items():
+        for x in b:
+            where.setdefault(x, []).append(d)
+    class_of = dict(got(spark.createDataFrame(rows, "doc_id long, text string")))
+    due = 0
+    for q in (d for d in bags if d % 50 == 0):
+        size = sum(bags[q].values())
+        met = {d for x in bags[q] for d in where[x] if d != q and 0.8 * size - 1 <= sum(bags[d].values()) <= size / 0.8 + 1}
+        for d in met:
+            if similarity(bags[q], bags[d]) >= 0.8:
+                due += 1
+                assert class_of[q] == class_of[d]
+    assert due > 20
