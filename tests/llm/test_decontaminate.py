@@ -49,10 +49,57 @@ def test_planted_edits_are_found_and_clean_text_is_left(spark):
         docs.append((k, text))
         n = len(plain_words(t))
         want[k] = (i, plain_best(plain_words(t), plain_words(text)), int(0.2 * n + 1e-9))
-    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in d.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    text_of = {i: plain_words(t) for i, t in items}
+    for k in range(300, 400):  # clean: words of items, shuffled, and items with too many edits
+        words = text_of[rng.choice(items)[0]][:]
+        if k % 2:
+            rng.shuffle(words)
+        else:
+            for at in rng.sample(range(len(words)), int(0.2 * len(words)) + 2):
+                words[at] = f"other{at}"
+        docs.append((k, " ".join(words)))
+    found = d.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in found}
     due = {(k, i): e for k, (i, e, most) in want.items() if e <= most}
     assert sum(got.get(x) == e for x, e in due.items()) >= 0.98 * len(due)
-    assert all(k in want for k, _ in got)
+    text = {k: plain_words(t) for k, t in docs}
+    for (k, i), e in got.items():  # whatever is found is that near
+        assert e == plain_best(text_of[i], text[k]) <= int(0.2 * len(text_of[i]) + 1e-9)
+    assert not {k for k, _ in got if k >= 300 and min(plain_best(t, text[k]) - int(0.2 * len(t) + 1e-9) for t in text_of.values()) > 0}
+
+
+def test_largest_edits_are_found_at_every_length():
+    """Recall of the LSH at the full edit budget, and how many unrelated windows pass it."""
+    rng = np.random.default_rng(5)
+    for n in (10, 20, 50, 100):
+        most, found, passed = int(0.2 * n + 1e-9), 0, 0
+        for _ in range(100):
+            words = [f"a{x}" for x in rng.integers(0, 10**6, n)]
+            other = [f"b{x}" for x in rng.integers(0, 10**6, n)]
+            items = d.Items([1], [" ".join(words)])
+            copy = list(words)
+            for _ in range(most):
+                at, what = rng.integers(len(copy)), rng.integers(3)
+                copy[at : at + 1] = [] if what == 0 else ["x"] if what == 1 else [copy[at], "y"]
+            hits = items.match([" ".join(["p"] * 7 + copy + ["q"] * 7)])
+            found += bool(hits)
+            symbols, first = d.normal_words([" ".join(other)])
+            passed += items.near(symbols, first, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))[0]
+        assert found >= 97
+        assert passed <= 12
+
+
+def test_items_of_very_different_lengths_stay_small():
+    texts = [" ".join(f"w{i}_{j}" for j in range(50)) for i in range(200)] + [" ".join(f"v{j}" for j in range(5000))]
+    items = d.Items(list(range(201)), texts)
+    assert items.values.nbytes < 201 * 1200
+    assert [(r, i, c) for r, i, _, _, c in items.match([texts[200], texts[3], "none of them"])] == [(0, 200, 0), (1, 3, 0)]
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("d1", "one two three four five")], "doc_id string, text string")
+    bench = spark.createDataFrame([("i1", "one two three four five")], "item_id string, text string")
+    assert [tuple(r)[:2] for r in d.search(docs, bench).collect()] == [("d1", "i1")]
 
 
 def test_documents_match_exact_containment(spark):
