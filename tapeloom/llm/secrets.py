@@ -10,6 +10,9 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tapeloom.llm.textblocks import blocks
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -27,10 +30,10 @@ CLASSES = (
     ("base64", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"), 3.9),
 )
 CANDIDATE = CLASSES[2][1]
-#: Candidates that aren't secrets: identifiers, placeholders, counting sequences.
+#: What is no secret within a candidate: identifiers, placeholders, counting sequences. What stands around it is looked at.
 ALLOWED = re.compile(
-    r"[0-9]+|[A-Za-z/_+-]+|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-    r"|.*(?:example|placeholder|changeme|dummy|sample|xxxx|0123456789|abcdefghij).*",
+    r"(?<![0-9A-Za-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9A-Za-z])"
+    r"|example|placeholder|changeme|dummy|sample|x{4,}|0123456789|abcdefghij",
     re.ASCII | re.IGNORECASE,
 )
 _C_LOG_C = [0.0, *(c * log2(c) for c in range(1, WINDOW + 1))]
@@ -74,16 +77,21 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
-    """Spans of high entropy in candidate strings of any class that no allow-list entry covers, merged."""
+    """Spans of high entropy in candidate strings of any class, without what the allow-list covers, merged."""
     found = []
     for outer in CANDIDATE.finditer(text):
-        if ALLOWED.fullmatch(outer[0]):
-            continue
-        for _, pattern, threshold in CLASSES:
-            for inner in pattern.finditer(outer[0]):
-                if not ALLOWED.fullmatch(inner[0]):
-                    at = outer.start() + inner.start()
-                    found += [(at + a, at + b) for a, b in hot_windows(inner[0], threshold)]
+        at, parts = 0, []
+        for x in ALLOWED.finditer(outer[0]):
+            parts.append((at, x.start()))
+            at = x.end()
+        parts.append((at, len(outer[0])))
+        for a, b in parts:
+            if b - a < WINDOW:
+                continue
+            part, first = outer[0][a:b], outer.start() + a
+            for _, pattern, threshold in CLASSES:
+                for inner in pattern.finditer(part):
+                    found += [(first + inner.start() + x, first + inner.start() + y) for x, y in hot_windows(inner[0], threshold)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:
@@ -107,16 +115,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """Every secret of every text: doc_id and secrets (array of kind, start, end; code points, end exclusive).
 
     Kinds: assign, access and hex by pattern, entropy by windows. Null text counts as empty and has none. One
-    row for each row, repeated rows too; an empty table gives an empty result; other columns are ignored.
+    row for each row, repeated rows too; ids may be of any type; an empty table gives an empty result; other columns
+    are ignored. A task holds some three megabytes of text, or one longer text, at once.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [[{"kind": k, "start": a, "end": b} for k, a, b in find(t)] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], ["doc_id", "secrets"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, secrets array<struct<kind:string,start:int,end:int>>")
+        for whole in batches:
+            for part in blocks(whole):
+                rows = [[{"kind": k, "start": a, "end": b} for k, a, b in find(t)] for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind)], ["doc_id", "secrets"])
+
+    source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    return source.mapInArrow(run, T.StructType([source.schema["doc_id"], T.StructField("secrets", T.ArrayType(span))]))
 
 
 def digest(found: DataFrame) -> DataFrame:
