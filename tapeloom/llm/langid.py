@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.shared import cut
 from tapeloom.llm.textblocks import blocks, code_points, letters, list_column, lowered, runs
@@ -184,12 +185,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     Returns doc_id, lang_pred (the language of most letters; ``und`` where the text is null or has no letter),
     score (its share of the letters, 0 for ``und``) and spans (array of start, end, lang; code points from 0, end
     exclusive; from the first word of a run of words in one language to its last). A word is a run of letters.
-    Ties go to the language that sorts first. Every word gets the best of the model's languages, also where none
+    Ties go to the language that sorts first. A text is walked word by word along with the others of its block, so a
+    text of a million words takes some twenty seconds, and some sixty times its size of memory. Every word gets the best of the model's languages, also where none
     fits; ``select_languages`` judges that. One row for each row; other columns are ignored.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # buckets x languages, whatever the corpus
-    schema = "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
+    kinds = [docs.schema[id_col].dataType, T.StringType(), T.DoubleType(), T.ArrayType(span)]
+    schema = T.StructType([T.StructField(x, k) for x, k in zip(NAMES, kinds, strict=True)])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -197,7 +201,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 found = _label([t or "" for t in part.column("text").to_pylist()], shared.value, switch)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *found], NAMES)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(label, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(label, schema)
 
 
 def select_languages(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5, switch: float = SWITCH, spread: float = SPREAD) -> DataFrame:
@@ -206,7 +210,8 @@ def select_languages(docs: DataFrame, model: Model, text_col: str = "text", leas
     Words in a script that no language of the model's is written in are in no language. Left out are documents
     without letters, those of whose letters no language has a share of ``least``, and those of which the words in
     the main language score worse a letter than its labelled texts do, by more than ``spread`` standard deviations
-    for a text of that many letters. A model without ``own`` sets no such bound.
+    for a text of that many letters. A model without ``own`` sets no such bound. Null and empty texts go, equal rows
+    stay or go together, columns may have any names, and an empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -43,9 +43,9 @@ CELL_BITS = 16
 #: Bytes of a window's hash that travel beside the 64 bits of its anchor.
 SHORT = 6
 #: Bytes of text that a task works on at once: hashes and prefix sums take some fifty times as much.
-BLOCK = 1_000_000
+BLOCK = 500_000
 #: Words of documents in a shard, on average.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 1_000_000
 #: A key phrase has so many words at most.
 KEY_WORDS = 8
 #: Windows whose words are compared at once.

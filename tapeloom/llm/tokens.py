@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.textblocks import blocks
 
@@ -62,7 +63,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "maj
     ranks = spark.sparkContext.broadcast(load_ranks(spark, vocabulary))
     parts = F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields)) if fields else None
     source = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).alias("doc_id"),
         (F.array_join(parts, "\n") if fields else F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
         (F.transform(parts, lambda x: F.octet_length(x) + 1) if fields else F.lit(None).cast("array<int>")).alias("lengths"),
     )
@@ -109,4 +110,5 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "maj
                     ["doc_id", "section", "start", "end", "n_tokens", "token_share", "n_crossing"],
                 )
 
-    return source.mapInArrow(run, "doc_id long, section long, start long, end long, n_tokens long, token_share double, n_crossing long")
+    longs = [T.StructField(x, T.DoubleType() if x == "token_share" else T.LongType()) for x in ("section", "start", "end", "n_tokens", "token_share", "n_crossing")]
+    return source.mapInArrow(run, T.StructType([source.schema["doc_id"], *longs]))
