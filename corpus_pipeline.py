@@ -1,4 +1,9 @@
-"""A training corpus from raw documents: language, near-duplicates, benchmark passages, source mix, shards."""
+"""A training corpus from raw documents: language, near-duplicates, benchmark passages, source mix, shards.
+
+Every stage takes documents with any further columns, whatever their names, and an empty table gives an empty one.
+Null and empty texts go in the first stage, as they are in no language. Of equal rows one stays after the second.
+Null ids are ids of their own that come last among equals. What a stage does with ties is said at its operator.
+"""
 
 from __future__ import annotations
 
@@ -42,7 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents, each written to the shared folder before the next."""
+    """All stages on the documents, each written to the shared folder before the next. ``shared.clear`` deletes these tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir))
