@@ -33,35 +33,46 @@ def _epoch(ts: str | Column) -> Column:
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, low: int, high: int, how: str = "inner") -> DataFrame:
     """Pairs with right_ts in [left_ts + low, left_ts + high] seconds and equal keys (right's are dropped).
 
-    Time is cut into buckets as long as the interval: a left row looks in two of them by an equi-join, so
-    there is no range join. Column names other than the keys must differ.
+    Time is cut into buckets as long as the interval. A left row is in the bucket where its interval begins; a right
+    row is looked for from its own bucket and from the one before: an equi-join, no range join. Each pair meets once,
+    so ``how`` may be inner or left. Rows of null keys or times match nothing. Column names other than the keys must differ.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
     size = max(1, high - low) * 1_000_000
-    l_key = F.floor((_epoch(left_ts) + low * 1_000_000) / size)
-    spread = left.withColumn("_id", F.monotonically_increasing_id()) if how == "left" else left
-    spread = spread.withColumn("_bucket", F.explode(F.array(l_key, l_key + 1)))
-    side = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]).withColumn("_r_bucket", F.floor(_epoch(right_ts) / size))
+    bucket = F.floor(_epoch(right_ts) / size)
+    side = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]).withColumn("_r_bucket", F.explode(F.array(bucket, bucket - 1)))
+    spread = left.withColumn("_bucket", F.floor((_epoch(left_ts) + low * 1_000_000) / size))
     on = (F.col("_bucket") == F.col("_r_bucket")) & (_epoch(right_ts) >= _epoch(left_ts) + low * 1_000_000) & (_epoch(right_ts) <= _epoch(left_ts) + high * 1_000_000)
     for k in keys:
         on = on & (F.col(k) == F.col(f"_r_{k}"))
-    met = spread.join(side, on).drop("_bucket", "_r_bucket", *[f"_r_{k}" for k in keys])
-    if how != "left":
-        return met
-    # left rows without a match: the first bucket's copy of those that met nothing
-    lonely = left.withColumn("_id", F.monotonically_increasing_id()).join(met.select("_id").distinct(), "_id", "left_anti").drop("_id")
-    return met.drop("_id").unionByName(lonely, allowMissingColumns=True)
+    return spread.join(side, on, how).drop("_bucket", "_r_bucket", *[f"_r_{k}" for k in keys])
 
 
 def point_in_interval(points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, bucket: str = "minute") -> DataFrame:
-    """Points with the spans [start, end] that hold them, for spans no longer than one bucket: an equi-join on buckets."""
-    side = spans.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[c for c in spans.columns if c not in keys])
-    side = side.withColumn("_b", F.explode(F.array_distinct(F.array(F.date_trunc(bucket, start), F.date_trunc(bucket, end)))))
+    """Points with the spans [start, end] that hold them: an equi-join on the buckets (a unit of ``date_trunc``) that a span touches.
+
+    Spans may be of any length; a row is made for each bucket of a span, so buckets should be about as long as spans are.
+    """
+    side = spans.where(F.col(start) <= F.col(end)).select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[c for c in spans.columns if c not in keys])
+    side = side.withColumn("_b", F.explode(F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"interval 1 {bucket}"))))
     on = (F.date_trunc(bucket, at) == F.col("_b")) & F.col(at).between(F.col(start), F.col(end))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_s_{k}"))
     return points.join(side, on).drop("_b", *[f"_s_{k}" for k in keys])
 
 
+def join_with_fallback(left: DataFrame, first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows with the attributes of a dimension, each taken from ``second`` where ``first`` has no row or no value.
+
+    Both are dimensions with one row a key and the same columns; Spark broadcasts them if their size allows.
+    """
+    values = [c for c in first.columns if c not in keys]
+    of = lambda df, tag: df.select(*keys, *[F.col(c).alias(f"{tag}_{c}") for c in values])
+    both = left.join(of(first, "_a"), list(keys), "left").join(of(second, "_b"), list(keys), "left")
+    return both.select(*left.columns, *[F.coalesce(f"_a_{c}", f"_b_{c}").alias(c) for c in values])
+
+
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], left_flag: str, right_flag: str) -> DataFrame:
     """Full outer join with single key columns and flags of presence."""
     both = left.withColumn(left_flag, F.lit(True)).join(right.withColumn(right_flag, F.lit(True)), list(keys), "full_outer")

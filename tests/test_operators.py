@@ -72,6 +72,29 @@ def test_interval_join_matches_range_join(spark, how):
     assert got == want
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_interval_join_keeps_every_left_row_however_it_is_partitioned(spark, how):
+    left = spark.range(2000).select(F.col("id").alias("lid"), F.lit("s").alias("k"), F.timestamp_seconds(F.col("id") * 10).alias("lt")).repartition(7)
+    right = spark.range(0, 2000, 4).select(F.col("id").alias("rid"), F.lit("s").alias("k"), F.timestamp_seconds(F.col("id") * 10).alias("rt")).repartition(5)
+    got = sorted(((r["lid"], r["rid"]) for r in joins.interval_join(left, right, ["k"], "lt", "rt", -5, 5, how).collect()), key=str)
+    want = [(i, i if i % 4 == 0 else None) for i in range(2000) if i % 4 == 0 or how == "left"]
+    assert got == sorted(want, key=str)
+
+
+def test_points_in_long_spans_and_empty_ones(spark):
+    points = spark.createDataFrame([("a", ts(5), 1), ("a", ts(90), 2), ("a", ts(400), 3), ("b", ts(5), 4)], "k string, at timestamp_ntz, p int").repartition(3)
+    spans = spark.createDataFrame([("a", ts(0), ts(120), 1), ("a", ts(90), ts(90), 2), ("a", ts(200), ts(100), 3), ("a", None, ts(9), 4)], "k string, a timestamp_ntz, e timestamp_ntz, s int").repartition(2)
+    got = {(r["p"], r["s"]) for r in joins.point_in_interval(points, spans, ["k"], "at", "a", "e").collect()}
+    assert got == {(1, 1), (2, 1), (2, 2)}
+
+
+def test_dimension_with_fallback(spark):
+    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    first = spark.createDataFrame([(1, "a", None), (2, None, "x")], "k int, v string, w string")
+    second = spark.createDataFrame([(1, "b", "y"), (3, "c", None)], "k int, v string, w string")
+    assert sorted(map(tuple, joins.join_with_fallback(left, first, second, ["k"]).collect())) == [(1, "a", "y"), (2, None, "x"), (3, "c", None)]
+
+
 def test_keep_latest_and_priorities(spark):
     df = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), (None, 1, "n"), ("b", 1, None)], "k string, at int, v string")
     assert {(r["k"], r["v"]) for r in dedupe.keep_latest(df, ["k"], [F.col("at")]).collect()} == {("a", "new"), (None, "n"), ("b", None)}
@@ -80,12 +103,28 @@ def test_keep_latest_and_priorities(spark):
     assert [r["v"] for r in u.collect()] == ["old"]
 
 
-def test_all_stages_run_on_text_input(spark):
-    for name, spec in staging.STAGES.items():
-        raw = spark.createDataFrame([tuple("1" for _ in spec.columns), tuple("bad" for _ in spec.columns), tuple(None for _ in spec.columns)], ", ".join(f"{c} string" for c in spec.columns))
-        out = staging.stage(raw, spec)
-        assert out.columns == list(spec.columns), name
-        assert out.count() <= 2
+def test_stages_keep_rows_on_their_bounds_and_drop_rows_beyond(spark):
+    """Each domain rule alone turns a good row away; a good row passes; the later of two versions stays."""
+    from tapeloom.plans.staged import RAW
+
+    good = {
+        "options": {"instrument_name": "I", "timestamp": "2024-01-01 00:00:00", "underlying": "btc", "option_type": "c", "strike": "1", "index_price": "1", "underlying_price": "1", "mark_price": "0", "mark_iv": "0", "mid_iv": "0", "open_interest": "0", "delta": "-1.05"},
+        "funding": {"exchange": "X", "symbol": "eth", "timestamp": "2024-01-01 00:00:00", "mark_price": "1", "spot_price": "1", "basis_pct": "20", "funding_rate_coin": "-10", "funding_rate_usdt": "10"},
+        "telegram": {"channel": "C", "message_id": "7", "text": "t", "nlp_compound": "1", "signal_type": "bullish", "views": "0", "engagement_score": "0.99"},
+    }
+    bad = {
+        "options": {"underlying": "sol", "option_type": "x", "strike": "0", "index_price": "0", "underlying_price": "bad", "mark_price": "-0.1", "mark_iv": "-1", "mid_iv": None, "open_interest": "-1", "delta": "1.051", "instrument_name": None},
+        "funding": {"symbol": "SOL", "mark_price": "0", "spot_price": None, "basis_pct": "20.1", "funding_rate_coin": "-10.1", "funding_rate_usdt": "11", "exchange": None},
+        "telegram": {"text": "", "nlp_compound": "1.1", "signal_type": "odd", "views": "-1", "engagement_score": "0.98", "message_id": "x"},
+    }
+    assert {k for k, _ in RAW.values()} == set(staging.STAGES) - {"trades"}
+    for kind, row in good.items():
+        spec = staging.STAGES[kind]
+        rows = [row | {"ingestion_time": "2024-02-01 00:00:00", "run_id": "old"}, row | {"ingestion_time": "2024-02-02 00:00:00", "run_id": "new"}]
+        rows += [row | {c: v, "ingestion_time": "2024-03-01 00:00:00", "run_id": c} for c, v in bad[kind].items()]
+        out = staging.stage(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in rows[0])), spec)
+        assert [r["run_id"] for r in out.collect()] == ["new"], kind
+        assert out.columns == [c for c in spec.columns if c not in spec.helpers]
 
 
 def test_rule_alerts_fire_only_where_met(spark):
