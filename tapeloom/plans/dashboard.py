@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import columns as C
 from tapeloom.mlops import training
-from tapeloom.operators import alerts, dedupe, series
-from tapeloom.plans.features import CORE_SQL, by_symbol, core_fact, wide_features
+from tapeloom.operators import dedupe, series
+from tapeloom.plans.features import by_symbol
 from tapeloom.plans.market import TRADES_HOURLY_SQL, reserve_enriched, trades_hourly
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
@@ -90,45 +90,6 @@ def heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("symbol", "price_bucket", "total_usd", "hit_count", "avg_money_flow", "distance_pct", norm.alias("magnet_norm"), C.label_by([(F.col("distance_pct") > 1, "ABOVE"), (F.col("distance_pct") < -1, "BELOW")], "AT_SPOT").alias("bucket_location"))
 
 
-@query(
-    "m27_ai_signal",
-    f"""with f as ({CORE_SQL}) select hour_ts, symbol, case when overall_risk_score >= 70 then 'RISK_ALERT' when core_signal = 'BULLISH' and market_momentum_score >= 40 then 'STRONG_BUY' when core_signal = 'BULLISH' then 'BUY' when core_signal = 'BEARISH' then 'SELL' else 'HOLD' end as dashboard_signal,
-        greatest(0, least(100, case when overall_risk_score >= 70 then overall_risk_score when core_signal in ('BULLISH', 'BEARISH') then abs(market_momentum_score) + 20 else 50 - overall_risk_score / 4 end)) as signal_confidence from f""",
-    "signal_confidence",
-)
-def ai_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = core_fact(wide_features(spark, sf_dir))
-    risk, mom, sig = F.col("overall_risk_score"), F.col("market_momentum_score"), F.col("core_signal")
-    conf = F.when(risk >= 70, risk).when(sig.isin("BULLISH", "BEARISH"), F.abs(mom) + 20).otherwise(F.lit(50) - risk / 4)
-    return f.select("hour_ts", "symbol", C.label_by([(risk >= 70, "RISK_ALERT"), ((sig == "BULLISH") & (mom >= 40), "STRONG_BUY"), (sig == "BULLISH", "BUY"), (sig == "BEARISH", "SELL")], "HOLD").alias("dashboard_signal"), C.clamp(conf, 0, 100).alias("signal_confidence"))
-
-
-def alert_rules() -> list[alerts.Rule]:
-    """Thresholds, categories and actions are fixed values; messages carry no numbers."""
-    z = C.zero
-    band = lambda x, crit, high: [(z(x) >= crit, "CRITICAL"), (z(x) >= high, "HIGH")]
-    return [
-        alerts.Rule("SYSTEM_RISK", "risk", band("overall_risk_score", 80, 65), F.lit("Overall risk is high"), z("overall_risk_score"), "Reduce exposure"),
-        alerts.Rule("DERIVATIVES_CROWDING", "derivatives", band("derivatives_risk_score", 80, 65), F.lit("Derivatives are crowded"), z("derivatives_risk_score"), "Check funding and leverage"),
-        alerts.Rule("STABLECOIN_DEPEG", "liquidity", band("max_abs_peg_deviation_pct", 2, 0.5), F.concat(F.lit("Worst peg: "), F.coalesce("worst_peg_symbol", F.lit("UNKNOWN"))), z("max_abs_peg_deviation_pct") * 10, "Review pegs"),
-        alerts.Rule("SOCIAL_PANIC", "social", [(z("social_sentiment_score") <= -35, "HIGH")], F.lit("Sentiment is very low"), F.abs(z("social_sentiment_score")), "Review narratives"),
-    ]
-
-
-@query(
-    "m28_alert_fan_out",
-    f"""with f as ({CORE_SQL}), a as (
-      select hour_ts, symbol, 'SYSTEM_RISK' as alert_type, 'risk' as alert_category, case when overall_risk_score >= 80 then 'CRITICAL' when overall_risk_score >= 65 then 'HIGH' end as alert_severity, 'Overall risk is high' as alert_message, overall_risk_score::double as alert_score, 'Reduce exposure' as recommended_action from f
-      union all select hour_ts, symbol, 'DERIVATIVES_CROWDING', 'derivatives', case when derivatives_risk_score >= 80 then 'CRITICAL' when derivatives_risk_score >= 65 then 'HIGH' end, 'Derivatives are crowded', derivatives_risk_score, 'Check funding and leverage' from f
-      union all select hour_ts, symbol, 'STABLECOIN_DEPEG', 'liquidity', case when max_abs_peg_deviation_pct >= 2 then 'CRITICAL' when max_abs_peg_deviation_pct >= 0.5 then 'HIGH' end, 'Worst peg: ' || coalesce(worst_peg_symbol, 'UNKNOWN'), coalesce(max_abs_peg_deviation_pct, 0) * 10, 'Review pegs' from f
-      union all select hour_ts, symbol, 'SOCIAL_PANIC', 'social', case when social_sentiment_score <= -35 then 'HIGH' end, 'Sentiment is very low', abs(social_sentiment_score), 'Review narratives' from f)
-      select * from a where alert_severity is not null""",
-    "alert_score",
-)
-def alert_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.rule_alerts(core_fact(wide_features(spark, sf_dir)), ["hour_ts", "symbol"], alert_rules())
-
-
 @query(
     "m29_exchange_risk_latest",
     """with e as (select month_date, exchange, trade_volume_24h_usd / nullif(actual_reserve_usd, 0) as u, actual_reserve_usd as r from v_reserve), l as (select *, row_number() over (partition by exchange order by month_date desc) as rn, lag(u) over (partition by exchange order by month_date) as pu from e)
@@ -145,19 +106,6 @@ def exchange_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("exchange", "month_date", "utilization", C.label_by([(d.isNull(), "NEW"), (d > 0, "WORSENING"), (d < 0, "IMPROVING")], "STABLE").alias("trend"), C.label_by([(u > 45, "HIGH"), (u > 30, "MEDIUM")], "LOW").alias("risk_badge"))
 
 
-@query(
-    "m32_kpi_latest",
-    f"""with f as ({CORE_SQL}), l as (select *, row_number() over (partition by symbol order by hour_ts desc) as rn from f)
-      select symbol, hour_ts, close_price, overall_risk_score, date_diff('second', hour_ts, timestamp '2024-01-31') // 60 as age_minutes, case when date_diff('second', hour_ts, timestamp '2024-01-31') // 60 <= 90 then 'FRESH' when date_diff('second', hour_ts, timestamp '2024-01-31') // 60 <= 240 then 'STALE' else 'OLD' end as freshness,
-        case when overall_risk_score >= 75 then 'RED' when overall_risk_score >= 50 then 'AMBER' else 'GREEN' end as risk_badge from l where rn = 1""",
-    "close_price overall_risk_score",
-)
-def kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = dedupe.keep_latest(core_fact(wide_features(spark, sf_dir)), ["symbol"], [F.col("hour_ts")])
-    age, risk = F.timestamp_diff("MINUTE", F.col("hour_ts"), F.lit("2024-01-31").cast("timestamp_ntz")), F.col("overall_risk_score")
-    return last.select("symbol", "hour_ts", "close_price", "overall_risk_score", age.alias("age_minutes"), C.label_by([(age <= 90, "FRESH"), (age <= 240, "STALE")], "OLD").alias("freshness"), C.label_by([(risk >= 75, "RED"), (risk >= 50, "AMBER")], "GREEN").alias("risk_badge"))
-
-
 @query("m21_metric_catalog", "select md5(n_name || '|' || cast(n_regionkey as varchar)) as metric_sk, n_name as metric_name, r_name as metric_group, row_number() over (partition by r_name order by n_name) as sort_order from nation join region on n_regionkey = r_regionkey")
 def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog dimension with surrogate keys and an order within its groups."""

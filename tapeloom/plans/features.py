@@ -8,7 +8,6 @@ from pyspark.sql.window import WindowSpec
 
 from tapeloom.functions import columns as C
 from tapeloom.operators import dedupe, joins, series
-from tapeloom.plans.market import funding_hourly, peg_cross_section, trades_hourly
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
 
@@ -283,62 +282,6 @@ def filled_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("price_date", "symbol", series.fill("rate", series.by(["symbol"], ["price_date"]), backward=True).alias("filled"))
 
 
-# --- M16, M17: wide features, scores and the core fact ---------------------------------------------------------------
-
-
-def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly trades with funding of the hour and the latest daily pegs known by then."""
-    market = trades_hourly(view(spark, sf_dir, "v_trades"))
-    funding = funding_hourly(view(spark, sf_dir, "v_funding")).select("hour_ts", "symbol", "avg_funding_rate_coin", "avg_basis_pct", "max_leverage_stress")
-    social = view(spark, sf_dir, "v_posts").groupBy((F.col("post_id") % 720).alias("hour_no")).agg(C.weighted_avg(F.col("sentiment"), F.col("engagement")).alias("social_weighted_avg_sentiment"))
-    first = market.agg(F.min("hour_ts").alias("first_ts"))
-    hourly = market.join(funding, ["hour_ts", "symbol"], "left").crossJoin(F.broadcast(first))  # one row
-    hourly = hourly.withColumn("hour_no", F.floor((F.unix_timestamp(F.col("hour_ts").cast("timestamp")) - F.unix_timestamp(F.col("first_ts").cast("timestamp"))) / 3600)).join(social, "hour_no", "left").drop("hour_no", "first_ts")
-    daily = peg_cross_section(spark, sf_dir).select((F.col("price_date").cast("timestamp_ntz") + F.expr("interval 9131 days")).alias("peg_at"), "max_abs_peg_deviation_pct", "worst_peg_symbol", "off_peg_count")
-    return joins.asof_join(hourly, daily, [], "hour_ts", "peg_at", ["worst_peg_symbol"], ["max_abs_peg_deviation_pct", "worst_peg_symbol", "off_peg_count"], "21 days")
-
-
-def core_fact(features: DataFrame) -> DataFrame:
-    """Clamped scores, regime, signal and flags. Weights and thresholds are fixed values."""
-    z = C.zero
-    momentum = C.clamp(z("return_1h") * 500 + z("avg_return_24h") * 300 + z("quote_volume_zscore_24h") * 5, -100, 100)
-    social = C.clamp(z("social_weighted_avg_sentiment") * 100, -100, 100)
-    derivatives = C.clamp(z(F.abs("avg_funding_rate_coin")) * 1.2 + z(F.abs("avg_basis_pct")) * 2 + z("max_leverage_stress") * 0.5, 0, 100)
-    liquidity = C.clamp(z("max_abs_peg_deviation_pct") * 15 + C.zero(F.col("off_peg_count").cast("double")) * 10, 0, 100)
-    scored = features.withColumns({"market_momentum_score": momentum, "social_sentiment_score": social, "derivatives_risk_score": derivatives, "liquidity_risk_score": liquidity})
-    overall = C.clamp(F.col("derivatives_risk_score") * 0.40 + F.col("liquidity_risk_score") * 0.25 + F.greatest(F.lit(0.0), -F.col("social_sentiment_score")) * 0.10, 0, 100)
-    scored = scored.withColumn("overall_risk_score", overall)
-    mom, soc, der, liq = (F.col(c) for c in ("market_momentum_score", "social_sentiment_score", "derivatives_risk_score", "liquidity_risk_score"))
-    regime = C.label_by([(F.col("close_price").isNull(), "NO_PRICE"), ((der >= 75) | (liq >= 75), "SYSTEM_RISK"), ((mom >= 20) & (soc >= 10), "BULLISH_RISK_ON"), ((mom <= -20) & (soc <= -10), "BEARISH_MOMENTUM"), (z("max_leverage_stress") >= 10, "LEVERAGE_CROWDED")], "NEUTRAL")
-    signal = C.label_by([(F.col("close_price").isNull(), "NO_SIGNAL"), ((der >= 80) | (liq >= 80), "REDUCE_RISK"), ((mom >= 25) & (soc >= 15) & (F.col("overall_risk_score") < 60), "BULLISH"), ((mom <= -25) | (soc <= -25), "BEARISH")], "NEUTRAL")
-    return scored.select(
-        C.surrogate_key(F.date_format("hour_ts", "yyyy-MM-dd HH:mm:ss"), F.col("symbol")).alias("crypto_feature_sk"), "hour_ts", "symbol", "close_price", "market_momentum_score", "social_sentiment_score", "derivatives_risk_score", "liquidity_risk_score", "overall_risk_score",
-        "max_abs_peg_deviation_pct", "worst_peg_symbol", regime.alias("market_regime"), signal.alias("core_signal"), (F.col("close_price").isNotNull() & F.col("return_1h").isNotNull()).alias("is_ml_feature_eligible"),
-    )
-
-
-CORE_SQL = """with h as (select cast(date_trunc('hour', trade_ts) as timestamp) as hour_ts, symbol, arg_max(price, (trade_ts, trade_id)) as close_price, sum(quote_quantity) as qv from v_trades group by 1, 2),
-  r as (select *, (close_price - lag(close_price) over w) / nullif(lag(close_price) over w, 0) as ret from h window w as (partition by symbol order by hour_ts)),
-  m as (select *, avg(ret) over w as ar, (qv - avg(qv) over w) / nullif(stddev_samp(qv) over w, 0) as vz from r window w as (partition by symbol order by hour_ts rows between 23 preceding and current row)),
-  l as (select *, cast(date_trunc('hour', observed_at) as timestamp) as hour_ts, row_number() over (partition by date_trunc('hour', observed_at), exchange, symbol order by observed_at desc, obs_id desc) as rn from v_funding),
-  f as (select hour_ts, symbol, avg(funding_rate_coin) as fr, avg(basis_pct) as bp, max(leverage_stress) as ls from l where rn = 1 group by 1, 2),
-  s as (select post_id % 720 as n, sum(sentiment * engagement) / nullif(sum(engagement), 0) as sw from v_posts group by 1),
-  d as (select price_date, symbol, (adj_close_price / nullif(avg(adj_close_price) over (partition by price_date), 0) - 1) * 100 as dev from v_daily),
-  p as (select cast(price_date as timestamp) + interval 9131 day as peg_at, max(abs(dev)) as mp, arg_max(symbol, (abs(dev), symbol)) as wp, count(*) filter (abs(dev) > 20) as op from d group by price_date),
-  j as (select m.*, fr, bp, ls, sw, mp, wp, op from m left join f using (hour_ts, symbol) left join s on s.n = date_diff('hour', (select min(hour_ts) from m), m.hour_ts)
-    left join lateral (select * from p where p.peg_at <= m.hour_ts and p.peg_at >= m.hour_ts - interval 21 day order by p.peg_at desc limit 1) q on true),
-  c as (select *, greatest(-100, least(100, coalesce(ret, 0) * 500 + coalesce(ar, 0) * 300 + coalesce(vz, 0) * 5)) as mom, greatest(-100, least(100, coalesce(sw, 0) * 100)) as soc,
-    greatest(0, least(100, coalesce(abs(fr), 0) * 1.2 + coalesce(abs(bp), 0) * 2 + coalesce(ls, 0) * 0.5)) as der, greatest(0, least(100, coalesce(mp, 0) * 15 + coalesce(op, 0) * 10)) as liq from j),
-  o as (select *, greatest(0, least(100, der * 0.40 + liq * 0.25 + greatest(0, -soc) * 0.10)) as ovr from c)
-  select md5(strftime(hour_ts, '%Y-%m-%d %H:%M:%S') || '|' || symbol) as crypto_feature_sk, hour_ts, symbol, close_price, mom as market_momentum_score, soc as social_sentiment_score, der as derivatives_risk_score, liq as liquidity_risk_score, ovr as overall_risk_score,
-    mp as max_abs_peg_deviation_pct, wp as worst_peg_symbol, case when close_price is null then 'NO_PRICE' when der >= 75 or liq >= 75 then 'SYSTEM_RISK' when mom >= 20 and soc >= 10 then 'BULLISH_RISK_ON' when mom <= -20 and soc <= -10 then 'BEARISH_MOMENTUM' when coalesce(ls, 0) >= 10 then 'LEVERAGE_CROWDED' else 'NEUTRAL' end as market_regime,
-    case when close_price is null then 'NO_SIGNAL' when der >= 80 or liq >= 80 then 'REDUCE_RISK' when mom >= 25 and soc >= 15 and ovr < 60 then 'BULLISH' when mom <= -25 or soc <= -25 then 'BEARISH' else 'NEUTRAL' end as core_signal, close_price is not null and ret is not null as is_ml_feature_eligible from o"""
-
-query("m17_core_fact", CORE_SQL, "close_price market_momentum_score social_sentiment_score derivatives_risk_score liquidity_risk_score overall_risk_score max_abs_peg_deviation_pct")(
-    lambda spark, sf_dir: core_fact(wide_features(spark, sf_dir))
-)
-
-
 @query(
     "f12_completeness",
     """with r as (select hour_ts, symbol, lag(close_price, 1) over w as a, lag(close_price, 24) over w as b, close_price as c, lag(quote_volume, 168) over w as d from v_hourly window w as (partition by symbol order by hour_ts))
@@ -358,19 +301,3 @@ def nested_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered rows of a group as a JSON array."""
     r = view(spark, sf_dir, "v_reserve").select("exchange", "month_date", F.col("trust_score").cast("long").alias("orders"))
     return r.groupBy("exchange").agg(C.top_n_json(["month_date", "orders"], [("orders", True), ("month_date", False)], 5).alias("snapshot_json"))
-
-
-def prediction_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly candles with the core fact as it was known at the time, latest row per symbol flagged."""
-    fact = core_fact(wide_features(spark, sf_dir)).select(F.col("hour_ts").alias("context_ts"), "symbol", "overall_risk_score", "core_signal")
-    candles = view(spark, sf_dir, "v_hourly").select("hour_ts", "symbol", "close_price")
-    joined = joins.asof_join(candles, fact, ["symbol"], "hour_ts", "context_ts", ["core_signal"], ["overall_risk_score", "core_signal"], "6 hours")
-    return joined.withColumn("is_latest", F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("hour_ts").desc())) == 1)
-
-
-query(
-    "m37_prediction_input",
-    f"""with fact as ({CORE_SQL}) select h.hour_ts, h.symbol, h.close_price, f.hour_ts as context_ts, f.overall_risk_score, f.core_signal, row_number() over (partition by h.symbol order by h.hour_ts desc) = 1 as is_latest
-      from v_hourly h left join fact f on f.symbol = h.symbol and f.hour_ts = h.hour_ts""",
-    "close_price overall_risk_score",
-)(prediction_input)

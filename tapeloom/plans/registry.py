@@ -50,6 +50,40 @@ def oracle(body: str, doubles: str = "", digits: int = DIGITS) -> str:
     return (f"with {', '.join(views)} " if views else "") + body
 
 
+def duck(text: str) -> str:
+    """Spark SQL expressions as DuckDB writes them."""
+    for ours, theirs in (("max_by(", "arg_max("), ("min_by(", "arg_min("), ("struct(", "row(")):
+        text = text.replace(ours, theirs)
+    return text
+
+
+#: Endings of the names of columns that aren't doubles.
+_OTHERS = ("_count", "_symbol", "_signal", "_regime", "_exchange", "_label", "_level", "_side", "_ts", "_date", "_at", "_sk", "_etf", "_group", "_status", "_trend", "_mentions", "_eligible", "_ready", "_instrument", "_option_type", "_location", "_direction", "_name", "_key", "_type", "_asset", "_enabled", "_order", "_state", "_family", "_id", "_minutes", "_has", "_cex")
+
+
+def doubles_of(*defs: dict[str, str]) -> str:
+    """Names of the columns that are doubles, by how the names end."""
+    return " ".join(n for d in defs for n in d if not n.endswith(_OTHERS) and n not in ("symbol", "exchange"))
+
+
+def added(df: DataFrame, defs: dict[str, str]) -> DataFrame:
+    """The frame with columns by Spark SQL text."""
+    return df.selectExpr("*", *[f"{t} as {n}" for n, t in defs.items()])
+
+
+def added_sql(source: str, defs: dict[str, str]) -> str:
+    return f"select *, {', '.join(f'{duck(t)} as {n}' for n, t in defs.items())} from {source}"
+
+
+def grouped(df: DataFrame, keys: list[str], defs: dict[str, str]) -> DataFrame:
+    """Groups with aggregates by Spark SQL text."""
+    return df.groupBy(*keys).agg(*[F.expr(t).alias(n) for n, t in defs.items()])
+
+
+def grouped_sql(source: str, keys: list[str], defs: dict[str, str]) -> str:
+    return f"select {', '.join(keys)}, {', '.join(f'{duck(t)} as {n}' for n, t in defs.items())} from {source} group by {', '.join(keys)}"
+
+
 def query(name: str, sql: str | None = None, doubles: str = "", digits: int = DIGITS) -> Callable[[Query], Query]:
     """Register a function as query ``name``; its doubles are rounded. sql: DuckDB text over tables and stand-ins."""
 

@@ -44,6 +44,25 @@ VIEWS = {
         select ts_hour as hour_ts, event_type as symbol, sum(value * (user_id % 10 + 1)) as quote_volume, avg(value) as close_price,
           sum(case when event_id % 2 = 1 then value else 0 end) / sum(value) as taker_buy_ratio
         from (select event_id, user_id, value, event_type, cast(date_trunc('hour', ts) as timestamp) as ts_hour from {events}) e group by ts_hour, event_type) h""",
+    "v_liq_map": """select cast(date_trunc('hour', ts) as timestamp) as hour_ts, event_type as symbol, event_id as obs_id, floor(value / 50) * 50 as price_bucket, value * (user_id % 10 + 1) as total_liq_usd_bucket,
+        case when event_id % 2 = 0 then value else 0e0 end as long_sum, case when event_id % 2 = 1 then value else 0e0 end as short_sum, value as oi_avg, value * 2 as vol_sum, event_id % 12 as hit_count, (event_id % 21 - 10) / 10.0e0 as weighted_liq_ratio,
+        (event_id % 9 - 4) / 4.0e0 as avg_money_flow, (event_id % 101) / 100.0e0 as panic_norm, (user_id % 41 - 20) / 20.0e0 as magnet_norm, (event_id % 97) / 97.0e0 as rank_score, (event_id % 61 - 30) / 3.0e0 as distance_pct,
+        case user_id % 6 when 0 then 'SHORT_SQUEEZE_SETUP' when 1 then 'LONG_SQUEEZE_SETUP' else 'NEUTRAL' end as squeeze_signal, case when event_id % 2 = 0 then 'LONG' else 'SHORT' end as dominant_side, case event_id % 3 when 0 then 'HIGH' when 1 then 'MEDIUM' else 'LOW' end as stress_level from {events}""",
+    "v_opt_obs": """select cast(date_trunc('hour', ts) as timestamp) as hour_ts, ts as observed_at, event_type as symbol, concat('I', cast(event_id % 40 as varchar(10))) as instrument_name, event_id as obs_id, case when user_id % 2 = 0 then 'C' else 'P' end as option_type, (user_id % 9 + 1) * 10e0 as strike,
+        value as open_interest, value * 3 as volume_usd, event_id % 60 + 20e0 as mark_iv, event_id % 58 + 21e0 as mid_iv, (event_id % 7) / 10.0e0 as iv_spread, (event_id % 101 - 50) / 50.0e0 as delta, (event_id % 10) / 1000.0e0 as gamma, (event_id % 30) / 10.0e0 as vega, -(event_id % 20) / 10.0e0 as theta,
+        case when user_id % 3 = 0 then null else 100 + value end as underlying_price, 101 + value as index_price, event_id % 5 = 0 as is_atm, event_id % 50 as days_left from {events}""",
+    "v_coin_obs": """select ts as observed_at, event_id as obs_id, case user_id % 5 when 0 then 'USDT' when 1 then 'USDC' when 2 then 'DAI' when 3 then 'FDUSD' else 'TUSD' end as symbol, 1 + (event_id % 41 - 20) / 1000.0e0 as price_usd, value * (user_id % 5 + 1) as market_cap_usd, value * 1.1e0 as fully_diluted_valuation_usd,
+        value * (event_id % 3 + 1) / 10 as volume_24h_usd, value * 0.9e0 as circulating_supply, (event_id % 41 - 20) / 10.0e0 as peg_deviation_pct, (event_id % 100) / 100.0e0 as depeg_risk_score, case when event_id % 41 > 25 then 'premium' when event_id % 41 < 15 then 'depeg_risk' else 'stable' end as peg_regime,
+        case when event_id % 13 = 0 then 1 else 0 end as is_peg_outlier, case when event_id % 17 = 0 then 1 else 0 end as is_volume_outlier from {events}""",
+    "v_exch_obs": """select ts as observed_at, event_id as obs_id, concat('ex', cast(user_id % 7 as varchar(4))) as exchange, event_id % 11 * 1e0 as trust_score, value * 100 as actual_reserve_usd, value * (user_id % 9 + 1) as trade_volume_24h_usd, value * (user_id % 5 + 1) as trade_volume_24h_usd_normalized,
+        value * (event_id % 2) as wash_trading_volume_usd, (event_id % 23) / 23.0e0 as reserve_utilization, (user_id % 40) * 1e0 as reserve_dominance_pct, (event_id % 31) / 31.0e0 as concentration_risk_score, value * (event_id % 4) as whale_withdrawal_risk,
+        case event_id % 9 when 0 then 'HIGH_RISK' when 1 then 'MODERATE' when 2 then 'MODERATE' else 'SAFE' end as bank_run_risk, concat('tier_', cast(user_id % 4 + 1 as varchar(4))) as exchange_tier from {events}""",
+    "v_ticks": """select cast(cast(o_orderdate as date) + interval '9290' day as date) as price_date, case o_orderpriority when '1-URGENT' then 'SP500' when '2-HIGH' then 'VIX' when '3-MEDIUM' then 'NASDAQ' when '5-LOW' then 'GOLD' else 'OIL' end as symbol,
+        avg(o_totalprice) as close_price, cast(count(*) as double) as volume from {orders} group by cast(cast(o_orderdate as date) + interval '9290' day as date), o_orderpriority""",
+    "v_social": """select cast(timestamp '2024-01-01 00:00:00' + (doc_id % 720) * interval '1' hour as timestamp) as hour_ts, case doc_id % 5 when 0 then 'view' when 1 then 'click' when 2 then 'error' when 3 then 'signup' else 'purchase' end as symbol, doc_id as post_id,
+        case when doc_id % 3 = 0 then 'telegram' else 'reddit' end as channel, n_chars * 1e0 as engagement, n_chars % 17 * 1e0 as weight, (doc_id % 21 - 10) / 10.0e0 as sentiment,
+        concat(case when doc_id % 7 = 0 then 'ETF,' else '' end, case when doc_id % 11 = 0 then 'HACK,' else '' end, case when doc_id % 13 = 0 then 'WHALE,' else '' end, case when doc_id % 17 = 0 then 'LIQUIDATION,' else '' end, case when doc_id % 19 = 0 then 'FED' else '' end) as event_tags,
+        case doc_id % 4 when 0 then 'TECHNICAL' when 1 then 'REGULATION' when 2 then 'HACK_SCAM' else 'MACRO' end as topic, case when doc_id % 6 = 0 then 'HIGH' else 'LOW' end as importance from {documents}""",
 }
 
 
