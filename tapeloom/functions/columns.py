@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -47,19 +47,14 @@ def arg_first(value: Column, *order: Column, descending: bool = True, ignore_nul
     return F.max_by(value, key) if descending else F.min_by(value, key)
 
 
-def top_n_json(fields: Sequence[str], order: Sequence[tuple[str, bool]], n: int | None = None) -> Column:
-    """The rows of a group as a JSON array of objects, ordered by (column, descending), the first n of them."""
-    rows = F.collect_list(F.struct(*fields))
+def top_n_json(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: Sequence[Column], n: int, name: str) -> DataFrame:
+    """A row a group with its first n rows by the order as a JSON array of objects.
 
-    def compare(a: Column, b: Column) -> Column:
-        out = F.lit(0)
-        for name, down in reversed(order):
-            first, second = (b, a) if down else (a, b)
-            out = F.when(first[name] < second[name], -1).when(first[name] > second[name], 1).otherwise(out)
-        return out
-
-    rows = F.array_sort(rows, compare)
-    return F.to_json(F.slice(rows, 1, n) if n else rows, {"ignoreNullFields": "false"})
+    Rows are ranked first, and Spark cuts each partition's groups to n rows before the shuffle; n rows are collected.
+    """
+    first = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_nth") <= n)
+    rows = F.array_sort(F.collect_list(F.struct("_nth", F.struct(*fields).alias("_row"))))
+    return first.groupBy(*keys).agg(F.to_json(F.transform(rows, lambda x: x["_row"]), {"ignoreNullFields": "false"}).alias(name))
 
 
 def hhi(share_pct: Column) -> Column:

@@ -184,7 +184,10 @@ def correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "l22_parity",
-    """select 'mean_7' as feature, count(*) as matched, 0.0::double as max_abs_diff, 0::bigint as null_mismatches, 'EXACT' as verdict from v_hourly union all select 'px', count(*), max(abs(close_price - round(close_price, 2))), 0, case when max(abs(close_price - round(close_price, 2))) <= 1e-9 then 'EXACT' when max(abs(close_price - round(close_price, 2))) <= 1e-6 then 'CLOSE' else 'MISMATCH' end from v_hourly""",
+    """with w as (select close_price as px, round(close_price, 2) as px2, avg(close_price) over v as a, sum(close_price) over v / count(close_price) over v as b from v_hourly window v as (partition by symbol order by hour_ts rows between 6 preceding and current row)),
+        d as (select 'mean_7' as feature, abs(a - b) as diff, (a is null) <> (b is null) as odd from w union all select 'px', abs(px - px2), (px is null) <> (px2 is null) from w),
+        g as (select feature, count(*) as matched, max(diff) as max_abs_diff, count(*) filter (odd) as null_mismatches from d group by 1)
+      select *, case when max_abs_diff <= 1e-9 and null_mismatches = 0 then 'EXACT' when max_abs_diff <= 1e-6 and null_mismatches = 0 then 'CLOSE' else 'MISMATCH' end as verdict from g""",
     "max_abs_diff",
 )
 def parity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,14 +201,16 @@ def parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "l12_promotion_gate",
-    """with m as (select slice, count(*) as row_count, avg((actual = predicted)::int) as validation_f1, avg((actual = predicted)::int) - 0.01 as test_f1, least(coalesce(count(*) filter (actual = 0 and predicted = 0) / nullif(count(*) filter (actual = 0), 0), 0), coalesce(count(*) filter (actual = 1 and predicted = 1) / nullif(count(*) filter (actual = 1), 0), 0)) as min_recall from v_pred group by 1),
+    """with m as (select slice, count(*) as row_count, avg((actual = predicted)::int) as validation_f1, avg((actual = (score > 0.5)::int)::int) as test_f1, least(coalesce(count(*) filter (actual = 0 and predicted = 0) / nullif(count(*) filter (actual = 0), 0), 0), coalesce(count(*) filter (actual = 1 and predicted = 1) / nullif(count(*) filter (actual = 1), 0), 0)) as min_recall from v_pred group by 1),
       c as (select 'src' || cast((try_cast(replace(slice, 'src', '') as integer) + 1) % 20 as varchar) as slice, validation_f1 as v, test_f1 as t from m),
       j as (select m.*, concat_ws('; ', case when validation_f1 is null then 'validation f1 missing' end, case when row_count < 20 then 'too few rows' end, case when min_recall < 0.2 then 'a class has too low a recall' end, case when validation_f1 < v then 'not better than the champion' end, case when test_f1 < t - 0.05 then 'worse on the test split' end) as reasons from m left join c using (slice))
       select slice, reasons = '' as promoted, reasons from j""",
 )
 def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices play candidates, the next slice plays the champion."""
-    m = M.classification(view(spark, sf_dir, "v_pred"), ["slice"], [0, 1]).select("slice", "row_count", F.col("accuracy").alias("validation_f1"), (F.col("accuracy") - 0.01).alias("test_f1"), "min_recall")
+    pred = view(spark, sf_dir, "v_pred")
+    test = pred.groupBy("slice").agg(F.avg((F.col("actual") == (F.col("score") > 0.5).cast("int")).cast("int")).alias("test_f1"))  # a second model's scores play the test split
+    m = M.classification(pred, ["slice"], [0, 1]).select("slice", "row_count", F.col("accuracy").alias("validation_f1"), "min_recall").join(test, "slice")
     nxt = F.concat(F.lit("src"), ((F.regexp_replace("slice", "src", "").cast("int") + 1) % 20).cast("string"))
     return M.promotion(m, m.withColumn("slice", nxt), ["slice"], min_recall=0.2)
 

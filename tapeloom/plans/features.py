@@ -300,4 +300,4 @@ def feature_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered rows of a group as a JSON array."""
     r = view(spark, sf_dir, "v_reserve").select("exchange", "month_date", F.col("trust_score").cast("long").alias("orders"))
-    return r.groupBy("exchange").agg(C.top_n_json(["month_date", "orders"], [("orders", True), ("month_date", False)], 5).alias("snapshot_json"))
+    return C.top_n_json(r, ["exchange"], ["month_date", "orders"], [F.col("orders").desc(), F.col("month_date")], 5, "snapshot_json")

@@ -229,7 +229,7 @@ def liquidation_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def liquidation_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest buckets of a group as JSON."""
     b = view(spark, sf_dir, "v_s_liq").groupBy(F.to_date("liq_ts").alias("day"), "symbol", (F.floor(F.col("price") / 50) * 50).cast("long").alias("bucket")).agg(F.count(F.lit(1)).alias("hits"))
-    return b.groupBy("day", "symbol").agg(C.top_n_json(["bucket", "hits"], [("hits", True), ("bucket", False)], 3).alias("top_buckets"))
+    return C.top_n_json(b, ["day", "symbol"], ["bucket", "hits"], [F.col("hits").desc(), F.col("bucket")], 3, "top_buckets")
 
 
 @query(
@@ -240,7 +240,7 @@ def liquidation_top(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(*) filter (date_diff('day', month_date, expiry) <= 7) as oi_0_7d, count(*) filter (date_diff('day', month_date, expiry) between 8 and 30) as oi_8_30d, count(*) filter (date_diff('day', month_date, expiry) > 30) as oi_30d_plus,
         arg_max(instrument_name, (open_interest, instrument_name)) as top_oi_instrument, stddev_samp(mark_iv) as iv_dispersion from v_options group by 1, 2""",
     "total_oi oi_weighted_iv put_call_oi_ratio iv_skew delta_exposure iv_dispersion",
-    3,
+    5,
 )
 def options_cross_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6-A8, A12, A15-A17."""

@@ -44,7 +44,7 @@ VIEWS = {
         select ts_hour as hour_ts, event_type as symbol, sum(value * (user_id % 10 + 1)) as quote_volume, avg(value) as close_price,
           sum(case when event_id % 2 = 1 then value else 0 end) / sum(value) as taker_buy_ratio
         from (select event_id, user_id, value, event_type, cast(date_trunc('hour', ts) as timestamp) as ts_hour from {events}) e group by ts_hour, event_type) h""",
-    "v_liq_map": """select cast(date_trunc('hour', ts) as timestamp) as hour_ts, event_type as symbol, event_id as obs_id, floor(value / 50) * 50 as price_bucket, value * (user_id % 10 + 1) as total_liq_usd_bucket,
+    "v_liq_map": """select cast(date_trunc('hour', ts) as timestamp) as hour_ts, event_type as symbol, event_id as obs_id, floor(value / 50) * 50e0 as price_bucket, value * (user_id % 10 + 1) as total_liq_usd_bucket,
         case when event_id % 2 = 0 then value else 0e0 end as long_sum, case when event_id % 2 = 1 then value else 0e0 end as short_sum, value as oi_avg, value * 2 as vol_sum, event_id % 12 as hit_count, (event_id % 21 - 10) / 10.0e0 as weighted_liq_ratio,
         (event_id % 9 - 4) / 4.0e0 as avg_money_flow, (event_id % 101) / 100.0e0 as panic_norm, (user_id % 41 - 20) / 20.0e0 as magnet_norm, (event_id % 97) / 97.0e0 as rank_score, (event_id % 61 - 30) / 3.0e0 as distance_pct,
         case user_id % 6 when 0 then 'SHORT_SQUEEZE_SETUP' when 1 then 'LONG_SQUEEZE_SETUP' else 'NEUTRAL' end as squeeze_signal, case when event_id % 2 = 0 then 'LONG' else 'SHORT' end as dominant_side, case event_id % 3 when 0 then 'HIGH' when 1 then 'MEDIUM' else 'LOW' end as stress_level from {events}""",

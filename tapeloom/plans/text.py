@@ -33,7 +33,7 @@ def lexicon_sentiment(posts: DataFrame, lexicon: dict[str, float], id_col: str =
 
 @query(
     "m56_lexicon_sentiment",
-    "with l as (select * from (values " + ", ".join(f"('{w}', {x}::double)" for w, x in STAND_IN.items()) + """) v(word, weight)), w as (select post_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from v_posts),
+    "with l as (select * from (values " + ", ".join(f"('{w}', {x}::double)" for w, x in (LEXICON | STAND_IN).items()) + """) v(word, weight)), w as (select post_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from v_posts),
       h as (select post_id, sum(weight) as s, count(*) as n from w join l using (word) group by 1) select p.post_id, coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15) as compound, coalesce(n, 0) as n_hits from v_posts p left join h using (post_id)""",
     "compound",
 )

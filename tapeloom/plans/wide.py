@@ -71,7 +71,7 @@ WIDE_SQL = f"""with m as ({TRADES_HOURLY_SQL}), f as ({FUNDING_SQL}), l as ({leg
 #: Columns of the wide table that are shown; all its legs have queries of their own.
 _SHOWN = ["hour_ts", "symbol", "close_price", "trade_count", *FUNDING, "total_liq_usd", "top_squeeze_signal", "put_call_oi_ratio", "gamma_exposure_proxy", "social_item_count", "social_weighted_avg_sentiment", "total_stablecoin_market_cap_usd", "reserve_hhi", "macro_date", *_MACRO, "etf_date", *_ETF, *COMPOSITE]
 _SHOWN_DOUBLES = doubles_of(dict.fromkeys(c for c in _SHOWN if c not in ("hour_ts", "symbol")))
-query("m16_wide_features", f"select {', '.join(_SHOWN)} from ({WIDE_SQL}) w", _SHOWN_DOUBLES, 3)(lambda spark, sf_dir: wide_features(spark, sf_dir).select(*_SHOWN))
+query("m16_wide_features", f"select {', '.join(_SHOWN)} from ({WIDE_SQL}) w", _SHOWN_DOUBLES, 7)(lambda spark, sf_dir: wide_features(spark, sf_dir).select(*_SHOWN))
 
 _CLAMP = lambda low, x: f"greatest({low}, least(100, {x}))"
 SCORES = {
@@ -358,7 +358,7 @@ LABELLED = {
 }
 _SET = ["hour_ts", "symbol", *CONTRACT, "future_return_4h", "symbol_time_rank", *LABELLED]
 _SET_SQL = f"(select * from ({added_sql(f'({added_sql(ML_SQL, LABELS)}) l', LABELLED)}) s where close_price is not null and future_return_4h is not null) t"
-query("m36_training_dataset_wide", f"select {', '.join(_SET)} from {_SET_SQL}", " ".join([*CONTRACT, "future_return_4h", "symbol_time_rank", "sample_weight_4h"]))(lambda spark, sf_dir: training_dataset(spark, sf_dir).select(*_SET))
+query("m36_training_dataset_wide", f"select {', '.join(_SET)} from {_SET_SQL}", " ".join([*CONTRACT, "future_return_4h", "symbol_time_rank", "sample_weight_4h"]), 7)(lambda spark, sf_dir: training_dataset(spark, sf_dir).select(*_SET))
 
 
 def training_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, timedelta
 
@@ -89,9 +90,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 def merge_upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: str | None = None) -> None:
     """Rows of ``batch`` replace stored rows of equal keys; others are added.
 
-    Parquet has no row updates: the partitions that the batch touches are read, stripped of its keys, joined with
-    it and overwritten; other partitions stay. Keys must not move between partitions. The new content is written
-    beside the table first, so a lost executor or a failed job leaves the old rows.
+    Parquet has no row updates, so what the batch touches is written anew, first beside the table under a name of its
+    own: a job that fails until then leaves the table as it was. Without a partition column the new folder then takes
+    the old one's place (two renames: on a file system that isn't atomic in them, readers may miss the table between).
+    With one, Spark's dynamic overwrite replaces the touched partitions when it commits; keys must not move between
+    partitions. One writer at a time: of two at once one may lose its rows.
     """
     spark = batch.sparkSession
     if not exists(spark, path):
@@ -103,11 +106,22 @@ def merge_upsert(path: str, batch: DataFrame, keys: Sequence[str], partition: st
         touched = [r[0] for r in batch.select(partition).distinct().collect()]  # partitions of one batch
         stored = stored.where(F.col(partition).isin(touched))
     merged = stored.join(batch.select(*keys).distinct(), list(keys), "left_anti").unionByName(batch, allowMissingColumns=True)
-    beside = f"{path.rstrip('/')}__merge"
-    merged.write.mode("overwrite").parquet(beside)
-    fresh = spark.read.parquet(beside)
-    writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    base, own = path.rstrip("/"), uuid.uuid4().hex
+    fresh = f"{base}__new_{own}"
+    merged.write.parquet(fresh)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if partition:
+        spark.read.parquet(fresh).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        fs.delete(hadoop(fresh), True)
+        return
+    old = hadoop(f"{base}__old_{own}")
+    if not fs.rename(hadoop(base), old):
+        raise OSError(f"{path} can't be moved aside; the new rows are in {fresh}")
+    if not fs.rename(hadoop(fresh), hadoop(base)):
+        fs.rename(old, hadoop(base))
+        raise OSError(f"{fresh} can't be moved to {path}, which is as it was")
+    fs.delete(old, True)
 
 
 def lookback_bound(spark: SparkSession, path: str, ts: str, days: int):

@@ -2,11 +2,13 @@
 
 Each detector works on all symbols at once; thresholds come from a parameter table with a ``default`` row. A
 window fires at most once: it looks whether any order-book, sentiment or chain row near its end meets the
-condition, so there is no fan-out of matching rows.
+condition. Rows that do are reduced to a first and last time a bucket before the join.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +43,50 @@ def tumble(df: DataFrame, ts: str, seconds: int, slide: int | None = None) -> Da
     return df.withColumn("_w", w).withColumn("event_time", F.col("_w.end")).drop("_w")
 
 
-def near(windows: DataFrame, other: DataFrame, ts: str, low: int, high: int, flags: dict[str, Column]) -> DataFrame:
-    """Adds to each window whether any row of other, low to high seconds from its end, meets each condition."""
-    met = interval_join(windows, other, ["symbol"], "event_time", ts, low, high)
-    any_ = met.groupBy(*KEY).agg(*[F.bool_or(c).alias(n) for n, c in flags.items()])
-    return windows.join(any_, KEY, "left").withColumns({n: F.coalesce(F.col(n), F.lit(False)) for n in flags})
+@dataclass(frozen=True)
+class Either:
+    """A condition on the rows looked for that depends on the window: ``yes`` where ``case`` holds for it, else ``no``."""
+
+    case: Column
+    yes: Column
+    no: Column
 
 
-def with_context(windows: DataFrame, sent: DataFrame, chain: DataFrame, sentiment: Column, flow: str | Column, p: dict) -> DataFrame:
+def near(windows: DataFrame, other: DataFrame, ts: str, low: int, high: int, flag: str, met: Column | Either) -> DataFrame:
+    """Adds to each window whether any row of other, low to high seconds from its end, meets the condition.
+
+    Rows that meet it are first reduced to the first and last time of each symbol and bucket as long as the look-back
+    (low < high): a row reaches from the bucket where a window's look-back begins if the last one isn't too early,
+    and from the next bucket if the first one isn't too late. So a window meets a row, however many there are.
+    """
+    if isinstance(met, Either):
+        out = near(near(windows, other, ts, low, high, f"{flag}_yes", met.yes), other, ts, low, high, f"{flag}_no", met.no)
+        return out.withColumn(flag, F.when(met.case, F.col(f"{flag}_yes")).otherwise(F.col(f"{flag}_no"))).drop(f"{flag}_yes", f"{flag}_no")
+    if high <= low:
+        raise ValueError("the look-back must have a length")
+    size = (high - low) * 1_000_000
+    at, start = F.unix_micros(F.col(ts).cast("timestamp")), F.unix_micros(F.col("event_time").cast("timestamp")) + low * 1_000_000
+    hits = other.where(met).select(F.col("symbol").alias("_s"), at.alias("_at")).groupBy("_s", F.floor(F.col("_at") / size).alias("_b")).agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    none = F.lit(None).cast("bigint")
+    seen = hits.select("_s", F.inline(F.array(F.struct(F.col("_b"), none.alias("_lo"), F.col("_hi")), F.struct((F.col("_b") - 1).alias("_b"), F.col("_lo"), none.alias("_hi")))))
+    seen = seen.groupBy("_s", "_b").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    placed = windows.withColumns({"_start": start, "_wb": F.floor(start / size)})
+    joined = placed.join(seen, (F.col("symbol") == F.col("_s")) & (F.col("_wb") == F.col("_b")), "left")
+    found = F.coalesce(F.col("_hi") >= F.col("_start"), F.lit(False)) | F.coalesce(F.col("_lo") <= F.col("_start") + size, F.lit(False))
+    return joined.withColumn(flag, found).drop("_s", "_b", "_lo", "_hi", "_start", "_wb")
+
+
+def beside(windows: DataFrame, other: DataFrame, ts: str, low: int, high: int, flag: str, met: Column) -> DataFrame:
+    """As ``near``, for a condition that compares a row with its window: every row of the (short) look-back is looked at."""
+    any_ = interval_join(windows, other, ["symbol"], "event_time", ts, low, high).where(met).select(*KEY).distinct().withColumn(flag, F.lit(True))
+    return windows.join(any_, KEY, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def with_context(windows: DataFrame, sent: DataFrame, chain: DataFrame, sentiment: Column | Either, flow: str | Either, p: dict) -> DataFrame:
     """Adds strong: sentiment and chain flow both point the alert's way."""
     flow = F.col("tx_type") == flow if isinstance(flow, str) else flow
-    out = near(windows, sent, "sent_ts", -p["sentiment_seconds"], 0, {"_sent": sentiment})
-    out = near(out, chain, "chain_ts", -p["chain_seconds"], 0, {"_chain": flow})
+    out = near(windows, sent, "sent_ts", -p["sentiment_seconds"], 0, "_sent", sentiment)
+    out = near(out, chain, "chain_ts", -p["chain_seconds"], 0, "_chain", flow)
     return out.withColumn("strong", F.col("_sent") & F.col("_chain")).drop("_sent", "_chain")
 
 
@@ -76,14 +110,14 @@ def pump_windows(trades: DataFrame, p: dict) -> DataFrame:
 def bull_trap(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
     """A price spike on weak volume under a wall of asks."""
     w = pump_windows(trades, p).where((F.col("move_pct") > p["pump_price_pct"]) & (F.col("vol_usd") < F.col("avg_trade") * p["max_pump_vol_multiplier"]))
-    w = near(w, book, "ob_ts", -p["book_seconds"], 0, {"_wall": F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * p["ask_bid_imbalance"]}).where("_wall")
+    w = near(w, book, "ob_ts", -p["book_seconds"], 0, "_wall", F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * p["ask_bid_imbalance"]).where("_wall")
     return _alert(with_context(w, sent, chain, (F.col("funding_rate_pct") > 0.05) & (F.col("oi_delta_pct") > 1.0), "INFLOW", p), "BULL_TRAP")
 
 
 def true_breakout(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
     """A price spike on strong volume over a wall of bids."""
     w = pump_windows(trades, p).where((F.col("move_pct") > p["pump_price_pct"]) & (F.col("vol_usd") > F.col("avg_trade") * p["min_vol_multiplier"]))
-    w = near(w, book, "ob_ts", -p["book_seconds"], 0, {"_wall": F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_ask_imbalance"]}).where("_wall")
+    w = near(w, book, "ob_ts", -p["book_seconds"], 0, "_wall", F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_ask_imbalance"]).where("_wall")
     return _alert(with_context(w, sent, chain, (F.col("funding_rate_pct") < 0) & (F.col("oi_delta_pct") > 1.0), "OUTFLOW", p), "TRUE_BREAKOUT")
 
 
@@ -100,15 +134,15 @@ def bottom_catcher(trades, book, liqs, sent, chain, p=DEFAULTS, floor_usd: float
     usd = F.col("price") * F.col("quantity")
     base = trades.withColumn("_usd", usd).withColumn("_avg", range_mean(usd, ["symbol"], F.col("trade_ts"), p["baseline_seconds"]))
     buys = tumble(base, "trade_ts", p["window_seconds"]).groupBy(*KEY).agg(F.sum("_usd").alias("buy_usd"), F.max("_avg").alias("avg_trade")).withColumnRenamed("event_time", "buy_time")
-    w = near(w, buys, "buy_time", 0, 2 * p["window_seconds"], {"_buy": F.col("buy_usd") > F.col("avg_trade") * p["whale_multiplier"]}).where("_buy")
-    w = near(w, book, "ob_ts", -p["book_seconds"], p["book_seconds"], {"_wall": F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_wall_multiplier"]}).where("_wall")
+    w = near(w, buys, "buy_time", 0, 2 * p["window_seconds"], "_buy", F.col("buy_usd") > F.col("avg_trade") * p["whale_multiplier"]).where("_buy")
+    w = near(w, book, "ob_ts", -p["book_seconds"], p["book_seconds"], "_wall", F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_wall_multiplier"]).where("_wall")
     return _alert(with_context(w, sent, chain, F.col("funding_rate_pct") < 0, "OUTFLOW", p), "BOTTOM_CATCHER")
 
 
 def liquidation_cascade(book, liqs, sent, chain, p=DEFAULTS) -> DataFrame:
     """Forced selling larger than its average and than the bids below the price."""
     w = liquidation_windows(liqs, p["cascade_window_seconds"], p).where(F.col("liq_usd") > F.greatest(F.col("avg_liq"), F.lit(p["min_base_liq_usd"])) * p["cascade_liq_multiplier"])
-    w = near(w, book, "ob_ts", -p["book_seconds"], 0, {"_thin": F.col("liq_usd") > F.col("bid_vol_1pct_usd") * p["liquidity_ratio"]}).where("_thin")
+    w = beside(w, book, "ob_ts", -p["book_seconds"], 0, "_thin", F.col("liq_usd") > F.col("bid_vol_1pct_usd") * p["liquidity_ratio"]).where("_thin")
     return _alert(with_context(w, sent, chain, F.col("funding_rate_pct") > 0.05, "INFLOW", p), "LIQUIDATION_CASCADE")
 
 
@@ -126,9 +160,8 @@ def spoofing(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
 
     j = j.withColumn("_side", F.when(fake("bid"), "BID").when(fake("ask"), "ASK")).where("_side is not null")
     bid = F.col("_side") == "BID"
-    w = near(j, sent, "sent_ts", -p["sentiment_seconds"], 0, {"_sent": F.when(bid, F.col("funding_rate_pct") > 0.05).otherwise(F.col("funding_rate_pct") < 0)})
-    w = near(w, chain, "chain_ts", -p["chain_seconds"], 0, {"_chain": F.when(bid, F.col("tx_type") == "INFLOW").otherwise(F.col("tx_type") == "OUTFLOW")})
-    return _alert(w.withColumn("strong", F.col("_sent") & F.col("_chain")), "SPOOFING_DETECTED", F.col("_side"))
+    w = with_context(j, sent, chain, Either(bid, F.col("funding_rate_pct") > 0.05, F.col("funding_rate_pct") < 0), Either(bid, F.col("tx_type") == "INFLOW", F.col("tx_type") == "OUTFLOW"), p)
+    return _alert(w, "SPOOFING_DETECTED", F.col("_side"))
 
 
 def mean_reversion(trades, book, p=DEFAULTS) -> DataFrame:
@@ -139,8 +172,8 @@ def mean_reversion(trades, book, p=DEFAULTS) -> DataFrame:
     dev = (F.col("px") - F.col("vwap")) / F.col("vwap") * 100
     w = w.withColumn("dev", dev).where((F.abs("dev") >= p["vwap_deviation_pct"]) & (F.col("vol") < F.col("avg") * p["max_chop_vol"]))
     m = p["reversion_wall_multiplier"]
-    wall = F.when(F.col("dev") > 0, F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * m).otherwise(F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * m)
-    w = near(w, book, "ob_ts", -p["book_seconds"], 0, {"_wall": wall}).where("_wall").withColumn("strong", F.lit(False))
+    wall = Either(F.col("dev") > 0, F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * m, F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * m)
+    w = near(w, book, "ob_ts", -p["book_seconds"], 0, "_wall", wall).where("_wall").withColumn("strong", F.lit(False))
     return _alert(w, "MICRO_MEAN_REVERSION", F.when(F.col("dev") > 0, "SHORT").otherwise("LONG"))
 
 
@@ -158,7 +191,7 @@ def order_flow_windows(book: DataFrame, p: dict) -> DataFrame:
 
 def order_flow(book, sent, chain, p=DEFAULTS) -> DataFrame:
     """Depth moves from one side to the other while the price stands."""
-    flow = F.when(F.col("_side") == "SELL", F.col("tx_type") == "INFLOW").otherwise(F.col("tx_type") == "OUTFLOW")
+    flow = Either(F.col("_side") == "SELL", F.col("tx_type") == "INFLOW", F.col("tx_type") == "OUTFLOW")
     w = with_context(order_flow_windows(book, p), sent, chain, F.col("oi_delta_pct") > 1.0, flow, p)
     return _alert(w, "ORDER_FLOW_IMBALANCE", F.col("_side"))
 
@@ -173,6 +206,5 @@ def lead_lag(trades, sent, chain, leader: str, lagger: str, p=DEFAULTS) -> DataF
     side = F.when((F.col("lead_chg") <= -move) & (F.col("chg") > -late), "SHORT").when((F.col("lead_chg") >= move) & (F.col("chg") < late), "LONG")
     j = j.withColumn("_side", side).where("_side is not null")
     short = F.col("_side") == "SHORT"
-    j = near(j, sent, "sent_ts", -p["sentiment_seconds"], 0, {"_sent": F.when(short, F.col("funding_rate_pct") > 0.05).otherwise(F.col("funding_rate_pct") < 0)})
-    j = near(j, chain, "chain_ts", -p["chain_seconds"], 0, {"_chain": F.when(short, F.col("tx_type") == "INFLOW").otherwise(F.col("tx_type") == "OUTFLOW")})
-    return _alert(j.withColumn("strong", F.col("_sent") & F.col("_chain")), "LEAD_LAG_ARBITRAGE", F.col("_side"))
+    j = with_context(j, sent, chain, Either(short, F.col("funding_rate_pct") > 0.05, F.col("funding_rate_pct") < 0), Either(short, F.col("tx_type") == "INFLOW", F.col("tx_type") == "OUTFLOW"), p)
+    return _alert(j, "LEAD_LAG_ARBITRAGE", F.col("_side"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -71,7 +72,7 @@ def rolling_state(df: DataFrame, ts: str, tie: str, value: Column, seconds: int
     """Per symbol, mean and population deviation of the value over the last seconds (or rows), each event's own included.
 
     Spark has no row windows on streams: the state of a symbol holds the values still in reach. Events of a
-    micro-batch are taken in time order; a symbol that is silent for ``ttl_minutes`` of event time loses its state.
+    micro-batch are taken in time order, each added to and taken from the mean once; a symbol that is silent for ``ttl_minutes`` of event time loses its state.
     """
     shaped = df.select("symbol", F.col(ts).alias("ts"), F.col(tie).cast("long").alias("tie"), value.cast("double").alias("value"))
 
@@ -79,21 +80,27 @@ def rolling_state(df: DataFrame, ts: str, tie: str, value: Column, seconds: int
         if state.hasTimedOut:
             state.remove()
             return
-        times, values = (list(x) for x in state.get) if state.exists else ([], [])
+        times, values = (deque(x) for x in state.get) if state.exists else (deque(), deque())
+        n, mean = len(values), sum(values) / max(1, len(values))
+        square = sum((x - mean) ** 2 for x in values)  # of the distances from the mean
         # a group's events of one micro-batch come in several frames without order between them
         events = pd.concat(list(batches)).sort_values(["ts", "tie"])
         means, devs = [], []
         for t, v in zip(events["ts"].astype("int64") // 1000, events["value"], strict=True):
             times.append(int(t))
             values.append(float(v))
-            while (seconds is not None and times[0] < t - seconds * 1_000_000) or (rows is not None and len(times) > rows):
-                times.pop(0)
-                values.pop(0)
-            n = len(values)
-            mean = sum(values) / n
+            n, before = n + 1, mean
+            mean += (v - mean) / n
+            square += (v - before) * (v - mean)
+            while (seconds is not None and times[0] < t - seconds * 1_000_000) or (rows is not None and n > rows):
+                times.popleft()
+                x = values.popleft()
+                n, before = n - 1, mean
+                mean += (mean - x) / n
+                square -= (x - before) * (x - mean)
             means.append(mean)
-            devs.append((sum((x - mean) ** 2 for x in values) / n) ** 0.5)
-        state.update((times, values))
+            devs.append((max(0.0, square) / n) ** 0.5)
+        state.update((list(times), list(values)))
         mark = state.getCurrentWatermarkMs()
         state.setTimeoutTimestamp(max(mark, times[-1] // 1000) + ttl_minutes * 60_000 + 1)
         yield pd.DataFrame({"symbol": key[0], "ts": events["ts"], "tie": events["tie"], "value": events["value"], "mean": means, "dev": devs})
