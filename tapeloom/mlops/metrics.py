@@ -104,8 +104,13 @@ def parity(left: DataFrame, right: DataFrame, keys: Sequence[str], features: Seq
 
 
 def target_correlation(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    """Correlation with the target and missing rate of each feature: one pass."""
-    row = df.agg(*[F.corr(f, target).alias(f"c{i}") for i, f in enumerate(features)], *[F.avg(F.col(f).isNull().cast("double")).alias(f"m{i}") for i, f in enumerate(features)])
+    """Correlation with the target (null where either doesn't vary) and missing rate of each feature: one pass."""
+
+    def corr(name: str) -> Column:
+        x, y = F.when(F.col(target).isNotNull(), F.col(name)), F.when(F.col(name).isNotNull(), F.col(target))
+        return safe_div(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    row = df.agg(*[corr(f).alias(f"c{i}") for i, f in enumerate(features)], *[F.avg(F.col(f).isNull().cast("double")).alias(f"m{i}") for i, f in enumerate(features)])
     return row.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"c{i}").alias("correlation"), F.col(f"m{i}").alias("missing_rate")) for i, f in enumerate(features)])))
 
 

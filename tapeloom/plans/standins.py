@@ -59,6 +59,11 @@ VIEWS = {
         case event_id % 9 when 0 then 'HIGH_RISK' when 1 then 'MODERATE' when 2 then 'MODERATE' else 'SAFE' end as bank_run_risk, concat('tier_', cast(user_id % 4 + 1 as varchar(4))) as exchange_tier from {events}""",
     "v_ticks": """select cast(cast(o_orderdate as date) + interval '9290' day as date) as price_date, case o_orderpriority when '1-URGENT' then 'SP500' when '2-HIGH' then 'VIX' when '3-MEDIUM' then 'NASDAQ' when '5-LOW' then 'GOLD' else 'OIL' end as symbol,
         avg(o_totalprice) as close_price, cast(count(*) as double) as volume from {orders} group by cast(cast(o_orderdate as date) + interval '9290' day as date), o_orderpriority""",
+    "v_messages": """select doc_id as post_id, source as channel, lang, doc_id % 97 as score, doc_id % 13 as comments, doc_id % 500 + 1 as hours_old, doc_id % 20000 as views, doc_id % 31 as forwards, doc_id % 11 as replies, doc_id % 41 as reactions, (doc_id % 21 - 10) / 10.0e0 as compound,
+        case doc_id % 17 when 0 then 'BTC to the moon, buy $BTC #btc' when 1 then 'Ethereum ETF lawsuit at the SEC http://x.io/a' when 2 then 'hack and exploit, funds stolen 12.5% #rekt' when 3 then 'whale sells, crash and panic $5k' when 4 then 'Powell: rate cut <b>soon</b> &amp; later' when 5 then 'airdrop giveaway, claim now $ETH $BTC'
+          when 6 then 'support and resistance, RSI chart 3%' when 7 then 'blackrock new high, bitcoin and ethereum' when 8 then 'bear market, short it' when 9 then 'short text' when 10 then '' else 'plain words about nothing at all' end as title,
+        case when doc_id % 23 = 0 then '[removed]' when doc_id % 29 = 0 then '[deleted]' when doc_id % 17 = 9 then '' when doc_id % 17 = 10 then '' else text end as body from {documents}""",
+    "v_audit": """select ts as audit_ts, event_type as table_name, concat('rule_', cast(user_id % 5 as varchar(4))) as expectation_type, event_id % 7 <> 0 as success, case when user_id % 3 = 0 then 'critical' else 'warning' end as severity, event_id as audit_id from {events}""",
     "v_social": """select cast(timestamp '2024-01-01 00:00:00' + (doc_id % 720) * interval '1' hour as timestamp) as hour_ts, case doc_id % 5 when 0 then 'view' when 1 then 'click' when 2 then 'error' when 3 then 'signup' else 'purchase' end as symbol, doc_id as post_id,
         case when doc_id % 3 = 0 then 'telegram' else 'reddit' end as channel, n_chars * 1e0 as engagement, n_chars % 17 * 1e0 as weight, (doc_id % 21 - 10) / 10.0e0 as sentiment,
         concat(case when doc_id % 7 = 0 then 'ETF,' else '' end, case when doc_id % 11 = 0 then 'HACK,' else '' end, case when doc_id % 13 = 0 then 'WHALE,' else '' end, case when doc_id % 17 = 0 then 'LIQUIDATION,' else '' end, case when doc_id % 19 = 0 then 'FED' else '' end) as event_tags,
