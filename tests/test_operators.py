@@ -95,6 +95,39 @@ def test_dimension_with_fallback(spark):
     assert sorted(map(tuple, joins.join_with_fallback(left, first, second, ["k"]).collect())) == [(1, "a", "y"), (2, None, "x"), (3, "c", None)]
 
 
+@pytest.mark.parametrize(("low", "high"), [(-60, 0), (-7, 0), (0, 10), (-5, 5)])
+def test_near_finds_what_a_range_join_finds(spark, low, high):
+    import random
+
+    from tapeloom.streaming import alerts as A
+
+    rng = random.Random(low)
+    rows = [(rng.choice("ab"), rng.randrange(3000), rng.randrange(4)) for _ in range(400)]
+    ends = [(s, e) for s in "abc" for e in range(0, 3000, 5)]
+    secs = lambda x: F.timestamp_seconds(x).cast("timestamp_ntz")
+    other = spark.createDataFrame(rows, "symbol string, t int, v int").select("symbol", secs(F.col("t")).alias("ts"), "v")
+    windows = spark.createDataFrame(ends, "symbol string, e int").select("symbol", secs(F.col("e")).alias("event_time"), "e")
+    hit = lambda s, e, v: any(x == s and w == v and e + low <= t <= e + high for x, t, w in rows)
+    got = {(r["symbol"], r["e"]): r["f"] for r in A.near(windows, other, "ts", low, high, "f", F.col("v") == 1).collect()}
+    assert got == {(s, e): hit(s, e, 1) for s, e in ends}
+    either = A.near(windows, other, "ts", low, high, "f", A.Either(F.col("e") % 2 == 0, F.col("v") == 1, F.col("v") == 2))
+    assert {(r["symbol"], r["e"]): r["f"] for r in either.collect()} == {(s, e): hit(s, e, 1 if e % 2 == 0 else 2) for s, e in ends}
+
+
+def test_first_rows_of_a_group_as_json(spark):
+    from tapeloom.functions import columns as C
+
+    df = spark.createDataFrame([("a", 3, None), ("a", 1, "x"), ("a", 2, "y"), ("b", 9, "z"), (None, 1, "n")], "k string, n int, v string")
+    got = {r["k"]: r["j"] for r in C.top_n_json(df, ["k"], ["n", "v"], [F.col("n").desc()], 2, "j").collect()}
+    assert got == {"a": '[{"n":3,"v":null},{"n":2,"v":"y"}]', "b": '[{"n":9,"v":"z"}]', None: '[{"n":1,"v":"n"}]'}
+
+
+def test_correlation_of_what_does_not_vary_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, 7.0, 5.0), (None, 1.0, 5.0)], "y double, a double, c double")
+    got = {r["feature"]: r["correlation"] for r in metrics.target_correlation(df, "y", ["a", "c"]).collect()}
+    assert got["c"] is None and got["a"] == pytest.approx(0.9933992678)
+
+
 def test_keep_latest_and_priorities(spark):
     df = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), (None, 1, "n"), ("b", 1, None)], "k string, at int, v string")
     assert {(r["k"], r["v"]) for r in dedupe.keep_latest(df, ["k"], [F.col("at")]).collect()} == {("a", "new"), (None, "n"), ("b", None)}
