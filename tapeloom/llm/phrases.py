@@ -24,7 +24,7 @@ the documents by shard.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -327,15 +327,8 @@ def _letters(codes: np.ndarray) -> str:
     return pair.tobytes().decode("utf-32-le")
 
 
-def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Every document with the runs of words that recurring windows cover.
-
-    Returns doc_id (of the type it has), text, n_words and covered (array of start, end; words from 0, end exclusive,
-    disjoint and in order). A window counts as recurring where its word sequence also starts anywhere else in the
-    corpus. Null text has no words. Repeated rows are separate documents, so each makes the other's windows recur.
-    An empty table gives an empty result; other columns are ignored, whatever their names.
-    A task holds a shard's documents and, of a block of text or one longer text, some sixty times its size.
-    """
+def _located(docs: DataFrame, window: int, id_col: str, text_col: str, shard_words: int, each: Callable[[pa.RecordBatch, Automaton], pa.RecordBatch], columns: Callable[[T.StructField], T.StructType]) -> DataFrame:
+    """What ``each`` makes of every block of documents and the automaton of its shard."""
     spark = docs.sparkSession
     source = _source(docs, id_col, text_col)
     counts = _sketch(source, window)
@@ -349,30 +342,61 @@ def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", tex
 
     def locate(key: tuple, docs: pa.Table, passages: pa.Table) -> pa.Table:
         machine = Automaton(pa.concat_arrays([pa.array([], pa.large_string()), *(x.cast(pa.large_string()) for x in passages.column("text").chunks)]), window)
-        return pa.Table.from_batches([_marked(part, machine) for whole in docs.to_batches() for part in blocks(whole, limit=BLOCK)], target)
+        return pa.Table.from_batches([each(part, machine) for whole in docs.to_batches() for part in blocks(whole, limit=BLOCK)], target)
 
-    id_type = source.schema["doc_id"].dataType
-    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(span))])
+    schema = columns(source.schema["doc_id"])
     target = to_arrow_schema(schema)
     by_shard = source.groupBy("shard")
     passages = by_shard.cogroup(wanted.groupBy("home")).applyInArrow(cut, "shard int, text string")
     return by_shard.cogroup(passages.groupBy("shard")).applyInArrow(locate, schema)
 
 
+def recurring(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Every document with the runs of words that recurring windows cover.
+
+    Returns doc_id (of the type it has), text, n_words and covered (array of start, end; words from 0, end exclusive,
+    disjoint and in order). A window counts as recurring where its word sequence also starts anywhere else in the
+    corpus. Null text has no words. Repeated rows are separate documents, so each makes the other's windows recur.
+    An empty table gives an empty result; other columns are ignored, whatever their names.
+    A task holds a shard's documents and, of a block of text or one longer text, some sixty times its size.
+    """
+    return _located(docs, window, id_col, text_col, shard_words, _marked, _MARKED)
+
+
+def remove(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Every document without the words that recurring windows cover: doc_id, kept (the others, joined by one space), n_words, n_removed.
+
+    What recurs is what ``recurring`` says. A text without words is kept as the empty text.
+    """
+    return _located(docs, window, id_col, text_col, shard_words, _removed, _REMOVED)
+
+
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+_MARKED = lambda doc_id: T.StructType([doc_id, T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(_SPAN))])
+_REMOVED = lambda doc_id: T.StructType([doc_id, T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+
+
+class _Covered:
+    """Words of a block and which of them recurring windows cover."""
+
+    def __init__(self, part: pa.RecordBatch, machine: Automaton):
+        self.raw, at = utf8(part.column("text"))
+        self.first, self.end, self.row_first = words(self.raw, at)
+        starts = machine.locate(word_hashes(self.raw, self.first, self.end), self.row_first)
+        edge = np.zeros(len(self.first) + 1, dtype=np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + machine.window, -1)
+        self.covered = np.cumsum(edge)[:-1] > 0
+
+
 def _marked(part: pa.RecordBatch, machine: Automaton) -> pa.RecordBatch:
-    raw, at = utf8(part.column("text"))
-    first, end, row_first = words(raw, at)
-    starts = machine.locate(word_hashes(raw, first, end), row_first)
-    edge = np.zeros(len(first) + 1, dtype=np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + machine.window, -1)
-    covered = np.cumsum(edge)[:-1] > 0
-    a, b = runs(covered)
+    c = _Covered(part, machine)
+    row_first = c.row_first
+    a, b = runs(c.covered)
     # a run may go over into the next text: it is cut there
     inner = row_first[1:-1]
-    inner = inner[(inner > 0) & (inner < len(first))]
-    inner = np.unique(inner[covered[inner] & covered[inner - 1]]) if len(inner) else inner
+    inner = inner[(inner > 0) & (inner < len(c.first))]
+    inner = np.unique(inner[c.covered[inner] & c.covered[inner - 1]]) if len(inner) else inner
     a, b = np.sort(np.concatenate((a, inner))), np.sort(np.concatenate((b, inner)))
     of = np.searchsorted(row_first, a, side="right") - 1
     span = [pa.field("start", pa.int32()), pa.field("end", pa.int32())]
@@ -381,31 +405,13 @@ def _marked(part: pa.RecordBatch, machine: Automaton) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), pa.array(np.diff(row_first)), lists], ["doc_id", "text", "n_words", "covered"])
 
 
-def remove(marked: DataFrame) -> DataFrame:
-    """Cut the covered words: doc_id, kept (the other words, joined by one space), n_words, n_removed.
-
-    Takes what ``recurring`` gives; a text without words is kept as the empty text. An empty table gives an empty one.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in blocks(whole, limit=BLOCK):
-                raw, at = utf8(part.column("text"))
-                first, end, row_first = words(raw, at)
-                spans = part.column("covered")
-                row = np.repeat(np.arange(part.num_rows), spans.value_lengths().to_numpy())
-                flat = spans.flatten()
-                edge = np.zeros(len(first) + 1, dtype=np.int64)
-                np.add.at(edge, row_first[row] + flat.field("start").to_numpy(), 1)
-                np.add.at(edge, row_first[row] + flat.field("end").to_numpy(), -1)
-                stay = np.flatnonzero(np.cumsum(edge)[:-1] == 0)
-                kept_first = np.searchsorted(stay, row_first)
-                kept = joined_words(raw, first[stay], end[stay], kept_first)
-                removed = np.diff(row_first) - np.diff(kept_first)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), kept, part.column("n_words"), pa.array(removed)], ["doc_id", "kept", "n_words", "n_removed"])
-
-    schema = T.StructType([marked.schema["doc_id"], T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return marked.select("doc_id", "text", "n_words", "covered").mapInArrow(run, schema)
+def _removed(part: pa.RecordBatch, machine: Automaton) -> pa.RecordBatch:
+    c = _Covered(part, machine)
+    stay = np.flatnonzero(~c.covered)
+    kept_first = np.searchsorted(stay, c.row_first)
+    kept = joined_words(c.raw, c.first[stay], c.end[stay], kept_first)
+    n_words = np.diff(c.row_first)
+    return pa.RecordBatch.from_arrays([part.column("doc_id"), kept, pa.array(n_words), pa.array(n_words - np.diff(kept_first))], ["doc_id", "kept", "n_words", "n_removed"])
 
 
 def digest(kept: DataFrame) -> DataFrame:

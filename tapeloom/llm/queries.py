@@ -39,7 +39,7 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.digest(phrases.remove(phrases.recurring(_docs(spark, sf_dir))))
+    return phrases.digest(phrases.remove(_docs(spark, sf_dir)))
 
 
 def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def plain(rows, window):
 
 
 def got(df, window, **more):
-    rows = p.digest(p.remove(p.recurring(df, window, **more))).collect()
+    rows = p.digest(p.remove(df, window, **more)).collect()
     return sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows), key=str)
 
 
@@ -92,6 +92,16 @@ def test_one_text_of_one_word_again_and_again(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), 8) == plain(rows, 8)
 
 
+def test_marked_runs_are_what_is_removed(spark):
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {d: n for d, _, n, _ in plain(rows, 8)}
+    for r in p.recurring(df, 8).collect():
+        spans = [(s["start"], s["end"]) for s in r["covered"]]
+        assert sum(b - a for a, b in spans) == gone[r["doc_id"]]
+        assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:], strict=False)) and all(0 <= a < b <= r["n_words"] for a, b in spans)
+
+
 def test_ids_of_any_type(spark):
     df = spark.createDataFrame([("x", "a b c d"), ("y", "b c d e"), (None, None)], "doc_id string, text string")
     assert got(df, 3) == plain([("x", "a b c d"), ("y", "b c d e"), (None, None)], 3)
