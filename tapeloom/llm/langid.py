@@ -18,6 +18,8 @@ from tapeloom.llm.textblocks import blocks, code_points, letters, list_column, l
 BUCKETS = 1 << 16
 #: What a change of language between two words costs, in natural-log units.
 SWITCH = 12.0
+#: Documents of more words are labelled in pieces of so many.
+PIECE = 2048
 #: The classifier learns from about so many rows of each language.
 MAX_ROWS_PER_LANG = 4000
 #: A script counts as one of a language's from this share of its letters on.
@@ -149,34 +151,81 @@ def _own_scores(sample: DataFrame, model: Model, grams: np.ndarray) -> np.ndarra
     return out
 
 
-def viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+def viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float = SWITCH, piece: int = PIECE) -> np.ndarray:
     """The best label of every word. scores: words x languages; first, n: of each document, its words.
 
-    All documents take a step at once, the longest first in line, so a step costs the documents that still run.
+    All documents take a step at once, so a step costs the documents that still run. A document of more than ``piece``
+    words is cut into pieces, which go along with the others: best paths through a piece from each label are found
+    first, then chained, which gives every piece the values it starts from. The result is that of one walk.
     """
-    labels = np.zeros(len(scores), dtype=np.uint8 if scores.shape[1] < 256 else np.int32)
+    k = scores.shape[1]
+    labels = np.zeros(len(scores), dtype=np.uint8 if k < 256 else np.int32)
+    first, n = first[n > 0], n[n > 0]
+    if not len(n) or not k:
+        return labels
+    own = np.arange(k, dtype=labels.dtype)
     back = np.zeros(scores.shape, dtype=labels.dtype)
-    by_length = np.argsort(-n, kind="stable")
-    first, n = first[by_length], n[by_length]
-    longest = int(n[0]) if len(n) else 0
-    running = np.searchsorted(-n, -np.arange(longest), side="left")  # documents with more than t words
-    own = np.arange(scores.shape[1], dtype=labels.dtype)
-    value = scores[np.minimum(first, max(0, len(scores) - 1))].astype(np.float64) if longest else None
-    for t in range(1, longest):
-        k = running[t]
-        at, v = first[:k] + t, value[:k]
+    count = -(-n // piece)
+    of = np.repeat(np.arange(len(n)), count)
+    nth = np.arange(len(of)) - (np.cumsum(count) - count)[of]
+    at = first[of] + nth * piece
+    size = np.minimum(piece, n[of] - nth * piece)
+    last = nth == count[of] - 1
+    start = np.zeros((len(of), k))
+    inner = np.flatnonzero(~last)
+    if len(inner):
+        from_each = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)
+        through = np.zeros((len(of), k, k))
+        through[inner] = _walk(np.tile(from_each, (len(inner), 1)), scores, np.repeat(at[inner], k), np.repeat(size[inner], k), switch).reshape(-1, k, k)
+        for p in inner.tolist():
+            start[p + 1] = (start[p][:, None] + through[p]).max(axis=0)
+    end = _walk(start, scores, at, size, switch, back)
+    state = end.argmax(axis=1).astype(labels.dtype)
+    if len(inner):
+        # the label that each label at the end of a piece came from, ahead of the piece
+        later = np.flatnonzero(nth > 0)
+        came = np.zeros((len(of), k), dtype=labels.dtype)
+        came[later] = _trace(np.tile(own, len(later)), back, np.repeat(at[later], k), np.repeat(size[later], k)).reshape(-1, k)
+        for p in inner[::-1].tolist():
+            state[p] = came[p + 1][state[p + 1]]
+    _trace(state, back, at, size, labels)
+    return labels
+
+
+def _running(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by length, the longest first; how many of them have more than t words, for each t."""
+    by = np.argsort(-n, kind="stable")
+    return by, np.searchsorted(-n[by], -np.arange(int(n.max(initial=0))), side="left")
+
+
+def _walk(value: np.ndarray, scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float, back: np.ndarray | None = None) -> np.ndarray:
+    """Values of the best paths at the ends of the stretches, from those at their starts; back gets each word's label before."""
+    by, running = _running(n)
+    first, value = first[by], value[by].copy()
+    for t, k in enumerate(running):
+        v = value[:k]
         best = v.max(axis=1) - switch
-        stay = v >= best[:, None]
-        back[at] = np.where(stay, own, v.argmax(axis=1).astype(labels.dtype)[:, None])
-        value[:k] = np.maximum(v, best[:, None]) + scores[at]
-    state = value.argmax(axis=1).astype(labels.dtype) if longest else None
-    for t in range(longest - 1, -1, -1):
+        if back is not None:
+            back[first[:k] + t] = np.where(v >= best[:, None], np.arange(v.shape[1], dtype=back.dtype), v.argmax(axis=1).astype(back.dtype)[:, None])
+        value[:k] = np.maximum(v, best[:, None]) + scores[first[:k] + t]
+    out = np.empty_like(value)
+    out[by] = value
+    return out
+
+
+def _trace(state: np.ndarray, back: np.ndarray, first: np.ndarray, n: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
+    """Labels before the stretches, from those at their ends; labels gets those of all words."""
+    by, running = _running(n)
+    first, state = first[by], state[by].copy()
+    for t in range(len(running) - 1, -1, -1):
         k = running[t]
         at, s = first[:k] + t, state[:k]
-        labels[at] = s
-        if t:
-            state[:k] = back[at, s]
-    return labels
+        if labels is not None:
+            labels[at] = s
+        state[:k] = back[at, s]
+    out = np.empty_like(state)
+    out[by] = state
+    return out
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
@@ -185,8 +234,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     Returns doc_id, lang_pred (the language of most letters; ``und`` where the text is null or has no letter),
     score (its share of the letters, 0 for ``und``) and spans (array of start, end, lang; code points from 0, end
     exclusive; from the first word of a run of words in one language to its last). A word is a run of letters.
-    Ties go to the language that sorts first. A text is walked word by word along with the others of its block, so a
-    text of a million words takes some twenty seconds, and some sixty times its size of memory. Every word gets the best of the model's languages, also where none
+    Ties go to the language that sorts first. A text takes some sixty times its size of memory in its task. Every word gets the best of the model's languages, also where none
     fits; ``select_languages`` judges that. One row for each row; other columns are ignored.
     """
     spark = docs.sparkSession

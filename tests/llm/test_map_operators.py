@@ -58,6 +58,18 @@ def test_viterbi_is_exact():
             assert value(got[a : a + k]) == pytest.approx(max(value(p) for p in itertools.product(range(3), repeat=k)))
 
 
+def test_viterbi_in_pieces_is_one_walk():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    n = np.array([50, 3, 0, 200, 7, 64])
+    scores = rng.normal(size=(n.sum(), 4)) * 2
+    first = np.cumsum(n) - n
+    whole = langid.viterbi(scores, first, n, 1.5)
+    for piece in (1, 2, 7, 50, 64):
+        assert (langid.viterbi(scores, first, n, 1.5, piece) == whole).all()
+
+
 def test_languages_edges(spark, edge):
     model = langid.fit(edge)
     got = [(r["doc_id"], r["lang_pred"]) for r in langid.identify(edge, model).collect()]
