@@ -52,8 +52,10 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 5, min
 
     labelled: page_id, tokens, bad. Spark's FP-growth finds the frequent token sets that hold the label; a rule
     stays if its support, its confidence and its length pass and no shorter rule inside it is as sure.
-    Returns antecedent (array), confidence, support and lift. Only sets above the support are kept, so
-    the number of rules is bounded by 1 / support and the tokens of a URL, not by the rows. None for no rows.
+    Returns antecedent (array), confidence, support and lift. Support is relative: with more than min_rows /
+    min_support labelled URLs, tokens of fewer than that share of them make no rule, whatever their confidence.
+    Longer sets are mined and then left out, so the work grows with the subsets of a URL's frequent tokens, of which
+    a URL has few: at most 1 / support of those that don't share URLs. None for no rows.
     """
     n = labelled.count()
     schema = "antecedent array<string>, confidence double, support double, lift double"
