@@ -118,6 +118,7 @@ def metric_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """with e as (select *, avg(trade_volume_24h_usd) over (partition by exchange order by month_date rows between 2 preceding and current row) as vol_3 from v_reserve) select month_date, exchange, vol_3 * least(1.0, trust_score / 40) as proxy_reserve,
       vol_3 * least(1.0, trust_score / 40) - lag(vol_3 * least(1.0, trust_score / 40)) over (partition by exchange order by month_date) as proxy_change from e""",
     "proxy_reserve proxy_change",
+    7,
 )
 def reserve_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smoothed volume discounted by trust stands for reserves; change to the period before."""

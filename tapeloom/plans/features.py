@@ -121,6 +121,7 @@ def quantile_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
     "w18_range_baseline",
     "select trade_id, symbol, avg(price * quantity) over (partition by symbol order by trade_ts range between interval 6 hour preceding and current row) as baseline from v_trades",
     "baseline",
+    8,
 )
 def range_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "v_trades").select("trade_id", "symbol", series.range_mean(F.col("price") * F.col("quantity"), ["symbol"], F.col("trade_ts"), 6 * 3600).alias("baseline"))

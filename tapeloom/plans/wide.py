@@ -122,7 +122,7 @@ def _from_core(name: str, keep: list[str], *steps: dict[str, str], doubles: str
     query(name, f"select {', '.join(shown)} from {sql}", doubles or doubles_of(*(dict.fromkeys(c for c in x if not c.startswith("_")) for x in steps)), digits)(run)
 
 
-query("m17_core_fact", f"select {', '.join(_CORE)} from ({CORE_SQL}) c", f"close_price max_abs_peg_deviation_pct {_SCORE_DOUBLES}")(lambda spark, sf_dir: fact(spark, sf_dir).select(*_CORE))
+query("m17_core_fact", f"select {', '.join(_CORE)} from ({CORE_SQL}) c", f"close_price max_abs_peg_deviation_pct {_SCORE_DOUBLES}", 7)(lambda spark, sf_dir: fact(spark, sf_dir).select(*_CORE))
 
 _KEYS = ["hour_ts", "symbol"]
 _BAND = lambda x, *cases, otherwise: f"case {' '.join(f'when {_Z(x)} {c} then {v!r}' for c, v in cases)} else {otherwise!r} end"
