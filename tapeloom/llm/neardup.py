@@ -24,6 +24,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Bands of rows each: at similarity 0.8 a pair shares no band with probability (1 - 0.8^6)^42 = 2.8e-6, at 0.85 with 2e-9.
 BANDS, ROWS = 42, 6
+#: Bytes of text that a task works on at once: shingles, processes and signatures take some hundred times as much.
+BLOCK = 1_000_000
 #: One in so many shingles, by hash, serves to tell how much of a text others share.
 SAMPLE = 16
 
@@ -102,7 +104,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 row, shingle, count = shingle_bags(part.column("text"))
                 rows = part.num_rows
                 bits = signatures(row, shingle, count, rows).view(np.uint64).reshape(rows, BANDS, ROWS)
@@ -123,7 +125,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 def _bags(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in blocks(whole):
+            for part in blocks(whole, limit=BLOCK):
                 row, shingle, count = shingle_bags(part.column("text"))
                 every, sizes = expanded(row, shingle, count, part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("node"), list_column(sizes, pa.array(every.view(np.int64)))], ["node", "bag"])
