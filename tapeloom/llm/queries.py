@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tapeloom.llm import decontaminate, langid, merkle, mixing, neardup, phrases, secrets, sharding, tokens, urls
+from tapeloom.llm import alignment, decontaminate, langid, merkle, mixing, neardup, phrases, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -54,6 +54,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir)).drop("copies")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(_docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_tokens": op2_tokens,
@@ -65,5 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_languages": op8_languages,
     "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,
+    "op12_alignment": op12_alignment,
     "pipeline": corpus_pipeline.run,
 }
