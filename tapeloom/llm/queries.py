@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tapeloom.llm import alignment, decontaminate, langid, merkle, mixing, neardup, phrases, secrets, sharding, tokens, urls
+from tapeloom.llm import alignment, decontaminate, langid, merkle, mixing, neardup, phrases, repair, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -58,6 +58,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(_docs(spark, sf_dir))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(_docs(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_tokens": op2_tokens,
@@ -70,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,
     "op12_alignment": op12_alignment,
+    "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
 }

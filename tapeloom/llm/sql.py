@@ -8,13 +8,16 @@ for _i in range(16):
         _c = (_c >> 1) ^ (0xEDB88320 if _c & 1 else 0)
     _NIBBLES.append(_c)
 
+#: CRC-32 of a hexadecimal text's bytes.
+_CRC32 = f"""xor(list_reduce(
+      flatten([[ (position({{hex}}[2*i] in '0123456789ABCDEF') - 1)::bigint, (position({{hex}}[2*i-1] in '0123456789ABCDEF') - 1)::bigint ]
+        for i in range(1, cast(length({{hex}}) / 2 as bigint) + 1)]),
+      lambda c, x: xor(c >> 4, {_NIBBLES}[xor(c, x) % 16 + 1]), 4294967295::bigint), 4294967295::bigint)"""
+
 OP3 = f"""
 with b as (
   select doc_id, cast(strlen(coalesce(text, '')) + 1 as bigint) as size,
-    xor(list_reduce(
-      flatten([[ (position(hex[2*i] in '0123456789ABCDEF') - 1)::bigint, (position(hex[2*i-1] in '0123456789ABCDEF') - 1)::bigint ]
-        for i in range(1, cast(length(hex) / 2 as bigint) + 1)]),
-      lambda c, x: xor(c >> 4, {_NIBBLES}[xor(c, x) % 16 + 1]), 4294967295::bigint), 4294967295::bigint) as text_crc32
+    {_CRC32.format(hex="hex")} as text_crc32
   from (select doc_id, text, hex(encode(coalesce(text, ''))) as hex from documents) h),
 r as (
   select *, row_number() over w - 1 as rank, sum(size) over (w rows between unbounded preceding and current row) - size as before, sum(size) over () as total
@@ -71,4 +74,42 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint)
 from d left join m using (r)
 """
 
-ORACLES = {"op3_shards": OP3, "op6_merkle": OP6, "op7_phrases": OP7, "op10_mixing": OP10}
+#: One step a row for all conversations at once: the least (cost, audit) of each state, inserted turns before an edit.
+OP13 = rf"""
+with recursive base as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    hex(encode(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))) as h from conversations),
+drawn as (select *, {_CRC32.format(hex="h")} % 20 as k from base),
+hurt as (
+  select conv_id, turn, case when k = 4 then 'user' else role end as role, case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when k = 3 then [1, 2] else [1] end) as copy from drawn where k <> 0),
+r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos, role[1:1] as i, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final from hurt),
+f as (select *, case when final = '' then 'b' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'd' when final not in ('.', '!', '?') then 't' else '' end as fault,
+    lag(i) over (partition by conv_id order by pos) as before from r),
+n as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+    count(*) filter (fault = 't') as truncated, count(*) filter (before is not null and before || i not in ('su', 'ua', 'au')) as illegal from f group by conv_id),
+moves as (select * from (values (0, 0, ''), (0, 2, 'u'), (0, 3, 'ua'), (1, 1, ''), (1, 2, 'u'), (1, 3, 'ua'), (2, 2, ''), (2, 3, 'a'), (2, 2, 'au'), (3, 3, ''), (3, 2, 'u'), (3, 3, 'ua')) m(p, q, put)),
+turns as (select p, q, put, 5 * len(put) as cost, repeat('I', len(put)) as audit, list_transform(string_split(put, ''), lambda c: case c when 'u' then 'user:' else 'assistant:' end)[1:len(put)] as lines from moves),
+edits as (select * from (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) e(p, i, q)),
+steps as (
+  select conv_id, 0::bigint as k, 0 as state, 0::bigint as cost, '' as audit, []::varchar[] as lines from n
+  union all
+  select conv_id, pos, state, cost, audit, lines from (
+    select *, row_number() over (partition by conv_id, state order by cost, audit) as rank from (
+      select s.conv_id, f.pos, c.q as state, s.cost + t.cost + c.cost as cost, s.audit || t.audit || c.audit as audit, list_concat(list_concat(s.lines, t.lines), c.lines) as lines
+      from steps s join f on f.conv_id is not distinct from s.conv_id and f.pos = s.k + 1 join turns t on t.p = s.state
+      cross join lateral (
+        select t.q as q, 2 as cost, 'D' as audit, []::varchar[] as lines
+        union all select e.q, case f.fault when 't' then 5 else 0 end, 'K', [f.role || ':' || f.text] from edits e where e.p = t.q and e.i = f.i and f.fault in ('', 't')
+        union all select case t.q when 2 then 3 else 2 end, case f.fault when 't' then 6 else 1 end, 'R', [case t.q when 2 then 'assistant:' else 'user:' end || f.text] where f.fault in ('', 't')) c) x) y
+  where rank = 1),
+ends as (
+  select s.conv_id, s.cost + t.cost as cost, s.audit || t.audit as audit, list_concat(s.lines, t.lines) as lines, n.* exclude (conv_id),
+    row_number() over (partition by s.conv_id order by s.cost + t.cost, s.audit || t.audit) as rank
+  from steps s join n on n.conv_id is not distinct from s.conv_id and s.k = n.n join turns t on t.p = s.state where t.q in (0, 3))
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(cost, 0) as cost, coalesce(audit, '') as audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join ends e on e.conv_id is not distinct from c.conv_id and e.rank = 1
+"""
+
+ORACLES = {"op3_shards": OP3, "op6_merkle": OP6, "op7_phrases": OP7, "op10_mixing": OP10, "op13_repair": OP13}
