@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tapeloom.llm import alignment, decontaminate, langid, merkle, mixing, neardup, phrases, repair, secrets, sharding, tokens, urls
+from tapeloom.llm import alignment, decontaminate, langid, merkle, mixing, neardup, phrases, quality, repair, secrets, sharding, tokens, urls
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -54,6 +54,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir)).drop("copies")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict(_docs(spark, sf_dir), _docs(spark, sf_dir, "labels"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(_docs(spark, sf_dir))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_languages": op8_languages,
     "op9_benchmark": op9_benchmark,
     "op10_mixing": op10_mixing,
+    "op11_quality": op11_quality,
     "op12_alignment": op12_alignment,
     "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
