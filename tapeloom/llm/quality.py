@@ -19,8 +19,8 @@ from tapeloom.llm.shared import cut
 from tapeloom.llm.textblocks import _BYTE, SEPARATOR, blocks, list_column, rolling, utf8, word_hashes, words
 
 #: Words are hashed to so many features; each structure statistic and metadata column has BINS more.
-BUCKETS, BINS = 1 << 15, 32
-FACTORS = 8
+BUCKETS, BINS = 1 << 14, 32
+FACTORS = 6
 #: The machine learns from about so many labelled rows, thinned by a hash of id and text.
 MAX_ROWS = 24_000
 #: The rows learned from lie in so many parts, which learn side by side; after each of ROUNDS their models are averaged.
@@ -227,7 +227,7 @@ def _trainer(shared, epochs: int):
         index, value = (rows.column(c).combine_chunks() for c in ("index", "value"))
         n = index.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         learn(own, n, index.flatten().to_numpy(zero_copy_only=False).astype(np.int64), value.flatten().to_numpy(zero_copy_only=False), rows.column("label").to_numpy(), seen, epochs)
-        packed = np.concatenate(([own.bias], own.weights, own.factors.ravel(), seen.ravel())).tobytes()
+        packed = np.concatenate(([own.bias], own.weights, own.factors.ravel(), seen.ravel())).astype(np.float32).tobytes()
         return pa.table({"part": rows.column("part")[:1], "n": pa.array([len(n)]), "machine": pa.array([packed], pa.binary())})
 
     return train
@@ -275,10 +275,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows
 
         got = sorted(table.groupBy("part").applyInArrow(_trainer(shared, EPOCHS), "part int, n long, machine binary").collect())
         total = sum(r["n"] for r in got)
-        mixed = sum(np.frombuffer(r["machine"]) * (r["n"] / total) for r in got)
-        machine = Machine(float(mixed[0]), mixed[1 : width + 1].copy(), mixed[width + 1 : width * (FACTORS + 1) + 1].reshape(width, FACTORS).copy())
-        seen = mixed[width * (FACTORS + 1) + 1 :].reshape(width, FACTORS + 1).copy()
-        shared.unpersist()
+        mixed = sum(np.frombuffer(r["machine"], dtype=np.float32).astype(np.float64) * (r["n"] / total) for r in got)
+        weights, factors, seen = np.split(mixed[1:], [width, width * (FACTORS + 1)])
+        machine, seen = Machine(float(mixed[0]), weights, factors.reshape(width, FACTORS)), seen.reshape(width, FACTORS + 1)
+        shared.destroy()
     return machine
 
 
