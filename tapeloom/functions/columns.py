@@ -47,12 +47,13 @@ def arg_first(value: Column, *order: Column, descending: bool = True, ignore_nul
     return F.max_by(value, key) if descending else F.min_by(value, key)
 
 
-def top_n_json(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: Sequence[Column], n: int, name: str) -> DataFrame:
-    """A row a group with its first n rows by the order as a JSON array of objects.
+def top_n_json(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: Sequence[Column], n: int | None, name: str) -> DataFrame:
+    """A row a group with its first n rows by the order (all of them for None) as a JSON array of objects.
 
-    Rows are ranked first, and Spark cuts each partition's groups to n rows before the shuffle; n rows are collected.
+    Rows are ranked first; with n, Spark cuts each partition's groups to n rows before the shuffle, so n rows are collected.
     """
-    first = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_nth") <= n)
+    first = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    first = first if n is None else first.where(F.col("_nth") <= n)
     rows = F.array_sort(F.collect_list(F.struct("_nth", F.struct(*fields).alias("_row"))))
     return first.groupBy(*keys).agg(F.to_json(F.transform(rows, lambda x: x["_row"]), {"ignoreNullFields": "false"}).alias(name))
 

@@ -27,6 +27,7 @@ TOPICS = {
     "TECH_ANALYSIS": ("support", "resistance", "rsi", "ma", "fibonacci", "chart", "breakout"), "MACRO_POLITICS": ("ufo", "alien", "war", "debt", "president", "doj", "election", "biden", "trump", "putin", "gdp"),
 }
 ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "))
+#: Fixed values; groups are non-capturing and digits are spelled out, as both engines need.
 URL, CASHTAG, HASHTAG, MONEY = r"https?://[^\s]+", r"\$[A-Za-z0-9]+", r"#[A-Za-z0-9_]+", r"\$[0-9]+[kKmMbB]?|[0-9]+(?:\.[0-9]+)?%"
 
 
@@ -73,7 +74,7 @@ for _a, _b in ENTITIES:
     _STRIP = f"replace({_STRIP}, '{_a.replace(chr(39), chr(39) * 2)}', '{_b.replace(chr(39), chr(39) * 2)}')"
 query(
     "m54_posts_enriched",
-    f"""with p as (select *, trim(title || '. ' || body) as full_text from v_messages where body not in ('[removed]', '[deleted]') and lang = 'en'), d as (select *, md5(full_text) as content_hash, lower(full_text) as low, row_number() over (partition by md5(full_text) order by post_id) as rn from p where length(full_text) >= 20),
+    rf"""with p as (select *, trim(title || '. ' || body) as full_text from v_messages where body not in ('[removed]', '[deleted]') and lang = 'en'), d as (select *, md5(full_text) as content_hash, lower(full_text) as low, row_number() over (partition by md5(full_text) order by post_id) as rn from p where length(full_text) >= 20),
       k as (select *, {_COUNT('low', BTC_POST)} as b, {_COUNT('low', ETH_POST)} as e, greatest(hours_old, 1) as h, score * 1.0e0 + comments * 3.0e0 as inter, case channel {' '.join(f"when '{c}' then {w}e0" for c, w in CHANNEL_WEIGHTS.items())} else 1e0 end as w from d where rn = 1)
       select post_id, channel, content_hash, case when b > e and b > 0 then 'BTC' when e > b and e > 0 then 'ETH' else 'GENERAL' end as asset, concat_ws(',', {', '.join(f"case when {_ANY('low', x)} then '{t}' end" for t, x in EVENTS.items())}) as event_tags, (score + comments) / h::double as engagement_velocity,
         inter as interaction_weight, inter / power(h::double, 0.3) * w as final_weight, compound * inter / power(h::double, 0.3) * w as weighted_sentiment, (score + comments) / h::double > 100 as is_viral, md5(trim(regexp_replace({_STRIP}, '\s+', ' ', 'g'))) as stripped_hash from k""",
@@ -102,7 +103,7 @@ def enrich_messages(messages: DataFrame) -> DataFrame:
 _FOUND = lambda x, p: f"array_to_string(list_sort(list_distinct(regexp_extract_all({x}, '{p}'))), ',')"
 query(
     "m55_messages_enriched",
-    f"""with r as (select *, title || ' ' || body as raw_text from v_messages), c as (select *, trim(regexp_replace(regexp_replace(raw_text, '{URL}', '', 'g'), '\s+', ' ', 'g')) as clean_text, greatest(views * 0.01e0 + forwards * 5e0 + replies * 10e0 + reactions * 2e0, 1e0) as engagement_score from r), k as (select *, lower(clean_text) as low from c)
+    rf"""with r as (select *, title || ' ' || body as raw_text from v_messages), c as (select *, trim(regexp_replace(regexp_replace(raw_text, '{URL}', '', 'g'), '\s+', ' ', 'g')) as clean_text, greatest(views * 0.01e0 + forwards * 5e0 + replies * 10e0 + reactions * 2e0, 1e0) as engagement_score from r), k as (select *, lower(clean_text) as low from c)
       select post_id, channel, md5(clean_text) as clean_hash, case when ({_ANY('low', BTC_MESSAGE)}) and ({_ANY('low', ETH_MESSAGE)}) then 'BTC_ETH' when {_ANY('low', BTC_MESSAGE)} then 'BTC' when {_ANY('low', ETH_MESSAGE)} then 'ETH' else 'GENERAL' end as coin_focus,
         case when {_ANY('low', BULLISH)} then 'BULLISH' when {_ANY('low', BEARISH)} then 'BEARISH' else 'NEUTRAL' end as signal_type, case {' '.join(f"when {_ANY('low', w)} then '{t}'" for t, w in TOPICS.items())} else 'GENERAL_NEWS' end as topic, engagement_score, compound * engagement_score as weighted_sentiment,
         case when engagement_score >= 10000 then 'VIRAL' when engagement_score >= 3000 then 'HIGH' when engagement_score >= 1000 then 'MEDIUM' else 'LOW' end as importance, case when clean_text = '' then 0 else len(string_split(clean_text, ' ')) end as word_count, len(regexp_extract_all(raw_text, '{MONEY}')) as financial_mentions_count,
@@ -175,7 +176,7 @@ _NAIVE = {"_up": f"case when lead(close_price, 4) over ({_W}) is null then null
 
 @query(
     "l13_walk_forward_hours",
-    f"""with p as (select hour_ts, _up as actual, _guess as predicted from ({added_sql('v_hourly', _NAIVE)}) x where _up is not null), t as (select hour_ts, row_number() over (order by hour_ts) - 1 as n, count(*) over () as total from (select distinct hour_ts from p) d), b as (select unnest(range(0, 4)) as fold, (select max(total) from t) as total),
+    rf"""with p as (select hour_ts, _up as actual, _guess as predicted from ({added_sql('v_hourly', _NAIVE)}) x where _up is not null), t as (select hour_ts, row_number() over (order by hour_ts) - 1 as n, count(*) over () as total from (select distinct hour_ts from p) d), b as (select unnest(range(0, 4)) as fold, (select max(total) from t) as total),
       s as (select fold, total, cast(floor(total * 0.5) as bigint) as s from b), c as (select fold, s + cast(floor((total - s) / 4.0 * fold) as bigint) as a, case when fold = 3 then total else s + cast(floor((total - s) / 4.0 * (fold + 1)) as bigint) end as z from s),
       x as (select fold, case when n < a then 'train' else 'test' end as role, avg((actual = predicted)::int) as acc from p join t using (hour_ts) join c on n < z group by 1, 2), y as (select fold, max(acc) filter (role = 'train') as train_accuracy, max(acc) filter (role = 'test') as test_accuracy from x group by 1)
       select fold, train_accuracy, test_accuracy, stddev_samp(test_accuracy) over () as fold_spread, train_accuracy - test_accuracy > 0.08 or stddev_samp(test_accuracy) over () > 0.06 as is_overfit from y""",

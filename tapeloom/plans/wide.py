@@ -37,27 +37,27 @@ COMPOSITE = {
 }
 
 
-def daily_asof(hourly: DataFrame, daily: DataFrame, values: list[str], tag: str) -> DataFrame:
-    """Daily rows as they were known at each hour: an as-of join of the distinct hours, then an equi-join on the hour.
-
-    Both sides of the as-of join have a row a period, so its one window is small; the rows of all symbols aren't in it.
-    """
+def daily_known(hours: DataFrame, daily: DataFrame, values: list[str], tag: str) -> DataFrame:
+    """Daily rows as they were known at each of the distinct hours; both sides have a row a period, so the one window is small."""
     known = daily.select((F.col("price_date").cast("timestamp_ntz") + F.expr(_KNOWN)).alias(f"{tag}_at"), F.col("price_date").alias(f"{tag}_date"), *values)
-    hours = joins.asof_join(hourly.select("hour_ts").distinct(), known, [], "hour_ts", f"{tag}_at", [f"{tag}_date"], [f"{tag}_date", *values])
+    met = joins.asof_join(hours, known, [], "hour_ts", f"{tag}_at", [f"{tag}_date"], [f"{tag}_date", *values])
     fresh = F.col(f"{tag}_date") >= F.date_sub(F.to_date("hour_ts"), _STALE)
-    return hourly.join(hours.select("hour_ts", *[F.when(fresh, F.col(c)).alias(c) for c in (f"{tag}_at", f"{tag}_date", *values)]), "hour_ts", "left")
+    return met.select(*hours.columns, *[F.when(fresh, F.col(c)).alias(c) for c in (f"{tag}_at", f"{tag}_date", *values)])
 
 
 def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The market's hours with every leg, by hour and symbol, by hour, or as the day was known."""
     funding = grouped(dedupe.latest_per_hour(view(spark, sf_dir, "v_funding"), "observed_at", ["exchange", "symbol"], [F.col("observed_at"), F.col("obs_id")]), ["hour_ts", "symbol"], FUNDING)
-    out = trades_hourly(view(spark, sf_dir, "v_trades"))
+    market = trades_hourly(view(spark, sf_dir, "v_trades"))
+    out = market
     for leg in (funding, legs.liquidation_hourly(spark, sf_dir), legs.options_hourly(spark, sf_dir), legs.social_hourly(spark, sf_dir)):
         out = out.join(leg, ["hour_ts", "symbol"], "left")
     for leg in (legs.stablecoin_hourly(spark, sf_dir), legs.reserve_hourly(spark, sf_dir)):
         out = out.join(leg, ["hour_ts"], "left")
-    out = daily_asof(out, legs.macro_features(spark, sf_dir), _MACRO, "macro")
-    return added(daily_asof(out, legs.etf_features(spark, sf_dir), _ETF, "etf"), COMPOSITE)
+    # the rows of all symbols meet the days through their distinct hours, which are joined once
+    context = daily_known(market.select("hour_ts").distinct(), legs.macro_features(spark, sf_dir), _MACRO, "macro")
+    context = daily_known(context, legs.etf_features(spark, sf_dir), _ETF, "etf")
+    return added(out.join(context, "hour_ts", "left"), COMPOSITE)
 
 
 def _asof_sql(daily: str, values: list[str], tag: str) -> str:
@@ -175,46 +175,55 @@ _from_core("m27_signal_board", _KEYS, SIGNAL, SIGNAL_MORE)
 # --- M28: all seven rules ---------------------------------------------------------------------------------------------
 
 _NAME = lambda x: f"coalesce({x}, 'UNKNOWN')"
-#: type, category, severity, message, score, action
+#: A number to so many digits, without trailing zeros.
+_FIGURE = lambda x, digits: f"regexp_replace(cast(cast({_Z(x)} as decimal(30, {digits})) as varchar(40)), '[.]?0+$', '')"
+#: Type, category, severity, message, score, action
 ALERTS = (
-    ("SYSTEM_RISK", "risk", _BAND("overall_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), "'Overall risk score is high'", "overall_risk_score", "Reduce exposure and review all risk panels."),
-    ("DERIVATIVES_CROWDING", "derivatives", _BAND("derivatives_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), "'Derivatives risk score is high'", "derivatives_risk_score", "Check funding, leverage stress, options positioning and liquidation clusters."),
-    ("LIQUIDATION_SQUEEZE", "liquidation", "case when top_squeeze_signal in ('SHORT_SQUEEZE_SETUP', 'LONG_SQUEEZE_SETUP') then 'HIGH' else '' end", f"concat('Top squeeze signal: ', {_NAME('top_squeeze_signal')})", f"{_Z('max_rank_score')} * 100", "Inspect liquidation heatmap around spot price."),
-    ("STABLECOIN_DEPEG", "liquidity", _BAND("max_abs_peg_deviation_pct", (">= 2", "CRITICAL"), (">= 0.5", "HIGH"), otherwise=""), f"concat('Worst peg symbol: ', {_NAME('worst_peg_symbol')})", f"{_Z('max_abs_peg_deviation_pct')} * 10", "Review stablecoin peg and liquidity risk panels."),
+    ("SYSTEM_RISK", "risk", _BAND("overall_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Overall risk score is ', {_FIGURE('overall_risk_score', 2)})", "overall_risk_score", "Reduce exposure and review all risk panels."),
+    ("DERIVATIVES_CROWDING", "derivatives", _BAND("derivatives_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Derivatives risk score is ', {_FIGURE('derivatives_risk_score', 2)})", "derivatives_risk_score", "Check funding, leverage stress, options positioning and liquidation clusters."),
+    ("LIQUIDATION_SQUEEZE", "liquidation", "case when top_squeeze_signal in ('SHORT_SQUEEZE_SETUP', 'LONG_SQUEEZE_SETUP') then 'HIGH' else '' end", f"concat('Top squeeze signal: ', {_NAME('top_squeeze_signal')}, ', top bucket rank score: ', {_FIGURE('max_rank_score', 4)})", f"{_Z('max_rank_score')} * 100", "Inspect liquidation heatmap around spot price."),
+    ("STABLECOIN_DEPEG", "liquidity", _BAND("max_abs_peg_deviation_pct", (">= 2", "CRITICAL"), (">= 0.5", "HIGH"), otherwise=""), f"concat('Worst peg symbol: ', {_NAME('worst_peg_symbol')}, ', deviation: ', {_FIGURE('max_abs_peg_deviation_pct', 4)}, '%')", f"{_Z('max_abs_peg_deviation_pct')} * 10", "Review stablecoin peg and liquidity risk panels."),
     ("EXCHANGE_BANK_RUN", "exchange", _BAND("high_bank_run_risk_exchange_count", (">= 2", "CRITICAL"), (">= 1", "HIGH"), otherwise=""), f"concat('High bank-run risk exchange count: ', cast({_Z('high_bank_run_risk_exchange_count')} as varchar(20)))", f"{_Z('high_bank_run_risk_exchange_count')} * 50", "Check exchange reserve utilization and top risky exchange."),
-    ("SOCIAL_PANIC", "social", _BAND("social_sentiment_score", ("<= -35", "HIGH"), otherwise=""), "'Social sentiment score is low'", "abs(social_sentiment_score)", "Review social sentiment, security mentions and panic narratives."),
-    ("MACRO_RISK_OFF", "macro", _BAND("macro_risk_score", (">= 75", "HIGH"), otherwise=""), f"concat('Macro risk regime: ', {_NAME('macro_risk_regime')})", "macro_risk_score", "Check macro and ETF dashboard before taking directional risk."),
+    ("SOCIAL_PANIC", "social", _BAND("social_sentiment_score", ("<= -35", "HIGH"), otherwise=""), f"concat('Social sentiment score is ', {_FIGURE('social_sentiment_score', 2)})", f"abs({_Z('social_sentiment_score')})", "Review social sentiment, security mentions and panic narratives."),
+    ("MACRO_RISK_OFF", "macro", _BAND("macro_risk_score", (">= 75", "HIGH"), otherwise=""), f"concat('Macro risk regime: ', {_NAME('macro_risk_regime')}, ', macro risk score: ', {_FIGURE('macro_risk_score', 2)})", "macro_risk_score", "Check macro and ETF dashboard before taking directional risk."),
 )
-_ALERT_SQL = " union all ".join(f"select hour_ts, symbol, '{t}' as alert_type, '{c}' as alert_category, nullif({s}, '') as alert_severity, {m} as alert_message, cast({x} as double) as alert_score, '{a}' as recommended_action from c" for t, c, s, m, x, a in ALERTS)
+_ALERT_KEYS = ["hour_ts", "symbol", "feature_date", "crypto_feature_sk", "feature_available_at", "feature_latency_minutes"]
+_ALERT_SQL = " union all ".join(f"select {', '.join(_ALERT_KEYS)}, '{t}' as alert_type, '{c}' as alert_category, nullif({s}, '') as alert_severity, {m} as alert_message, cast({x} as double) as alert_score, '{a}' as recommended_action from c where is_dashboard_ready" for t, c, s, m, x, a in ALERTS)
 
 
 @query(
     "m28_alert_fan_out",
-    f"with c as ({CORE_SQL}) select md5(strftime(hour_ts, '%Y-%m-%d %H:%M:%S') || '|' || symbol || '|' || alert_type) as dashboard_alert_sk, *, case alert_severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 else 4 end as alert_severity_sort_order from ({_ALERT_SQL}) a where alert_severity is not null",
+    f"with c as ({CORE_SQL}) select md5(strftime(hour_ts, '%Y-%m-%d %H:%M:%S') || '|' || symbol || '|' || alert_type) as dashboard_alert_sk, *, true as is_active_alert, case alert_severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 else 4 end as alert_severity_sort_order from ({_ALERT_SQL}) a where alert_severity is not null",
     "alert_score",
 )
 def alert_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each of the seven rules that fires: one pass, no union."""
     rules = [alerts.Rule(t, c, [(F.expr(s) == v, v) for v in ("CRITICAL", "HIGH")], F.expr(m), F.expr(x), a) for t, c, s, m, x, a in ALERTS]
-    fired = alerts.rule_alerts(fact(spark, sf_dir).where("is_dashboard_ready"), _KEYS, rules)
+    fired = alerts.rule_alerts(fact(spark, sf_dir).where("is_dashboard_ready"), _ALERT_KEYS, rules)
     return fired.withColumns(
-        {"dashboard_alert_sk": C.surrogate_key(F.date_format("hour_ts", "yyyy-MM-dd HH:mm:ss"), F.col("symbol"), F.col("alert_type")), "alert_severity_sort_order": F.expr("case alert_severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 else 4 end")}
+        {"dashboard_alert_sk": C.surrogate_key(F.date_format("hour_ts", "yyyy-MM-dd HH:mm:ss"), F.col("symbol"), F.col("alert_type")), "is_active_alert": F.lit(True), "alert_severity_sort_order": F.expr("case alert_severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 else 4 end")}
     )
 
 
 # --- M29, M30: daily risk ----------------------------------------------------------------------------------------------
 
-_LAST_SQL = f"(select * from (select *, row_number() over (partition by feature_date, symbol order by hour_ts desc) as nth from ({CORE_SQL}) c) x where nth = 1) d"
+_LAST_SQL = f"(select * from (select *, row_number() over (partition by feature_date, symbol order by hour_ts desc, feature_available_at desc) as nth from ({CORE_SQL}) c where is_dashboard_ready) x where nth = 1) d"
 _BEFORE = lambda x: f"lag({x}) over (order by feature_date)"
 _TREND = lambda x, up, down, flat: f"case when {x} > {_BEFORE(x)} then '{up}' when {x} < {_BEFORE(x)} then '{down}' else '{flat}' end"
 _MOVE = lambda x: f"({x} - {_BEFORE(x)}) / nullif({_BEFORE(x)}, 0)"
-_WORST_DAY = "struct(max_abs_peg_deviation_pct, worst_peg_symbol)"
+#: What stood with the largest value of the day, where it is known; a day has a row a symbol, so the symbol tells ties apart.
+_LED = lambda x, value: f"max_by({x}, struct({value}, hour_ts, symbol)) filter (where {x} is not null and {value} is not null)"
 _MAXED = lambda names: {n: f"max({n})" for n in names.split()}
 LIQUIDITY_DAY = (
-    {"latest_hour_ts": "max(hour_ts)", "symbol_count": "count(distinct symbol)"}
+    {"latest_hour_ts": "max(hour_ts)", "latest_feature_available_at": "max(feature_available_at)", "symbol_count": "count(distinct symbol)"}
     | _MAXED("total_stablecoin_market_cap_usd total_stablecoin_volume_24h_usd stablecoin_volume_to_mcap mcap_weighted_peg_deviation_pct max_abs_peg_deviation_pct max_depeg_risk_score depeg_risk_coin_count usdt_dominance_pct usdc_dominance_pct total_exchange_reserve_usd total_exchange_volume_24h_usd system_reserve_utilization normalized_system_reserve_utilization avg_exchange_trust_score reserve_hhi high_bank_run_risk_exchange_count top_reserve_exchange highest_utilization_risk_label highest_utilization_exchange")
-    | {"worst_peg_symbol": f"max_by(worst_peg_symbol, {_WORST_DAY})", "worst_peg_regime": f"max_by(worst_peg_regime, {_WORST_DAY})", "liquidity_risk_score": "avg(liquidity_risk_score)", "overall_risk_score": "avg(overall_risk_score)"}
+    | {n: _LED(n, "max_abs_peg_deviation_pct") for n in ("worst_peg_symbol", "worst_peg_regime")}
+    | {"liquidity_risk_score": "avg(liquidity_risk_score)", "overall_risk_score": "avg(overall_risk_score)"}
 )
+EXCHANGE_DAY = {k: v for k, v in LIQUIDITY_DAY.items() if "peg" not in k and "stablecoin" not in k and "dominance" not in k} | {
+    "exchange_count": "max(exchange_count)", "top_reserve_exchange": _LED("top_reserve_exchange", "total_exchange_reserve_usd"), "highest_utilization_exchange": _LED("highest_utilization_exchange", "normalized_system_reserve_utilization"),
+    "highest_utilization_risk_label": _LED("highest_utilization_risk_label", "normalized_system_reserve_utilization"),
+}
 #: A row a day: one window over all days is small
 LIQUIDITY_RISK = {
     "stablecoin_market_cap_change_1d": _MOVE("total_stablecoin_market_cap_usd"), "exchange_reserve_change_1d": _MOVE("total_exchange_reserve_usd"), "liquidity_risk_level": _BAND("liquidity_risk_score", (">= 80", "CRITICAL_LIQUIDITY_RISK"), (">= 65", "HIGH_LIQUIDITY_RISK"), (">= 40", "MEDIUM_LIQUIDITY_RISK"), otherwise="LOW_LIQUIDITY_RISK"),
@@ -231,14 +240,14 @@ EXCHANGE_RISK = {
 
 def _daily(name: str, day: dict[str, str], more: dict[str, str]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        last = dedupe.keep_latest(fact(spark, sf_dir), ["feature_date", "symbol"], [F.col("hour_ts")])
+        last = dedupe.keep_latest(fact(spark, sf_dir).where("is_dashboard_ready"), ["feature_date", "symbol"], [F.col("hour_ts"), F.col("feature_available_at")])
         return added(grouped(last, ["feature_date"], day), more)
 
     query(name, f"select * from ({added_sql(f'({grouped_sql(_LAST_SQL, ["feature_date"], day)}) g', more)}) f", doubles_of(day, more))(run)
 
 
 _daily("m30_liquidity_risk_daily", LIQUIDITY_DAY, LIQUIDITY_RISK)
-_daily("m29_exchange_risk_daily", {k: v for k, v in LIQUIDITY_DAY.items() if "peg" not in k and "stablecoin" not in k and "dominance" not in k}, EXCHANGE_RISK)
+_daily("m29_exchange_risk_daily", EXCHANGE_DAY, EXCHANGE_RISK)
 
 # --- M18, M19: dimensions ----------------------------------------------------------------------------------------------
 
