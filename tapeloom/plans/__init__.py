@@ -1,6 +1,6 @@
 """Named plans and their registry."""
 
-from tapeloom.plans import checks, dashboard, features, legs, market, marts, research, staged, streams, text, wide
+from tapeloom.plans import checks, dashboard, features, legs, live, market, marts, research, staged, streams, text, wide
 from tapeloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "checks", "dashboard", "features", "legs", "market", "marts", "research", "staged", "streams", "text", "wide"]
+__all__ = ["QUERIES", "SQL", "checks", "dashboard", "features", "legs", "live", "market", "marts", "research", "staged", "streams", "text", "wide"]

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tapeloom.functions.columns import safe_div
 from tapeloom.operators.dedupe import keep_latest
 from tapeloom.sources.tables import merge_upsert
+from tapeloom.streaming.state import rolling
 
 
 def json_stream(spark: SparkSession, schema: str, path: str | None = None, kafka: dict[str, str] | None = None, starting: str = "latest") -> DataFrame:
@@ -68,56 +66,14 @@ def interval_joined(left: DataFrame, right: DataFrame, left_ts: str, right_ts: s
     return left.join(r, on, "left_outer" if how == "left" else how).drop("_symbol")
 
 
-def rolling_state(df: DataFrame, ts: str, tie: str, value: Column, seconds: int | None = None, rows: int | None = None, ttl_minutes: int = 15) -> DataFrame:
-    """Per symbol, mean and population deviation of the value over the last seconds (or rows), each event's own included.
-
-    Spark has no row windows on streams: the state of a symbol holds the values still in reach. Events of a
-    micro-batch are taken in time order, each added to and taken from the mean once; a symbol that is silent for ``ttl_minutes`` of event time loses its state.
-    """
-    shaped = df.select("symbol", F.col(ts).alias("ts"), F.col(tie).cast("long").alias("tie"), value.cast("double").alias("value"))
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times, values = (deque(x) for x in state.get) if state.exists else (deque(), deque())
-        n, mean = len(values), sum(values) / max(1, len(values))
-        square = sum((x - mean) ** 2 for x in values)  # of the distances from the mean
-        # a group's events of one micro-batch come in several frames without order between them
-        events = pd.concat(list(batches)).sort_values(["ts", "tie"])
-        means, devs = [], []
-        for t, v in zip(events["ts"].astype("int64") // 1000, events["value"], strict=True):
-            times.append(int(t))
-            values.append(float(v))
-            n, before = n + 1, mean
-            mean += (v - mean) / n
-            square += (v - before) * (v - mean)
-            while (seconds is not None and times[0] < t - seconds * 1_000_000) or (rows is not None and n > rows):
-                times.popleft()
-                x = values.popleft()
-                n, before = n - 1, mean
-                mean += (mean - x) / n
-                square -= (x - before) * (x - mean)
-            means.append(mean)
-            devs.append((max(0.0, square) / n) ** 0.5)
-        state.update((list(times), list(values)))
-        mark = state.getCurrentWatermarkMs()
-        state.setTimeoutTimestamp(max(mark, times[-1] // 1000) + ttl_minutes * 60_000 + 1)
-        yield pd.DataFrame({"symbol": key[0], "ts": events["ts"], "tie": events["tie"], "value": events["value"], "mean": means, "dev": devs})
-
-    return shaped.withWatermark("ts", "10 seconds").groupBy("symbol").applyInPandasWithState(
-        step, "symbol string, ts timestamp, tie long, value double, mean double, dev double", "times array<long>, vals array<double>", "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
 def bollinger_stream(candle_stream: DataFrame, rows: int = 20, width: float = 2.0) -> DataFrame:
-    """Bands over the last candles of a symbol, in the order in which windows close."""
-    s = rolling_state(candle_stream, "window_start", "trade_id", F.col("close_price"), rows=rows, ttl_minutes=24 * 60)
+    """Bands over the last candles of a symbol, in time order, once the watermark has passed them."""
+    s = rolling(candle_stream, "window_start", "trade_id", F.col("close_price"), rows=rows, ttl_minutes=24 * 60)
     return s.select("symbol", F.col("ts").alias("window_start"), F.col("value").alias("close_price"), F.col("mean").alias("sma20"), (F.col("mean") + F.col("dev") * width).alias("upper_band"), (F.col("mean") - F.col("dev") * width).alias("lower_band"))
 
 
 def oi_delta(sentiment: DataFrame, ts: str = "sent_ts", value: str = "open_interest") -> DataFrame:
-    """Change of open interest against the symbol's observation before, in per cent (a table)."""
+    """Change of open interest against the symbol's observation before, in per cent (a table; ``state.change`` for a stream)."""
     from pyspark.sql import Window
 
     before = F.lag(value).over(Window.partitionBy("symbol").orderBy(ts))

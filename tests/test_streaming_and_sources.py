@@ -42,20 +42,16 @@ def test_candles_stream_equals_batch(spark, tmp_path):
     assert got <= want and len(want) - len(got) <= 2  # the last window of a symbol is still open
 
 
-def test_bollinger_and_baseline_state(spark, tmp_path):
+def test_bollinger_state(spark, tmp_path):
     rows = [("S0", i, float((i * 7) % 11), 1.0, START + dt.timedelta(minutes=i)) for i in range(60)]
-    stream = as_stream(spark, tmp_path, rows, TRADES)
-    candles = stream.select("symbol", F.col("trade_ts").alias("window_start"), "trade_id", F.col("price").alias("close_price"))
+    stream = as_stream(spark.newSession(), tmp_path, rows, TRADES)
+    candles = stream.select("symbol", F.col("trade_ts").alias("window_start"), "trade_id", F.col("price").alias("close_price")).withWatermark("window_start", "10 seconds")
     got = {r["window_start"]: r for r in drain(P.bollinger_stream(candles, rows=20), "bands").collect()}
+    assert len(got) == 59  # the watermark hasn't passed the last one
     px = [r[2] for r in rows]
-    for i, r in enumerate(rows):
+    for i, r in enumerate(rows[:59]):
         last = px[max(0, i - 19) : i + 1]
         assert got[r[4]]["sma20"] == pytest.approx(sum(last) / len(last))
-    base = drain(P.rolling_state(stream, "trade_ts", "trade_id", F.col("price"), seconds=600), "base").collect()
-    for r in base:
-        i = r["tie"]
-        inside = px[max(0, i - 10) : i + 1]
-        assert r["mean"] == pytest.approx(sum(inside) / len(inside))
 
 
 def test_interval_join_streams(spark, tmp_path):
