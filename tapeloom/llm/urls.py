@@ -47,22 +47,21 @@ def tokens(host_: Column, path_: Column, url: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda x: F.length(x) > 2))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 5, min_confidence: float = 0.6, max_length: int = 3) -> DataFrame:
+def mine(labelled: DataFrame, min_rows: int = 5, min_confidence: float = 0.6, max_length: int = 3) -> DataFrame:
     """Association rules from URL tokens to the bad label.
 
     labelled: page_id, tokens, bad. Spark's FP-growth finds the frequent token sets that hold the label; a rule
     stays if its support, its confidence and its length pass and no shorter rule inside it is as sure.
-    Returns antecedent (array), confidence, support and lift. Support is relative: with more than min_rows /
-    min_support labelled URLs, tokens of fewer than that share of them make no rule, whatever their confidence.
-    Longer sets are mined and then left out, so the work grows with the subsets of a URL's frequent tokens, of which
-    a URL has few: at most 1 / support of those that don't share URLs. None for no rows.
+    Returns antecedent (array), confidence, support and lift. Support is a number of URLs, min_rows, whatever else
+    there is: unrelated URLs change no rule's support. Longer sets are mined and then left out, so the work grows with
+    the subsets of those tokens of a URL that min_rows URLs share. None for no rows.
     """
     n = labelled.count()
     schema = "antecedent array<string>, confidence double, support double, lift double"
     if not n:
         return labelled.sparkSession.createDataFrame([], schema)
     baskets = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / n), minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=min_rows / n, minConfidence=min_confidence).fit(baskets)
     rules = (
         model.associationRules.where(F.array_contains("consequent", BAD) & (F.size("antecedent") <= max_length))
         .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support", "lift")
@@ -115,9 +114,8 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
     bad = bad.groupBy("page_id").agg(F.max("bad").alias("bad"))
     rules = cut(mine(every.join(bad, "page_id").select("page_id", "tokens", "bad"), **limits))
     # rows with the same tokens share one answer
-    distinct = every.select("tokens").distinct().select(F.xxhash64("tokens").alias("page_id"), "tokens")
-    matched = match(distinct, rules)
-    found = distinct.join(matched, "page_id").select(F.col("tokens").alias("_t"), "mined_rule", "confidence")
+    distinct = every.where(F.size("tokens") > 0).select("tokens").distinct().select(F.col("tokens").alias("page_id"), "tokens")
+    found = match(distinct, rules).withColumnRenamed("page_id", "_t")
     judged = every.join(found, F.col("tokens") == F.col("_t"), "left").withColumn("l", listed(F.col("host"), F.col("path")))
     return judged.select(
         "page_id",
