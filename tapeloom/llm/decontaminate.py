@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tapeloom.llm.shared import cut
 from tapeloom.llm.textblocks import blocks, code_points, letters, lowered, mix, rolling, runs
 
 #: A window matches an item from this similarity on: 1 - edits / words of the item.
@@ -23,6 +25,8 @@ SAMPLED = 3
 ITEMS_PER_PASS, WORDS_PER_PASS = 20_000, 1_000_000
 #: Cells of embeddings that a task holds at once.
 CELLS = 2_000_000
+#: Windows are placed in parts of about so many.
+PLACED = 500_000
 
 
 def normal_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +75,17 @@ def chunks(n: np.ndarray) -> Iterator[np.ndarray]:
             yield own[at : at + step]
 
 
+def distinct(found: np.ndarray) -> np.ndarray:
+    """Distinct columns (row, item, start), in order; starts lie within a block of text, so one number holds all three."""
+    if not found.shape[1]:
+        return found
+    items, low = int(found[1].max()) + 1, int(found[2].min())
+    places = int(found[2].max()) - low + 1
+    key = np.unique((found[0] * items + found[1]) * places + found[2] - low)
+    pair, start = np.divmod(key, places)
+    return np.stack([*np.divmod(pair, items), start + low])
+
+
 def edit_distance(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """Least edits that turn the item into some stretch of the window, and that stretch."""
     m = len(window)
@@ -121,9 +136,12 @@ class Items:
             quick[(h >> np.uint64(44)).astype(np.int64)] = True
             self.seeds[int(q)] = (h[by], of[by], off[by], quick)
 
-    def candidates(self, symbols: np.ndarray, row_first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, item and window start of all windows that a seed places."""
-        found = []
+    def candidates(self, symbols: np.ndarray, row_first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row, item and window start of all windows that a seed places, in parts of about PLACED windows, each without repeats.
+
+        A seed that stands often in text and items places a window for each pair of places; a part holds PLACED of
+        them, or those of one place in the text, before repeats go.
+        """
         for q, (h, of, off, quick) in self.seeds.items():
             if len(symbols) < q:
                 continue
@@ -134,40 +152,63 @@ class Items:
             inside = start + q <= row_first[row + 1]
             start, row = start[inside], row[inside]
             a, b = np.searchsorted(h, own[start], side="left"), np.searchsorted(h, own[start], side="right")
-            k = b - a
-            entry = np.repeat(a - (np.cumsum(k) - k), k) + np.arange(k.sum())
-            found.append(np.stack([np.repeat(row, k), of[entry], np.repeat(start, k) - off[entry]]))
-        if not found:
-            return (np.zeros(0, dtype=np.int64),) * 3
-        return tuple(np.unique(np.concatenate(found, axis=1), axis=1))
+            until = np.cumsum(b - a)
+            at = 0
+            while at < len(start):
+                end = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + PLACED, side="right")))
+                k = (b - a)[at:end]
+                entry = np.repeat(a[at:end] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+                found = np.stack([np.repeat(row[at:end], k), of[entry], np.repeat(start[at:end], k) - off[entry]])
+                if found.shape[1]:
+                    yield tuple(distinct(found))
+                at = end
 
     def near(self, symbols: np.ndarray, row_first: np.ndarray, rows: np.ndarray, items: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Which windows agree with their item on all coordinates of some repetition of some walk."""
-        out = np.zeros(len(rows), dtype=bool)
-        for k in chunks(self.n[items]):
+        """Which windows agree with their item on all coordinates of some repetition of some walk.
+
+        Windows of an item with the same words are embedded once, so repeated text costs no more than its distinct windows.
+        """
+        low, high = row_first[rows], row_first[rows + 1]
+        inside = np.maximum(starts, low), np.minimum(starts + self.n[items], high)
+        same = np.stack([items, starts - inside[0], inside[1] - inside[0], rolling(symbols, *inside).view(np.int64)])
+        by = np.lexsort(same)
+        new = np.ones(len(by), dtype=bool)
+        new[1:] = (same[:, by[1:]] != same[:, by[:-1]]).any(axis=0)
+        own, of = by[new], np.empty(len(by), dtype=np.int64)
+        of[by] = np.cumsum(new) - 1
+        out = np.zeros(len(own), dtype=bool)
+        for k in chunks(self.n[items[own]]):
             for w in range(WALKS):
                 left = k[~out[k]]
-                item = items[left]
-                own = sample(symbols, starts[left], self.n[item], row_first[rows[left]], row_first[rows[left] + 1], w, self.places[w])
-                out[left] = (own == self.values[item, w]).all(axis=2).any(axis=1)
-        return out
+                at = own[left]
+                item = items[at]
+                values = sample(symbols, starts[at], self.n[item], low[at], high[at], w, self.places[w])
+                out[left] = (values == self.values[item, w]).all(axis=2).any(axis=1)
+        return out[of]
 
     def match(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(row, item's number, first word, end word, edits): the best window of each item in each text, words from 0."""
         if not self.ids or not texts:
             return []
         symbols, row_first = normal_words(texts)
-        rows, items, starts = self.candidates(symbols, row_first)
-        near = self.near(symbols, row_first, rows, items, starts)
+        passed = [np.zeros((3, 0), dtype=np.int64)]
+        for rows, items, starts in self.candidates(symbols, row_first):
+            near = self.near(symbols, row_first, rows, items, starts)
+            passed.append(np.stack([rows[near], items[near], starts[near]]))
+        rows, items, starts = distinct(np.concatenate(passed, axis=1))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[tuple[int, int], int] = {}
-        for r, i, s in zip(rows[near].tolist(), items[near].tolist(), starts[near].tolist(), strict=True):
+        last: dict[int, tuple[bytes, tuple[int, int, int]]] = {}  # of each item the window verified last, and its answer
+        for r, i, s in zip(rows.tolist(), items.tolist(), starts.tolist(), strict=True):
             d, n = int(self.edits[i]), int(self.n[i])
             if (r, i) in done and s - done[r, i] <= d:
                 continue  # the last window verified reaches so far
             done[r, i] = s
             a, b = max(int(row_first[r]), s - 2 * d), min(int(row_first[r + 1]), s + n + 2 * d)
-            cost, x, y = edit_distance(self.symbols[self.first[i] : self.first[i] + n], symbols[a:b])
+            words = symbols[a:b].tobytes()
+            if i not in last or last[i][0] != words:
+                last[i] = words, edit_distance(self.symbols[self.first[i] : self.first[i] + n], symbols[a:b])
+            cost, x, y = last[i][1]
             if cost <= d:
                 offer = (cost, a + x - int(row_first[r]), a + y - int(row_first[r]))
                 best[r, i] = min(best.get((r, i), offer), offer)
@@ -237,16 +278,34 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     Matches as in ``search``. Documents of null or wordless text stay, equal rows stay or go together, columns may
     have any names, and an empty table or benchmark leaves all as it is.
     """
-    for items in _passes(benchmark, item_col, item_text, similarity):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    spark = docs.sparkSession
+    passes = [spark.sparkContext.broadcast(items) for items in _passes(benchmark, item_col, item_text, similarity)]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def found(part: pa.RecordBatch, items: Items) -> np.ndarray:
+        hit = np.zeros(part.num_rows, dtype=bool)
+        hit[[h[0] for h in items.match([t or "" for t in part.column(text_col).to_pylist()])]] = True
+        return hit
+
+    def keep(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for part in blocks(whole, text_col):
+                    yield part.filter(pa.array(~found(part, shared.value)))
+
+        return run
+
+    def leaking(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for part in blocks(whole, text_col):
-                    keep = np.ones(part.num_rows, dtype=bool)
-                    keep[[h[0] for h in shared.value.match([t or "" for t in part.column(text_col).to_pylist()])]] = False
-                    yield part.filter(pa.array(keep))
+                    yield pa.RecordBatch.from_arrays([part.column(text_col).filter(pa.array(found(part, shared.value)))], [text_col])
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return run
 
+    if len(passes) <= 1:
+        return docs.mapInArrow(keep(passes[0]), docs.schema) if passes else docs
+    # each pass is a scan of its own, so that a task never holds more than one pass; texts go as 256-bit hashes
+    hashed = lambda c: F.sha2(F.coalesce(F.col(c), F.lit("")), 256)
+    texts = docs.select(text_col)
+    leaks = reduce(DataFrame.unionByName, [texts.mapInArrow(leaking(p), texts.schema) for p in passes]).select(hashed(text_col).alias("_leak")).distinct()
+    return docs.join(cut(leaks), hashed(text_col) == F.col("_leak"), "left_anti")

@@ -131,3 +131,24 @@ def test_edges(spark):
     assert d.search(docs.limit(0), bench).count() == 0
     assert d.search(docs, bench.limit(0)).count() == 0
     assert d.decontaminate(docs, bench).count() == 2
+
+
+def test_one_word_again_and_again_is_bounded():
+    """A text and an item of one repeated word: every place of the text meets every place of the item."""
+    import tracemalloc
+
+    items = d.Items([1, 2], ["a " * 60, "a b " * 30])
+    tracemalloc.start()
+    assert items.match(["a " * 50_000, "x"]) == [(0, 0, 0, 60, 0)]
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+
+
+def test_several_passes_leave_the_same_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["the first item of words here now", "none of these", None, "", "and a second item of words there then", "none of these"])], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "the first item of words here now"), (2, "a second item of words there then"), (2, "x y z")], "item_id long, text string")
+    want = sorted(map(str, d.decontaminate(docs, items).collect()))
+    assert len(want) == 4
+    monkeypatch.setattr(d, "ITEMS_PER_PASS", 1)
+    assert sorted(map(str, d.decontaminate(docs, items).collect())) == want
+    assert sorted(d.search(docs, items).select("doc_id", "item_id").collect()) == [(4, 2)]
