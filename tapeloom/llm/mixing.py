@@ -13,8 +13,8 @@ from tapeloom.llm.shared import WORD, cut, own_name, prefix_sums
 WEIGHTS = (5, 2, 1)
 #: A document is taken so often at most.
 MAX_REPEATS = 3
-#: More membership patterns than this are an error: a row of each goes to the driver, and the flow runs there.
-MAX_PATTERNS = 100_000
+#: Up to so many membership patterns, the plan is broadcast; with more it is joined by a shuffle.
+BROADCAST_PATTERNS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -39,7 +39,37 @@ def capped_targets(sizes: list[int], weights: list[float], repeats: int = MAX_RE
     return out
 
 
+def _components(members: list[list[int]], sources: int) -> list[list[int]]:
+    """Patterns in groups that share no source with one another."""
+    head = list(range(sources))
+
+    def root(s: int) -> int:
+        while head[s] != s:
+            head[s] = head[head[s]]
+            s = head[s]
+        return s
+
+    for m in members:
+        for s in m[1:]:
+            head[root(s)] = root(m[0])
+    groups: dict[int, list[int]] = {}
+    for p, m in enumerate(members):
+        groups.setdefault(root(m[0]) if m else -1, []).append(p)
+    return list(groups.values())
+
+
 def route(capacity: list[int], members: list[list[int]], quota: list[int], repeats: int = MAX_REPEATS) -> list[dict[int, int]]:
+    """Words that each pattern gives to each source. A flow never leaves a component, so each is solved by itself."""
+    flow: list[dict[int, int]] = [{} for _ in members]
+    for own in _components(members, len(quota)):
+        sources = sorted({s for p in own for s in members[p]})
+        at = {s: i for i, s in enumerate(sources)}
+        for p, f in zip(own, _route([capacity[p] for p in own], [[at[s] for s in members[p]] for p in own], [quota[s] for s in sources], repeats), strict=True):
+            flow[p] = {sources[i]: words for i, words in f.items()}
+    return flow
+
+
+def _route(capacity: list[int], members: list[list[int]], quota: list[int], repeats: int = MAX_REPEATS) -> list[dict[int, int]]:
     """Words that each pattern gives to each source: a min-cost flow.
 
     The k-th repetition of a pattern costs k - 1 a word, so costs are convex. All other arcs are free, so the
@@ -121,8 +151,8 @@ def mix(
     Returns doc_id, the ``keep`` columns, size (words), source_size (words of its source, of all its sources
     where it has several), target (likewise), copies and taken (words, repeats counted). Null text has 0 words.
     Repeated rows are separate documents; rows equal in id and size are interchangeable. An empty table gives an
-    empty result. The same input and seed give the same rows. More than MAX_PATTERNS patterns are an error: sources
-    are to be grouped first.
+    empty result. The same input and seed give the same rows. Any number of patterns is solved; the driver holds
+    a row of each (some 200 bytes), however many documents share it.
     """
     members = F.col(members_col) if members_col else F.array(F.col(source_col))
     kept = keep or []
@@ -135,9 +165,7 @@ def mix(
         ).withColumn("_draw", F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("long"))
     )
     spark = docs.sparkSession
-    totals = narrow.groupBy("_members").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()  # a row for each pattern
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sets of sources; group the sources first")
+    totals = narrow.groupBy("_members").agg(F.sum("size").alias("size")).collect()  # a row for each pattern
     patterns = sorted(totals, key=lambda r: [(x is None, x or "") for x in r["_members"]])
     names = sorted({s for r in patterns for s in r["_members"]}, key=lambda x: (x is None, x or ""))
     at = {s: i for i, s in enumerate(names)}
@@ -155,7 +183,8 @@ def mix(
         rows.append((i, list(r["_members"]), given // words if words else 0, given % words if words else 0, sum(sizes[at[s]] for s in r["_members"]), float(sum(targets[at[s]] for s in r["_members"]))))
     schema = "_pattern int, _m array<string>, _whole long, _rest long, source_size long, target double"
     plan = spark.createDataFrame(rows, schema)
-    tagged = narrow.join(F.broadcast(plan), F.col("_members").eqNullSafe(F.col("_m"))).drop("_members", "_m")
+    plan = F.broadcast(plan) if len(rows) <= BROADCAST_PATTERNS else plan
+    tagged = narrow.join(plan, F.col("_members").eqNullSafe(F.col("_m"))).drop("_members", "_m")
     drawn = prefix_sums(tagged, ["_pattern"], [F.col("_draw"), F.col("doc_id"), F.col("size")], "size")
     extra = (F.col("before") * 2 + F.col("size") <= F.col("_rest") * 2) & (F.col("_rest") > 0)
     copies = (F.col("_whole") + F.when(extra, 1).otherwise(0)).cast("int")

@@ -159,11 +159,19 @@ def test_mixed_keeps_columns_of_any_name_and_ids_of_any_type(spark):
     assert got == Counter({r: want[r[0]] for r in rows if want[r[0]]})
 
 
-def test_too_many_sets_of_sources_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
-    df = spark.createDataFrame([(i, "w", str(i)) for i in range(5)], "doc_id long, text string, source string")
-    with pytest.raises(ValueError, match="group the sources"):
-        mixing.mix(df)
+def test_many_sets_of_sources_are_joined_by_a_shuffle(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "w " * (i % 7), [str(i % 11), str(i % 5)]) for i in range(200)], "doc_id long, text string, m array<string>")
+    want = sorted(map(tuple, mixing.mix(df, members_col="m").collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_PATTERNS", 3)
+    assert sorted(map(tuple, mixing.mix(df, members_col="m").collect())) == want
+
+
+def test_components_are_solved_apart():
+    members = [[0, 1], [1], [2], [3, 4], [4]]
+    whole = mixing._route([10, 20, 30, 40, 50], members, [25, 9, 70, 60, 20])
+    parts = mixing.route([10, 20, 30, 40, 50], members, [25, 9, 70, 60, 20])
+    assert [sum(f.values()) for f in whole] == [sum(f.values()) for f in parts]
+    assert sorted(map(sorted, mixing._components(members, 5))) == [[0, 1], [2], [3, 4]]
 
 
 def test_flow_of_many_sources_is_quick():
