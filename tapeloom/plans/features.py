@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.functions import columns as C
-from tapeloom.operators import dedupe, joins, series
+from tapeloom.operators import chunked, dedupe, joins, series
 from tapeloom.plans.registry import query
 from tapeloom.plans.standins import table, view
 
@@ -124,7 +124,8 @@ def quantile_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
     8,
 )
 def range_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "v_trades").select("trade_id", "symbol", series.range_mean(F.col("price") * F.col("quantity"), ["symbol"], F.col("trade_ts"), 6 * 3600).alias("baseline"))
+    rows = view(spark, sf_dir, "v_trades").select("trade_id", "symbol", "trade_ts", (F.col("price") * F.col("quantity")).alias("usd"))
+    return chunked.over_time(rows, ["symbol"], "trade_ts", 6 * 3600, lambda w: {"baseline": F.avg("usd").over(w)}).select("trade_id", "symbol", "baseline")
 
 
 @query(
@@ -149,8 +150,9 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hour spine, forward fill, zero fill, difference and smoothing."""
     hourly = view(spark, sf_dir, "v_hourly")
     j = series.spine(hourly, ["symbol"], "hour_ts").join(hourly, ["symbol", "hour_ts"], "left")
-    f = j.select("symbol", "hour_ts", F.col("close_price").isNull().alias("was_missing"), series.fill("close_price", by_symbol()).alias("px"), C.zero("quote_volume").alias("vol"))
-    return f.withColumns({"px_diff": C.delta(F.col("px"), by_symbol()), "vol_mean_12": F.avg("vol").over(series.last_rows(by_symbol(), 12))})
+    f = j.select("symbol", "hour_ts", F.col("close_price").isNull().alias("was_missing"), F.col("close_price").alias("px"), C.zero("quote_volume").alias("vol"))
+    f = chunked.fill_forward(f, ["symbol"], ["hour_ts"], ["px"], 30 * 86_400)
+    return chunked.over_rows(f, ["symbol"], ["hour_ts"], 11, 0, lambda w: {"px_diff": C.delta(F.col("px"), w), "vol_mean_12": F.avg("vol").over(series.last_rows(w, 12))})
 
 
 @query(
@@ -241,7 +243,7 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest known context within two hours."""
-    return joins.asof_join(view(spark, sf_dir, "v_s_trades"), view(spark, sf_dir, "v_s_sent"), ["symbol"], "trade_ts", "sent_ts", ["sent_id"], ["funding_rate_pct", "sent_id"], "2 hours").select("trade_id", "symbol", "sent_ts", "funding_rate_pct", "sent_id")
+    return chunked.asof_join(view(spark, sf_dir, "v_s_trades"), view(spark, sf_dir, "v_s_sent"), ["symbol"], "trade_ts", "sent_ts", ["sent_id"], ["funding_rate_pct", "sent_id"], "2 hours").select("trade_id", "symbol", "sent_ts", "funding_rate_pct", "sent_id")
 
 
 @query(

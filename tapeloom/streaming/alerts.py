@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.operators.chunked import over_time
 from tapeloom.operators.joins import interval_join
-from tapeloom.operators.series import range_mean
 
 KEY = ["symbol", "event_time"]
 
@@ -99,9 +99,14 @@ def _first_last(x: str, ts: str, tie: str) -> tuple[Column, Column]:
     return F.min_by(x, order), F.max_by(x, order)
 
 
+def with_baseline(df: DataFrame, ts: str, seconds: int) -> DataFrame:
+    """Adds the value in quote currency and its mean over the symbol's last seconds, in time chunks: a busy symbol is many tasks."""
+    valued = df.withColumn("_usd", F.col("price") * F.col("quantity"))
+    return over_time(valued, ["symbol"], ts, seconds, lambda w: {"_avg": F.avg("_usd").over(w)})
+
+
 def pump_windows(trades: DataFrame, p: dict) -> DataFrame:
-    usd = F.col("price") * F.col("quantity")
-    base = trades.withColumn("_usd", usd).withColumn("_avg", range_mean(usd, ["symbol"], F.col("trade_ts"), p["baseline_seconds"]))
+    base = with_baseline(trades, "trade_ts", p["baseline_seconds"])
     first, last = _first_last("price", "trade_ts", "trade_id")
     out = tumble(base, "trade_ts", p["pump_window_seconds"]).groupBy(*KEY).agg(first.alias("open_price"), last.alias("close_price"), F.sum("_usd").alias("vol_usd"), F.max("_avg").alias("avg_trade"))
     return out.withColumn("move_pct", (F.col("close_price") - F.col("open_price")) / F.col("open_price") * 100)
@@ -122,17 +127,15 @@ def true_breakout(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
 
 
 def liquidation_windows(liqs: DataFrame, seconds: int, p: dict) -> DataFrame:
-    usd = F.col("price") * F.col("quantity")
     sells = liqs.where("side = 'SELL'")
-    base = sells.withColumn("_usd", usd).withColumn("_avg", range_mean(usd, ["symbol"], F.col("liq_ts"), p["baseline_seconds"]))
+    base = with_baseline(sells, "liq_ts", p["baseline_seconds"])
     return tumble(base, "liq_ts", seconds).groupBy(*KEY).agg(F.sum("_usd").alias("liq_usd"), F.max("_avg").alias("avg_liq"))
 
 
 def bottom_catcher(trades, book, liqs, sent, chain, p=DEFAULTS, floor_usd: float = 10000.0) -> DataFrame:
     """Forced selling that strong buying absorbs over a wall of bids."""
     w = liquidation_windows(liqs, p["window_seconds"], p).where(F.col("liq_usd") > F.greatest(F.col("avg_liq"), F.lit(floor_usd)) * p["liq_multiplier"])
-    usd = F.col("price") * F.col("quantity")
-    base = trades.withColumn("_usd", usd).withColumn("_avg", range_mean(usd, ["symbol"], F.col("trade_ts"), p["baseline_seconds"]))
+    base = with_baseline(trades, "trade_ts", p["baseline_seconds"])
     buys = tumble(base, "trade_ts", p["window_seconds"]).groupBy(*KEY).agg(F.sum("_usd").alias("buy_usd"), F.max("_avg").alias("avg_trade")).withColumnRenamed("event_time", "buy_time")
     w = near(w, buys, "buy_time", 0, 2 * p["window_seconds"], "_buy", F.col("buy_usd") > F.col("avg_trade") * p["whale_multiplier"]).where("_buy")
     w = near(w, book, "ob_ts", -p["book_seconds"], p["book_seconds"], "_wall", F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_wall_multiplier"]).where("_wall")
@@ -166,8 +169,7 @@ def spoofing(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
 
 def mean_reversion(trades, book, p=DEFAULTS) -> DataFrame:
     """In a quiet market the price leaves its VWAP and meets a wall."""
-    usd = F.col("price") * F.col("quantity")
-    base = trades.withColumn("_usd", usd).withColumn("_avg", range_mean(usd, ["symbol"], F.col("trade_ts"), p["scalp_baseline_seconds"]))
+    base = with_baseline(trades, "trade_ts", p["scalp_baseline_seconds"])
     w = tumble(base, "trade_ts", p["scalp_window_seconds"]).groupBy(*KEY).agg(F.max_by("price", F.struct("trade_ts", "trade_id")).alias("px"), F.sum("_usd").alias("vol"), F.max("_avg").alias("avg"), (F.sum("_usd") / F.sum("quantity")).alias("vwap"))
     dev = (F.col("px") - F.col("vwap")) / F.col("vwap") * 100
     w = w.withColumn("dev", dev).where((F.abs("dev") >= p["vwap_deviation_pct"]) & (F.col("vol") < F.col("avg") * p["max_chop_vol"]))
