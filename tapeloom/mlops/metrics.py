@@ -75,6 +75,61 @@ def threshold_search(df: DataFrame, actual: str, score: str, low: float, high: f
     return j.select("threshold", zero(safe_div(F.col("tp"), F.col("tp") + F.col("fp"))).alias("precision"), zero(safe_div(F.col("tp"), F.col("pos"))).alias("recall"), zero(safe_div(F.lit(2.0) * F.col("tp"), F.col("tp") + F.col("fp") + F.col("pos"))).alias("f1"))
 
 
+def class_auc(df: DataFrame, classes: Sequence[str], actual: str, probability: str = "prob_{}") -> DataFrame:
+    """Each class against the rest: its area under the ROC curve, rows and share, all classes in one pass by ranks.
+
+    probability: the columns' names with the class in lower case put in. Rows without the label are left out.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("class_name"), F.col(probability.format(c.lower())).alias("_score"), (F.col(actual) == c).cast("int").alias("_is")) for c in classes])
+    each = df.where(F.col(actual).isNotNull()).select(F.inline(pairs))
+    counts = each.groupBy("class_name").agg(F.count(F.lit(1)).alias("row_count"), F.avg(F.col("_is").cast("double")).alias("class_share"))
+    return counts.join(auc(each, ["class_name"], "_is", "_score"), "class_name", "left")
+
+
+def threshold_grid(df: DataFrame, classes: Sequence[str], target: str, thresholds: Sequence[float], actual: str, probability: str = "prob_{}") -> DataFrame:
+    """What each threshold gives if the target class is predicted from it on and the likeliest class elsewhere.
+
+    Rows are counted once, by how many thresholds their target probability reaches, likeliest class (the first of
+    equals) and label: some steps × classes² counts, from which every threshold's confusion follows. ``threshold`` is
+    null for the likeliest class alone, the baseline. Returns threshold, macro_f1, target_recall, min_recall.
+    """
+    p = {c: F.col(probability.format(c.lower())) for c in classes}
+    best = F.greatest(*p.values())
+    likeliest = F.lit(None).cast("string")
+    for c in reversed(classes):
+        likeliest = F.when(p[c] == best, c).otherwise(likeliest)
+    steps = sorted(thresholds)
+    reached = F.size(F.filter(F.array(*map(F.lit, steps)), lambda t: t <= p[target]))
+    counts = df.where(F.col(actual).isNotNull() & best.isNotNull()).groupBy(reached.alias("_reached"), likeliest.alias("_likeliest"), F.col(actual).alias("_actual")).agg(F.count(F.lit(1)).alias("_n"))
+    grid = df.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(steps)] + [(len(steps) + 1, None)], "_step int, threshold double")
+    met = counts.crossJoin(F.broadcast(grid)).withColumn("_predicted", F.when(F.col("_reached") >= F.col("_step"), target).otherwise(F.col("_likeliest")))  # counts, not rows
+    sums = []
+    for i, c in enumerate(classes):
+        is_, said = F.col("_actual") == c, F.col("_predicted") == c
+        sums += [F.sum(F.when(w, F.col("_n")).otherwise(0)).alias(f"{n}{i}") for n, w in (("t", is_ & said), ("a", is_), ("p", said))]
+    g = met.groupBy("threshold").agg(*sums)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    recall = {c: zero(safe_div(F.col(f"t{i}"), F.col(f"a{i}"))) for i, c in enumerate(classes)}
+    f1 = sum((zero(safe_div(F.lit(2.0) * F.col(f"t{i}"), F.col(f"a{i}") + F.col(f"p{i}"))) for i in range(len(classes))), F.lit(0.0)) / len(classes)
+    return g.select("threshold", f1.alias("macro_f1"), recall[target].alias("target_recall"), F.least(*recall.values()).alias("min_recall"))
+
+
+#: Thresholds that are tried, and why one is chosen.
+POLICY_THRESHOLDS = tuple(round(0.20 + 0.01 * i, 2) for i in range(36))
+WITHIN, DIAGNOSTIC = "within_macro_f1_drop_budget", "diagnostic_only_no_threshold_met_f1_drop_budget"
+
+
+def threshold_policy(grid: DataFrame, max_drop: float = 0.03) -> DataFrame:
+    """The threshold with the highest recall of the target among those that cost at most ``max_drop`` of macro F1, or of
+    all if none does; ties by F1, then least recall of a class, then the lower threshold. One row, with the baseline's."""
+    base = grid.where("threshold is null").select(F.col("macro_f1").alias("baseline_macro_f1"), F.col("target_recall").alias("baseline_target_recall"))
+    tried = grid.where("threshold is not null").crossJoin(F.broadcast(base)).withColumn("eligible", F.col("macro_f1") >= F.col("baseline_macro_f1") - max_drop)
+    order = F.struct("eligible", "target_recall", "macro_f1", "min_recall", (-F.col("threshold")).alias("low"))
+    row = F.struct("threshold", "eligible", "macro_f1", "target_recall", "min_recall", "baseline_macro_f1", "baseline_target_recall")
+    chosen = tried.agg(F.max_by(row, order).alias("r")).where("r is not null").select("r.*")  # a row a threshold
+    return chosen.withColumn("reason", F.when(F.col("eligible"), WITHIN).otherwise(DIAGNOSTIC))
+
+
 def promotion(candidate: DataFrame, champion: DataFrame, keys: Sequence[str], margin: float = 0.0, min_rows: int = 20, min_recall: float = 0.0, max_drop: float = 0.05) -> DataFrame:
     """Candidate rows against the champion's: promoted, and all reasons against it.
 

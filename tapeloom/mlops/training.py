@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.mlops import metrics
+from tapeloom.operators.chunked import ranked
+from tapeloom.sources.shared import written
+
 
 def training_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, labels: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The contract's columns in their order, numbers cast, categories upper-case with UNKNOWN for null; valid labels only."""
@@ -38,30 +45,64 @@ def balanced_weights(df: DataFrame, weight: str | None = None, low: float = 0.1,
     return df.join(F.broadcast(scale), "label_text").withColumn("weight", F.col("_scale") * own).drop("_scale")
 
 
-def pipeline(numeric: Sequence[str], categorical: Sequence[str], kind: str = "logistic", seed: int = 42) -> Pipeline:
-    """Median imputation, scaling, one-hot with room for unknown categories, then the classifier."""
+def preparation(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Median imputation, scaling and one-hot with room for unknown categories, into ``features``."""
     filled = [f"{c}__f" for c in numeric]
     stages = [Imputer(strategy="median", inputCols=list(numeric), outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_num"), StandardScaler(inputCol="_num", outputCol="_scaled", withMean=True)]
     parts = ["_scaled"]
     for c in categorical:
         stages += [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}__i"], outputCols=[f"{c}__o"], handleInvalid="keep")]
         parts.append(f"{c}__o")
-    stages += [VectorAssembler(inputCols=parts, outputCol="features"), StringIndexer(inputCol="label_text", outputCol="label", handleInvalid="keep", stringOrderType="alphabetAsc")]
+    return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
+
+
+def pipeline(numeric: Sequence[str], categorical: Sequence[str], kind: str = "logistic", seed: int = 42) -> Pipeline:
+    """Preparation, then the classifier."""
     model = (
         LogisticRegression(weightCol="weight", family="multinomial", maxIter=50, regParam=0.01)
         if kind == "logistic"
         else RandomForestClassifier(weightCol="weight", numTrees=40, maxDepth=6, seed=seed)
     )
-    return Pipeline(stages=[*stages, model])
+    return Pipeline(stages=[*preparation(numeric, categorical), StringIndexer(inputCol="label_text", outputCol="label", handleInvalid="keep", stringOrderType="alphabetAsc"), model])
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """Gradient-boosted trees, one class against the rest each; probabilities are normalised over the classes."""
+
+    prepared: PipelineModel
+    labels: tuple[str, ...]
+    trees: tuple
 
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.prepared.transform(df)
+        for i, tree in enumerate(self.trees):
+            out = tree.transform(out).withColumn(f"_p{i}", F.get(vector_to_array("probability"), F.lit(1))).drop("rawPrediction", "probability", "prediction")
+        total = sum((F.col(f"_p{i}") for i in range(len(self.labels))), F.lit(0.0))
+        return out.withColumn("probability", F.array(*[F.col(f"_p{i}") / total for i in range(len(self.labels))])).drop(*[f"_p{i}" for i in range(len(self.labels))])
 
-def score(model: PipelineModel, df: DataFrame, labels: Sequence[str], least: float = 0.6, completeness: str | None = None, min_completeness: float = 0.0) -> DataFrame:
+
+def fit_boosted(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], labels: Sequence[str], trees: int = 20, depth: int = 4, rate: float = 0.2, seed: int = 42) -> Boosted:
+    """Boosted trees for several classes, with the rows' ``weight`` (class and sample weights); the classes' fits run side by side."""
+    prepared = Pipeline(stages=preparation(numeric, categorical)).fit(train)
+    ready = written(prepared.transform(train).select("features", "weight", "label_text"), "boosted")  # every tree scans it
+
+    def one(label: str):
+        own = ready.withColumn("label", (F.col("label_text") == label).cast("double"))
+        return GBTClassifier(weightCol="weight", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=10, seed=seed).fit(own)
+
+    with ThreadPoolExecutor(max_workers=len(labels)) as pool:
+        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(one), labels))
+    return Boosted(prepared, tuple(labels), tuple(fitted))
+
+
+def score(model: PipelineModel | Boosted, df: DataFrame, labels: Sequence[str], least: float = 0.6, completeness: str | None = None, min_completeness: float = 0.0) -> DataFrame:
     """Probabilities, prediction, confidence and a signal: the class where the confidence suffices, else NO_SIGNAL.
 
     labels: in alphabetical order, as the model has them. Rows less complete than the gate asks for have no signal.
     """
     scored = model.transform(df.withColumn("weight", F.lit(1.0)) if "weight" not in df.columns else df)
-    p = vector_to_array("probability")
+    p = F.col("probability") if isinstance(model, Boosted) else vector_to_array("probability")
     out = scored.withColumns({f"prob_{x.lower()}": F.get(p, F.lit(i)) for i, x in enumerate(labels)})
     best = F.greatest(*[F.col(f"prob_{x.lower()}") for x in labels])
     picked = F.lit(None).cast("string")
@@ -99,3 +140,80 @@ def importance(model: PipelineModel, numeric: Sequence[str], categorical: Sequen
 def choose_best(metrics: DataFrame, metric: str, tie: str) -> DataFrame:
     """The candidate with the best metric; ties by the second, then by name."""
     return metrics.agg(F.max_by("candidate", F.struct(metric, tie, "candidate")).alias("candidate"))
+
+
+@dataclass(frozen=True)
+class Strategy:
+    name: str
+    kind: str  # logistic, boosted or forest
+    days: int | None  # of training before the validation; all for None
+
+
+#: Names, kinds and training windows of the strategies.
+STRATEGIES = (
+    Strategy("logistic_baseline_all_history", "logistic", None),
+    Strategy("lightgbm_all_history_fixed_params", "boosted", None),
+    Strategy("lightgbm_rolling_180d", "boosted", 180),
+    Strategy("lightgbm_rolling_90d", "boosted", 90),
+)
+
+
+def fold_bounds(df: DataFrame, ts: str, folds: int, warm_up: float = 0.5) -> list[tuple[int, object, object]]:
+    """(fold, first time, last time) of each fold's validation: the distinct times after the warm-up in equal runs, the
+    last one to the end. Times are ranked by range partitions, and two rows a fold come to the driver."""
+    times = written(ranked(df.select(ts).where(F.col(ts).isNotNull()).distinct(), [], [ts], "_n"), "times")
+    total = times.count()
+    start = max(1, int(total * warm_up))
+    folds = min(folds, total - start)
+    if total < 4 or folds < 1:
+        raise ValueError("too few times for walk-forward folds")
+    size = max(1, (total - start) // folds)
+    edges = [(k, start + k * size, total - 1 if k == folds - 1 else start + (k + 1) * size - 1) for k in range(folds)]
+    at = {r["_n"]: r[ts] for r in times.where(F.col("_n").isin([n for _, a, b in edges for n in (a, b)])).collect()}
+    return [(k, at[a], at[b]) for k, a, b in edges]
+
+
+def strategy_folds(
+    df: DataFrame, ts: str, numeric: Sequence[str], categorical: Sequence[str], labels: Sequence[str], folds: int = 3, strategies: Sequence[Strategy] = STRATEGIES, sample_weight: str | None = None, gap: float = 0.08, spread: float = 0.06, workers: int = 4
+) -> DataFrame:
+    """Every strategy fitted and validated in every walk-forward fold: a row a fold and strategy.
+
+    df: ``ts``, features and label_text (see ``training_frame``). A fold trains on rows before its validation, or on
+    the last days of them; rows of equal time are never on both sides. Fits are Spark jobs that run side by side, a
+    few at a time, over one written table. Returns strategy, fold, train_rows, validation_rows, train_macro_f1,
+    validation_macro_f1, validation_balanced_accuracy, fold_spread (deviation over the strategy's folds), is_overfit
+    (train above validation by ``gap``, or folds apart by ``spread``) and is_best (highest mean validation F1; of equal
+    ones boosted trees, then by name). Folds without rows of two classes to train on have null metrics.
+    """
+    spark = df.sparkSession
+    table = written(df, "folds")
+    bounds = fold_bounds(table, ts, folds)
+
+    def one(job: tuple[Strategy, tuple]) -> tuple:
+        strategy, (fold, first, last) = job
+        before = F.col(ts) < F.lit(first)
+        if strategy.days is not None:
+            before = before & (F.col(ts) >= F.lit(first) - F.make_dt_interval(F.lit(strategy.days)))
+        train, test = table.where(before), table.where((F.col(ts) >= F.lit(first)) & (F.col(ts) <= F.lit(last)))
+        present = [r[0] for r in train.select("label_text").distinct().orderBy("label_text").collect()]  # the classes
+        counts = train.count(), test.count()
+        if len(present) < 2 or not counts[1]:
+            return (strategy.name, fold, *counts, None, None, None)
+        weighed = balanced_weights(train, sample_weight)
+        model = fit_boosted(weighed, numeric, categorical, present) if strategy.kind == "boosted" else pipeline(numeric, categorical, strategy.kind).fit(weighed)
+        got = []
+        for part in (train, test):
+            scored = score(model, part, present).select(F.col("label_text").alias("actual"), "predicted")
+            got.append(metrics.classification(scored, [], labels).first())
+        return (strategy.name, fold, *counts, got[0]["macro_f1"], got[1]["macro_f1"], got[1]["balanced_accuracy"])
+
+    jobs = [(s, b) for s in strategies for b in bounds]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(one), jobs))
+    found = spark.createDataFrame(rows, "strategy string, fold long, train_rows long, validation_rows long, train_macro_f1 double, validation_macro_f1 double, validation_balanced_accuracy double")
+    own = Window.partitionBy("strategy")  # a row a fold
+    boosted = F.col("strategy").isin([s.name for s in strategies if s.kind == "boosted"])
+    each = found.withColumns({"fold_spread": F.stddev_samp("validation_macro_f1").over(own), "_mean": F.coalesce(F.avg("validation_macro_f1").over(own), F.lit(-1.0))})
+    best = each.agg(F.max_by("strategy", F.struct("_mean", boosted.alias("b"), "strategy")).alias("_best"))
+    flagged = each.withColumn("is_overfit", F.coalesce(F.col("train_macro_f1") - F.col("validation_macro_f1") > gap, F.lit(False)) | F.coalesce(F.col("fold_spread") > spread, F.lit(False)))
+    return flagged.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("strategy") == F.col("_best")).drop("_best", "_mean")

@@ -40,6 +40,9 @@ VIEWS = {
     "v_posts": """select doc_id as post_id, source as channel, lang, text, n_chars as engagement, (doc_id % 21 - 10) / 10.0e0 as sentiment from {documents}""",
     "v_pred": """select l.doc_id, d.source as slice, cast(l.quality as integer) as actual, case when d.n_chars > 1500 then 1 else 0 end as predicted,
         (d.n_chars % 100) / 100.0e0 as score from {labels} l join {documents} d on l.doc_id = d.doc_id""",
+    "v_classes": """select doc_id, actual, a / (a + b + c) as prob_down, b / (a + b + c) as prob_flat, c / (a + b + c) as prob_up from (
+        select doc_id, case doc_id % 3 when 0 then 'DOWN' when 1 then 'FLAT' else 'UP' end as actual, (n_chars % 97 + 1 + case when doc_id % 3 = 0 then 30 else 0 end) * 1e0 as a,
+          (n_chars % 61 + 1 + case when doc_id % 3 = 1 then 30 else 0 end) * 1e0 as b, (n_chars % 83 + 1 + case when doc_id % 3 = 2 then 30 else 0 end) * 1e0 as c from {documents}) x""",
     "v_hourly": """select hour_ts, symbol, close_price, quote_volume, taker_buy_ratio from (
         select ts_hour as hour_ts, event_type as symbol, sum(value * (user_id % 10 + 1)) as quote_volume, avg(value) as close_price,
           sum(case when event_id % 2 = 1 then value else 0 end) / sum(value) as taker_buy_ratio
