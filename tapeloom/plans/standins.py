@@ -60,6 +60,17 @@ VIEWS = {
     "v_exch_obs": """select ts as observed_at, event_id as obs_id, concat('ex', cast(user_id % 7 as varchar(4))) as exchange, event_id % 11 * 1e0 as trust_score, value * 100 as actual_reserve_usd, value * (user_id % 9 + 1) as trade_volume_24h_usd, value * (user_id % 5 + 1) as trade_volume_24h_usd_normalized,
         value * (event_id % 2) as wash_trading_volume_usd, (event_id % 23) / 23.0e0 as reserve_utilization, (user_id % 40) * 1e0 as reserve_dominance_pct, (event_id % 31) / 31.0e0 as concentration_risk_score, value * (event_id % 4) as whale_withdrawal_risk,
         case event_id % 9 when 0 then 'HIGH_RISK' when 1 then 'MODERATE' when 2 then 'MODERATE' else 'SAFE' end as bank_run_risk, concat('tier_', cast(user_id % 4 + 1 as varchar(4))) as exchange_tier from {events}""",
+    "v_coin_raw": """select event_id as obs_id, cast(date_trunc('hour', ts) as timestamp) as run_ts, case user_id % 5 when 0 then 'USDT' when 1 then 'USDC' when 2 then 'DAI' when 3 then 'FDUSD' else 'TUSD' end as symbol,
+        case when event_id % 31 = 0 then null when event_id % 37 = 0 then 0e0 else 1 + (event_id % 51 - 25) / 1000.0e0 end as price_usd, case when event_id % 29 = 0 then 0e0 else value * power(10e0, event_id % 4 + 6) end as market_cap_usd,
+        value * power(10e0, event_id % 4 + 6) * (user_id % 9) / 4 as volume_24h_usd, value * 8e5 as circulating_supply, case when event_id % 23 = 0 then 0e0 else value * 1e6 end as total_supply from {events}""",
+    "v_exch_raw": """select event_id as obs_id, cast(date_trunc('hour', ts) as timestamp) as run_ts, concat('ex', cast(user_id % 7 as varchar(4))) as exchange, (event_id % 11) * 1e0 as trust_score, value * (user_id % 40 + 1) * 20 as trade_volume_24h_btc,
+        value * (user_id % 40 + 1) * (event_id % 5 + 15) as trade_volume_24h_btc_normalized, 40000e0 as btc_price_usd, case event_id % 5 when 0 then null when 1 then 0e0 else value * (user_id % 90 + 1) * 1e6 end as first_reserve_usd,
+        case event_id % 3 when 0 then null else value * (user_id % 80 + 1) * 1e6 end as second_reserve_usd from {events}""",
+    "v_liq_priced": """select l.obs_id, l.hour_ts, l.symbol, l.price_bucket, case when l.obs_id % 19 = 0 then null else 100 + l.obs_id % 3 * 50e0 end as close_price, case when l.obs_id % 17 = 0 then null else l.distance_pct end as distance_pct, l.total_liq_usd_bucket, l.long_sum, l.short_sum, l.rank_score, l.panic_norm, l.magnet_norm from (
+        select event_id as obs_id, cast(date_trunc('hour', ts) as timestamp) as hour_ts, event_type as symbol, floor(value / 50) * 50e0 as price_bucket, value * (user_id % 10 + 1) as total_liq_usd_bucket, case when event_id % 2 = 0 then value when event_id % 7 = 0 then null else 0e0 end as long_sum,
+          case when event_id % 2 = 1 then value else 0e0 end as short_sum, (event_id % 101) / 100.0e0 as panic_norm, (user_id % 41 - 20) / 20.0e0 as magnet_norm, (event_id % 97) / 96.0e0 as rank_score, (event_id % 61 - 30) / 3.0e0 as distance_pct from {events}) l""",
+    "v_checks": """select event_id as check_id, ts as check_ts, case when event_id % 211 = 0 then null else concat('run_', cast(date_trunc('day', ts) as varchar(10))) end as run_id, case when user_id % 3 = 0 then 'critical' else 'warning' end as severity,
+        case when user_id % 3 = 0 then event_id % 97 <> 0 else event_id % 41 <> 0 end as success from {events}""",
     "v_ticks": """select cast(cast(o_orderdate as date) + interval '9290' day as date) as price_date, case o_orderpriority when '1-URGENT' then 'SP500' when '2-HIGH' then 'VIX' when '3-MEDIUM' then 'NASDAQ' when '5-LOW' then 'GOLD' else 'OIL' end as symbol,
         avg(o_totalprice) as close_price, cast(count(*) as double) as volume from {orders} group by cast(cast(o_orderdate as date) + interval '9290' day as date), o_orderpriority""",
     "v_messages": """select doc_id as post_id, source as channel, lang, doc_id % 97 as score, doc_id % 13 as comments, doc_id % 500 + 1 as hours_old, doc_id % 20000 as views, doc_id % 31 as forwards, doc_id % 11 as replies, doc_id % 41 as reactions, (doc_id % 21 - 10) / 10.0e0 as compound,

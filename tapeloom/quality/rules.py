@@ -68,7 +68,8 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     """A row a rule: table_name, rule_name, severity, violations, passed.
 
     All counts come from one scan; keys are counted by a group-by each, so no key set is held in one task. A rule
-    on columns that the table lacks fails with one violation.
+    on columns that the table lacks fails with one violation. Keys with a null are no one's repeats: that they are
+    null is for ``not_null`` to say.
     """
     spark = df.sparkSession
     have = set(df.columns)
@@ -86,7 +87,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
         row = df.agg(*[_violations(rules[i]).cast("long").alias(f"v{i}") for i in counted])
         known = known.unionByName(row.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("violations")) for i in counted]))))
     for i in keys:
-        known = known.unionByName(df.groupBy(*rules[i].columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations")).select(F.lit(i).alias("i"), "violations"))
+        known = known.unionByName(df.dropna(subset=list(rules[i].columns)).groupBy(*rules[i].columns).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations")).select(F.lit(i).alias("i"), "violations"))
     names = spark.createDataFrame([(i, r.name, r.severity) for i, r in enumerate(rules)], "i int, rule_name string, severity string")
     return known.join(F.broadcast(names), "i").select(F.lit(table).alias("table_name"), "rule_name", "severity", "violations", (F.col("violations") == 0).alias("passed"))
 
@@ -161,6 +162,46 @@ def health(checks: Sequence[Check], spark) -> DataFrame:
     return out
 
 
+#: Columns that may say how a table is, in order; what counts as well; columns that may hold its last time.
+STATUS_COLUMNS = ("freshness_status", "status", "quality_status")
+GOOD_STATUS = ("fresh", "ok", "healthy", "pass", "passed", "success", "good")
+LATEST_COLUMNS = ("latest_data_update", "latest_data_ts", "latest_source_ts", "latest_update_ts", "latest_loaded_at", "max_event_ts", "hour_ts", "updated_at")
+
+
+def found_status(df: DataFrame) -> DataFrame:
+    """Q10: bad rows by the first column that says so, and its name: a count of them, a flag, or a status text (null is bad)."""
+    have = set(df.columns)
+    if "bad_freshness_count" in have:
+        count = F.max(F.try_to_number(F.col("bad_freshness_count").cast("string"), F.lit("999999999"))).cast("long")
+        return df.agg(F.coalesce(count, F.lit(0)).alias("bad_rows"), F.when(count.isNull(), "bad_freshness_count_null").otherwise("bad_freshness_count").alias("status_source"))
+    if "is_fresh" in have:
+        return df.agg(F.count_if(~F.coalesce(F.col("is_fresh").cast("boolean"), F.lit(False))).alias("bad_rows"), F.lit("is_fresh").alias("status_source"))
+    name = next((c for c in STATUS_COLUMNS if c in have), None)
+    if name is None:
+        return df.sparkSession.createDataFrame([(0, "no_explicit_status_column")], "bad_rows long, status_source string")
+    good = F.coalesce(F.lower(F.trim(F.col(name).cast("string"))), F.lit("")).isin(*GOOD_STATUS)
+    return df.agg(F.count_if(~good).alias("bad_rows"), F.lit(name).alias("status_source"))
+
+
+def found_latest(df: DataFrame) -> DataFrame:
+    """Q10: the last time in the first column of LATEST_COLUMNS that has one, and its name; nulls where none has."""
+    names = [c for c in LATEST_COLUMNS if c in df.columns]
+    if not names:
+        return df.sparkSession.createDataFrame([(None, None)], "latest_ts timestamp, latest_source string")
+    row = df.agg(*[F.max(F.col(c).try_cast("timestamp")).alias(c) for c in names])
+    return row.select(F.coalesce(*names).alias("latest_ts"), F.coalesce(*[F.when(F.col(c).isNotNull(), c) for c in names]).alias("latest_source"))
+
+
+def recent_runs(results: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """A row a run of health checks of the last days: counts by outcome and FAILED, WARNING or HEALTHY. Checks without a run are left out."""
+    bad = ~F.coalesce(F.col("success"), F.lit(True))
+    of = lambda severity: F.count_if(bad & (F.col("severity") == severity))
+    runs = results.where((F.col("check_ts") >= as_of - F.make_dt_interval(F.lit(days))) & F.col("run_id").isNotNull()).groupBy("run_id").agg(
+        F.max("check_ts").alias("latest_check_ts"), F.count(F.lit(1)).alias("total_checks"), F.count_if(F.col("success")).alias("passed_checks"), F.count_if(bad).alias("failed_checks"), of("critical").alias("failed_critical_checks"), of("warning").alias("failed_warning_checks")
+    )
+    return runs.withColumn("pipeline_health_status", label_by([(F.col("failed_critical_checks") > 0, "FAILED"), (F.col("failed_warning_checks") > 0, "WARNING")], "HEALTHY"))
+
+
 def missing_profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows and nulls of each column by key, and their share of all cells."""
     counts = [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in columns]
