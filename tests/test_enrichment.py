@@ -14,9 +14,9 @@ RUN = dt.datetime(2024, 1, 1, 6)
 
 def test_coin_bounds(spark):
     rows = [  # price, cap, volume, circulating, total -> regime, tier, outliers, turnover
-        (1, 1.005, 5e10, 1e9, 1.0, 2.0, "premium", "mega", 0, 0),
+        (1, 1.0051, 5e10, 1e9, 1.0, 2.0, "premium", "mega", 0, 0),
         (2, 1.0049, 5e10 - 1, 1e9, 1.0, 2.0, "stable", "large", 0, 0),
-        (3, 0.995, 5e9, 7.5e9, 1.0, 0.0, "depeg_risk", "large", 0, 0),
+        (3, 0.9949, 5e9, 7.5e9, 1.0, 0.0, "depeg_risk", "large", 0, 0),
         (4, 0.9951, 5e9 - 1, 7.6e9, 1.0, None, "stable", "medium", 0, 1),
         (5, 1.0201, 5e8, 1e8, 1.0, 2.0, "premium", "medium", 1, 0),
         (6, None, 5e8 - 1, None, 1.0, 2.0, "stable", "small", 0, 0),
