@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tapeloom.functions.columns import safe_div
+from tapeloom.operators import chunked
 
 
 def ohlcv(df: DataFrame, keys: Sequence[str | Column], ts: str, price: str, qty: str, tie: str) -> DataFrame:
@@ -135,10 +136,9 @@ def walk_forward(df: DataFrame, ts: str, folds: int, warm_up: float = 0.5, windo
     """Rows of each fold with their role. Folds cut the distinct times after the warm-up into equal runs; a fold
     trains on all times before its run, or on the last ``window`` of them, and tests on the run.
 
-    Distinct times are few beside rows; only they are ranked, and the bounds are broadcast: a row a fold.
+    Distinct times are ranked by range partitions, so they may be as many as rows; the bounds are broadcast: a row a fold.
     """
-    times = df.select(ts).distinct()
-    ranked = times.withColumn("_n", F.row_number().over(Window.orderBy(ts)) - 1)
+    ranked = chunked.ranked(df.select(ts).where(F.col(ts).isNotNull()).distinct(), [], [ts], "_n")
     total = ranked.agg(F.count(F.lit(1)).alias("_total"))
     start = F.floor(F.col("_total") * warm_up)
     size = (F.col("_total") - start) / folds

@@ -1,6 +1,6 @@
 """Named plans and their registry."""
 
-from tapeloom.plans import checks, dashboard, enriched, features, legs, live, market, marts, renewed, research, staged, strategies, streams, text, wide
+from tapeloom.plans import checks, dashboard, enriched, features, legs, live, market, marts, registered, renewed, research, staged, strategies, streams, text, wide
 from tapeloom.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "checks", "dashboard", "enriched", "features", "legs", "live", "market", "marts", "renewed", "research", "staged", "strategies", "streams", "text", "wide"]
+__all__ = ["QUERIES", "SQL", "checks", "dashboard", "enriched", "features", "legs", "live", "market", "marts", "registered", "renewed", "research", "staged", "strategies", "streams", "text", "wide"]

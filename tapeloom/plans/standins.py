@@ -71,6 +71,13 @@ VIEWS = {
           case when event_id % 2 = 1 then value else 0e0 end as short_sum, (event_id % 101) / 100.0e0 as panic_norm, (user_id % 41 - 20) / 20.0e0 as magnet_norm, (event_id % 97) / 96.0e0 as rank_score, (event_id % 61 - 30) / 3.0e0 as distance_pct from {events}) l""",
     "v_checks": """select event_id as check_id, ts as check_ts, case when event_id % 211 = 0 then null else concat('run_', cast(date_trunc('day', ts) as varchar(10))) end as run_id, case when user_id % 3 = 0 then 'critical' else 'warning' end as severity,
         case when user_id % 3 = 0 then event_id % 97 <> 0 else event_id % 41 <> 0 end as success from {events}""",
+    "v_model_runs": """select concat('m', cast(user_id % 3 as varchar(4))) as model_name, case when event_id % 101 = 0 then null else concat('v', cast(user_id % 2 as varchar(4))) end as model_version, case event_id % 3 when 0 then 'direction_4h' when 1 then 'direction_1h' else null end as target_name,
+        case event_id % 4 when 0 then 'TRAIN' when 1 then 'validation' when 2 then 'test' else 'holdout' end as split_name, cast(ts - interval '2' hour as timestamp) as trained_at, ts as evaluated_at, concat('r', cast(event_id as varchar(20))) as run_id, event_id % 7 as row_count, (event_id % 100) / 100.0e0 as accuracy,
+        (event_id % 71) / 100.0e0 as f1_macro, case when event_id % 5 = 0 then null else (event_id % 80) / 100.0e0 end as auc_ovr from {events}""",
+    "v_models": """select distinct concat('m', cast(user_id % 3 as varchar(4))) as model_name, 'v1' as model_version, 'trees' as model_family, 'boosted' as algorithm, 'classification' as problem_type, 'direction_4h' as primary_target, user_id % 3 = 1 as is_active from {events} where user_id % 3 < 2""",
+    "v_candidates": """select event_id as obs_id, c.candidate, case when event_id % 10 < 7 then 'validation' else 'test' end as split_name, date_format_month as month, event_type as symbol, actual, case when (event_id * c.k) % 10 < c.right_of_ten then actual else other end as predicted from (
+        select event_id, event_type, cast(user_id % 3 as varchar(4)) as date_format_month, case event_id % 3 when 0 then 'DOWN' when 1 then 'FLAT' else 'UP' end as actual, case event_id % 2 when 0 then 'FLAT' else 'DOWN' end as other from {events}) e
+        cross join (select 'base' as candidate, 7 as k, 6 as right_of_ten union all select 'better', 7, 8 union all select 'worse', 3, 5 union all select 'same', 7, 6) c""",
     "v_ticks": """select cast(cast(o_orderdate as date) + interval '9290' day as date) as price_date, case o_orderpriority when '1-URGENT' then 'SP500' when '2-HIGH' then 'VIX' when '3-MEDIUM' then 'NASDAQ' when '5-LOW' then 'GOLD' else 'OIL' end as symbol,
         avg(o_totalprice) as close_price, cast(count(*) as double) as volume from {orders} group by cast(cast(o_orderdate as date) + interval '9290' day as date), o_orderpriority""",
     "v_messages": """select doc_id as post_id, source as channel, lang, doc_id % 97 as score, doc_id % 13 as comments, doc_id % 500 + 1 as hours_old, doc_id % 20000 as views, doc_id % 31 as forwards, doc_id % 11 as replies, doc_id % 41 as reactions, (doc_id % 21 - 10) / 10.0e0 as compound,
