@@ -17,8 +17,8 @@ from tapeloom.streaming.pipelines import Sink, start_all
 FEEDS = {"trades": ("v_s_trades", "trade_ts"), "book": ("v_s_book", "ob_ts"), "liqs": ("v_s_liq", "liq_ts"), "sent": ("v_s_sent", "sent_ts"), "chain": ("v_s_chain", "chain_ts")}
 DELAY = "10 minutes"
 #: A window has closed for sure when its end lies so far behind the last row of the feed that ends first: twice the
-#: longest look-back, a window, the delay, and what a baseline still holds back.
-CLOSED = "interval 8 days"
+#: longest look-back, a window, the delay, and what a baseline still holds back; sparse feeds hold windows back for longer.
+CLOSED = "interval 14 days"
 _LAST_SQL = f"(select min(ts) from (select max(ts) as ts from events group by event_type, event_id % 2) e) - {CLOSED}"
 
 
