@@ -14,6 +14,11 @@ def safe_div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def ieee_div(a: Column, b: Column) -> Column:
+    """a / b of doubles as DuckDB divides: infinite where b is 0, NaN where both are."""
+    return F.when(b == 0, a * F.lit(float("inf"))).otherwise(F.try_divide(a, b))
+
+
 def clamp(x: Column, low: float, high: float) -> Column:
     """x within [low, high]; null stays null (greatest and least skip nulls)."""
     return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.columns import ieee_div
 from tapeloom.operators.chunked import over_time
 from tapeloom.operators.joins import interval_join
 
@@ -109,7 +110,7 @@ def pump_windows(trades: DataFrame, p: dict) -> DataFrame:
     base = with_baseline(trades, "trade_ts", p["baseline_seconds"])
     first, last = _first_last("price", "trade_ts", "trade_id")
     out = tumble(base, "trade_ts", p["pump_window_seconds"]).groupBy(*KEY).agg(first.alias("open_price"), last.alias("close_price"), F.sum("_usd").alias("vol_usd"), F.max("_avg").alias("avg_trade"))
-    return out.withColumn("move_pct", (F.col("close_price") - F.col("open_price")) / F.col("open_price") * 100)
+    return out.withColumn("move_pct", ieee_div(F.col("close_price") - F.col("open_price"), F.col("open_price")) * 100)
 
 
 def bull_trap(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
@@ -170,8 +171,8 @@ def spoofing(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
 def mean_reversion(trades, book, p=DEFAULTS) -> DataFrame:
     """In a quiet market the price leaves its VWAP and meets a wall."""
     base = with_baseline(trades, "trade_ts", p["scalp_baseline_seconds"])
-    w = tumble(base, "trade_ts", p["scalp_window_seconds"]).groupBy(*KEY).agg(F.max_by("price", F.struct("trade_ts", "trade_id")).alias("px"), F.sum("_usd").alias("vol"), F.max("_avg").alias("avg"), (F.sum("_usd") / F.sum("quantity")).alias("vwap"))
-    dev = (F.col("px") - F.col("vwap")) / F.col("vwap") * 100
+    w = tumble(base, "trade_ts", p["scalp_window_seconds"]).groupBy(*KEY).agg(F.max_by("price", F.struct("trade_ts", "trade_id")).alias("px"), F.sum("_usd").alias("vol"), F.max("_avg").alias("avg"), ieee_div(F.sum("_usd"), F.sum("quantity")).alias("vwap"))
+    dev = ieee_div(F.col("px") - F.col("vwap"), F.col("vwap")) * 100
     w = w.withColumn("dev", dev).where((F.abs("dev") >= p["vwap_deviation_pct"]) & (F.col("vol") < F.col("avg") * p["max_chop_vol"]))
     m = p["reversion_wall_multiplier"]
     wall = Either(F.col("dev") > 0, F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * m, F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * m)
@@ -184,7 +185,7 @@ def order_flow_windows(book: DataFrame, p: dict) -> DataFrame:
     order = F.struct("ob_ts", "book_id")
     ends = {f"{n}_{c}": f(v, order) for c, v in (("px", "best_bid_price"), ("bid", "bid_vol_1pct_usd"), ("ask", "ask_vol_1pct_usd")) for n, f in (("open", F.min_by), ("close", F.max_by))}
     w = book.groupBy(F.window("ob_ts", f"{p['ofi_window_seconds']} seconds").alias("_w"), "symbol").agg(*[c.alias(n) for n, c in ends.items()])
-    w = w.select("symbol", F.col("_w.end").alias("event_time"), (F.col("close_bid") - F.col("open_bid")).alias("bid_delta"), (F.col("close_ask") - F.col("open_ask")).alias("ask_delta"), ((F.col("close_px") - F.col("open_px")) / F.col("open_px") * 100).alias("move_pct"))
+    w = w.select("symbol", F.col("_w.end").alias("event_time"), (F.col("close_bid") - F.col("open_bid")).alias("bid_delta"), (F.col("close_ask") - F.col("open_ask")).alias("ask_delta"), (ieee_div(F.col("close_px") - F.col("open_px"), F.col("open_px")) * 100).alias("move_pct"))
     most, flat = p["ofi_delta_usd_threshold"], p.get("ofi_flat_pct", 0.1)
     down = (F.col("bid_delta") <= -most) & (F.col("ask_delta") >= most)
     up = (F.col("bid_delta") >= most) & (F.col("ask_delta") <= -most)
@@ -201,7 +202,7 @@ def order_flow(book, sent, chain, p=DEFAULTS) -> DataFrame:
 def lead_lag(trades, sent, chain, leader: str, lagger: str, p=DEFAULTS) -> DataFrame:
     """The leader moves in a window, the lagger hasn't yet."""
     first, last = _first_last("price", "trade_ts", "trade_id")
-    w = tumble(trades.where(F.col("symbol").isin(leader, lagger)), "trade_ts", p["lead_lag_window_seconds"]).groupBy(*KEY).agg(first.alias("o"), last.alias("c")).withColumn("chg", (F.col("c") - F.col("o")) / F.col("o") * 100)
+    w = tumble(trades.where(F.col("symbol").isin(leader, lagger)), "trade_ts", p["lead_lag_window_seconds"]).groupBy(*KEY).agg(first.alias("o"), last.alias("c")).withColumn("chg", ieee_div(F.col("c") - F.col("o"), F.col("o")) * 100)
     led = w.where(F.col("symbol") == leader).select("event_time", F.col("chg").alias("lead_chg"))
     j = w.where(F.col("symbol") == lagger).join(led, "event_time")
     move, late = p["leader_move_pct"], p["lagger_delay_pct"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.columns import ieee_div
 from tapeloom.streaming.alerts import DEFAULTS
 from tapeloom.streaming.state import rolling
 
@@ -86,7 +87,7 @@ def alerts(w: DataFrame, kind: str, sent: DataFrame | None, chain: DataFrame | N
 def _pumps(base: DataFrame, p: dict) -> DataFrame:
     order = F.struct("ts", "tie")
     w = windows(base, "ts", p["pump_window_seconds"], {"open_price": F.min_by("price", order), "close_price": F.max_by("price", order), "vol_usd": F.sum("value"), "avg_trade": F.max("mean")})
-    return w.where((F.col("close_price") - F.col("open_price")) / F.col("open_price") * 100 > p["pump_price_pct"])
+    return w.where(ieee_div(F.col("close_price") - F.col("open_price"), F.col("open_price")) * 100 > p["pump_price_pct"])
 
 
 def _sums(base: DataFrame, seconds: int, total: str, mean: str) -> DataFrame:
@@ -145,8 +146,8 @@ def spoofing(trades, book, sent, chain, p=DEFAULTS) -> DataFrame:
 
 def mean_reversion(base, book, p=DEFAULTS) -> DataFrame:
     """base: ``trade_baseline`` over ``scalp_baseline_seconds``."""
-    w = windows(base, "ts", p["scalp_window_seconds"], {"px": F.max_by("price", F.struct("ts", "tie")), "vol": F.sum("value"), "avg": F.max("mean"), "vwap": F.sum("value") / F.sum("quantity")})
-    dev = (F.col("px") - F.col("vwap")) / F.col("vwap") * 100
+    w = windows(base, "ts", p["scalp_window_seconds"], {"px": F.max_by("price", F.struct("ts", "tie")), "vol": F.sum("value"), "avg": F.max("mean"), "vwap": ieee_div(F.sum("value"), F.sum("quantity"))})
+    dev = ieee_div(F.col("px") - F.col("vwap"), F.col("vwap")) * 100
     w = w.where((F.abs(dev) >= p["vwap_deviation_pct"]) & (F.col("vol") < F.col("avg") * p["max_chop_vol"])).select("event_time", "symbol", F.when(dev > 0, "SHORT").otherwise("LONG").alias("side"))
     m, short = p["reversion_wall_multiplier"], F.col("side") == "SHORT"
     asks, bids = F.col("ask_vol_1pct_usd"), F.col("bid_vol_1pct_usd")
@@ -160,7 +161,7 @@ def order_flow(book, sent, chain, p=DEFAULTS) -> DataFrame:
     moved = lambda c: F.col(f"close_{c}") - F.col(f"open_{c}")
     most = p["ofi_delta_usd_threshold"]
     side = F.when((moved("bid") <= -most) & (moved("ask") >= most), "SELL").when((moved("bid") >= most) & (moved("ask") <= -most), "BUY")
-    w = w.where(F.abs(moved("px") / F.col("open_px") * 100) < p.get("ofi_flat_pct", 0.1)).select("event_time", "symbol", side.alias("side")).where("side is not null")
+    w = w.where(F.abs(ieee_div(moved("px"), F.col("open_px")) * 100) < p.get("ofi_flat_pct", 0.1)).select("event_time", "symbol", side.alias("side")).where("side is not null")
     _, flow = _leaning(F.col("side") == "SELL", F.lit(True), F.lit(True))
     return alerts(w, "ORDER_FLOW_IMBALANCE", sent, chain, F.col("oi_delta_pct") > 1.0, flow, p)
 
@@ -171,7 +172,7 @@ def lead_lag(trades, sent, chain, leader: str, lagger: str, p=DEFAULTS) -> DataF
 
     def moves(symbol: str) -> DataFrame:
         w = windows(trades.where(F.col("symbol") == symbol), "trade_ts", p["lead_lag_window_seconds"], {"o": F.min_by("price", order), "c": F.max_by("price", order)})
-        return w.select("event_time", "symbol", ((F.col("c") - F.col("o")) / F.col("o") * 100).alias("chg"))
+        return w.select("event_time", "symbol", (ieee_div(F.col("c") - F.col("o"), F.col("o")) * 100).alias("chg"))
 
     led = moves(leader).select(F.col("event_time").alias("_t"), F.col("chg").alias("lead_chg"))
     j = moves(lagger).join(led, F.col("event_time") == F.col("_t"))
