@@ -5,6 +5,8 @@ Formulas are SQL text that both engines read. Weights, thresholds and labels are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,18 +177,27 @@ _from_core("m27_signal_board", _KEYS, SIGNAL, SIGNAL_MORE)
 # --- M28: all seven rules ---------------------------------------------------------------------------------------------
 
 _NAME = lambda x: f"coalesce({x}, 'UNKNOWN')"
-#: A number to so many digits, without trailing zeros.
-_FIGURE = lambda x, digits: f"regexp_replace(cast(cast({_Z(x)} as decimal(30, {digits})) as varchar(40)), '[.]?0+$', '')"
-#: Type, category, severity, message, score, action
-ALERTS = (
-    ("SYSTEM_RISK", "risk", _BAND("overall_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Overall risk score is ', {_FIGURE('overall_risk_score', 2)})", "overall_risk_score", "Reduce exposure and review all risk panels."),
-    ("DERIVATIVES_CROWDING", "derivatives", _BAND("derivatives_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Derivatives risk score is ', {_FIGURE('derivatives_risk_score', 2)})", "derivatives_risk_score", "Check funding, leverage stress, options positioning and liquidation clusters."),
-    ("LIQUIDATION_SQUEEZE", "liquidation", "case when top_squeeze_signal in ('SHORT_SQUEEZE_SETUP', 'LONG_SQUEEZE_SETUP') then 'HIGH' else '' end", f"concat('Top squeeze signal: ', {_NAME('top_squeeze_signal')}, ', top bucket rank score: ', {_FIGURE('max_rank_score', 4)})", f"{_Z('max_rank_score')} * 100", "Inspect liquidation heatmap around spot price."),
-    ("STABLECOIN_DEPEG", "liquidity", _BAND("max_abs_peg_deviation_pct", (">= 2", "CRITICAL"), (">= 0.5", "HIGH"), otherwise=""), f"concat('Worst peg symbol: ', {_NAME('worst_peg_symbol')}, ', deviation: ', {_FIGURE('max_abs_peg_deviation_pct', 4)}, '%')", f"{_Z('max_abs_peg_deviation_pct')} * 10", "Review stablecoin peg and liquidity risk panels."),
-    ("EXCHANGE_BANK_RUN", "exchange", _BAND("high_bank_run_risk_exchange_count", (">= 2", "CRITICAL"), (">= 1", "HIGH"), otherwise=""), f"concat('High bank-run risk exchange count: ', cast({_Z('high_bank_run_risk_exchange_count')} as varchar(20)))", f"{_Z('high_bank_run_risk_exchange_count')} * 50", "Check exchange reserve utilization and top risky exchange."),
-    ("SOCIAL_PANIC", "social", _BAND("social_sentiment_score", ("<= -35", "HIGH"), otherwise=""), f"concat('Social sentiment score is ', {_FIGURE('social_sentiment_score', 2)})", f"abs({_Z('social_sentiment_score')})", "Review social sentiment, security mentions and panic narratives."),
-    ("MACRO_RISK_OFF", "macro", _BAND("macro_risk_score", (">= 75", "HIGH"), otherwise=""), f"concat('Macro risk regime: ', {_NAME('macro_risk_regime')}, ', macro risk score: ', {_FIGURE('macro_risk_score', 2)})", "macro_risk_score", "Check macro and ETF dashboard before taking directional risk."),
-)
+#: A number to so many digits, without trailing zeros. DuckDB's cast rounds the double times a power of ten, Spark's the
+#: number as it is written; where it lies half-way between two figures these differ, so Spark gets DuckDB's way.
+_TRIMMED = lambda x: f"regexp_replace(cast({x} as varchar(40)), '[.]?0+$', '')"
+_FIGURE = lambda x, digits: _TRIMMED(f"cast({_Z(x)} as decimal(30, {digits}))")
+_SPARK_FIGURE = lambda x, digits: _TRIMMED(f"cast(cast(round({_Z(x)} * 1e{digits}) as decimal(26, 0)) * 1e-{digits}BD as decimal(30, {digits}))")
+
+
+def _alert_rules(figure: Callable[[str, int], str]) -> tuple[tuple[str, ...], ...]:
+    """Type, category, severity, message, score, action"""
+    return (
+        ("SYSTEM_RISK", "risk", _BAND("overall_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Overall risk score is ', {figure('overall_risk_score', 2)})", "overall_risk_score", "Reduce exposure and review all risk panels."),
+        ("DERIVATIVES_CROWDING", "derivatives", _BAND("derivatives_risk_score", (">= 80", "CRITICAL"), (">= 65", "HIGH"), otherwise=""), f"concat('Derivatives risk score is ', {figure('derivatives_risk_score', 2)})", "derivatives_risk_score", "Check funding, leverage stress, options positioning and liquidation clusters."),
+        ("LIQUIDATION_SQUEEZE", "liquidation", "case when top_squeeze_signal in ('SHORT_SQUEEZE_SETUP', 'LONG_SQUEEZE_SETUP') then 'HIGH' else '' end", f"concat('Top squeeze signal: ', {_NAME('top_squeeze_signal')}, ', top bucket rank score: ', {figure('max_rank_score', 4)})", f"{_Z('max_rank_score')} * 100", "Inspect liquidation heatmap around spot price."),
+        ("STABLECOIN_DEPEG", "liquidity", _BAND("max_abs_peg_deviation_pct", (">= 2", "CRITICAL"), (">= 0.5", "HIGH"), otherwise=""), f"concat('Worst peg symbol: ', {_NAME('worst_peg_symbol')}, ', deviation: ', {figure('max_abs_peg_deviation_pct', 4)}, '%')", f"{_Z('max_abs_peg_deviation_pct')} * 10", "Review stablecoin peg and liquidity risk panels."),
+        ("EXCHANGE_BANK_RUN", "exchange", _BAND("high_bank_run_risk_exchange_count", (">= 2", "CRITICAL"), (">= 1", "HIGH"), otherwise=""), f"concat('High bank-run risk exchange count: ', cast({_Z('high_bank_run_risk_exchange_count')} as varchar(20)))", f"{_Z('high_bank_run_risk_exchange_count')} * 50", "Check exchange reserve utilization and top risky exchange."),
+        ("SOCIAL_PANIC", "social", _BAND("social_sentiment_score", ("<= -35", "HIGH"), otherwise=""), f"concat('Social sentiment score is ', {figure('social_sentiment_score', 2)})", f"abs({_Z('social_sentiment_score')})", "Review social sentiment, security mentions and panic narratives."),
+        ("MACRO_RISK_OFF", "macro", _BAND("macro_risk_score", (">= 75", "HIGH"), otherwise=""), f"concat('Macro risk regime: ', {_NAME('macro_risk_regime')}, ', macro risk score: ', {figure('macro_risk_score', 2)})", "macro_risk_score", "Check macro and ETF dashboard before taking directional risk."),
+    )
+
+
+ALERTS = _alert_rules(_FIGURE)
 _ALERT_KEYS = ["hour_ts", "symbol", "feature_date", "crypto_feature_sk", "feature_available_at", "feature_latency_minutes"]
 _ALERT_SQL = " union all ".join(f"select {', '.join(_ALERT_KEYS)}, '{t}' as alert_type, '{c}' as alert_category, nullif({s}, '') as alert_severity, {m} as alert_message, cast({x} as double) as alert_score, '{a}' as recommended_action from c where is_dashboard_ready" for t, c, s, m, x, a in ALERTS)
 
@@ -198,7 +209,7 @@ _ALERT_SQL = " union all ".join(f"select {', '.join(_ALERT_KEYS)}, '{t}' as aler
 )
 def alert_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each of the seven rules that fires: one pass, no union."""
-    rules = [alerts.Rule(t, c, [(F.expr(s) == v, v) for v in ("CRITICAL", "HIGH")], F.expr(m), F.expr(x), a) for t, c, s, m, x, a in ALERTS]
+    rules = [alerts.Rule(t, c, [(F.expr(s) == v, v) for v in ("CRITICAL", "HIGH")], F.expr(m), F.expr(x), a) for t, c, s, m, x, a in _alert_rules(_SPARK_FIGURE)]
     fired = alerts.rule_alerts(fact(spark, sf_dir).where("is_dashboard_ready"), _ALERT_KEYS, rules)
     return fired.withColumns(
         {"dashboard_alert_sk": C.surrogate_key(F.date_format("hour_ts", "yyyy-MM-dd HH:mm:ss"), F.col("symbol"), F.col("alert_type")), "is_active_alert": F.lit(True), "alert_severity_sort_order": F.expr("case alert_severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM' then 3 else 4 end")}

@@ -58,3 +58,15 @@ def test_age_counts_whole_seconds(spark):
     runs = spark.createDataFrame([("m", "1", "t", "test", at, at, "a", 10, 0.9, 0.6, 0.6)], "model_name string, model_version string, target_name string, split_name string, trained_at timestamp_ntz, evaluated_at timestamp_ntz, run_id string, row_count int, accuracy double, f1_macro double, auc_ovr double")
     models = spark.createDataFrame([("m", "1", "f", "a", "p", "t", True)], "model_name string, model_version string, model_family string, algorithm string, problem_type string, primary_target string, is_active boolean")
     assert [r["metric_age_hours"] for r in metric_rows(runs, models, F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).collect()] == [1]
+
+
+def test_figures_between_two_roundings(spark):
+    """Numbers whose hundredfold as a double lies elsewhere than their digits say."""
+    from tapeloom.plans.wide import _FIGURE, _SPARK_FIGURE
+
+    numbers = [66.475, 87.16499999999999, 66.225, 65.225, 27.474999999999998, 26.314999999999998, 73.445, 0.125, 1.005, -66.475, -0.125, 100.0, 0.0, 0.004]
+    spark.createDataFrame([(x,) for x in numbers], "x double").createOrReplaceTempView("figures")
+    for digits in (2, 4):
+        got = spark.sql(f"select x, {_SPARK_FIGURE('x', digits)} from figures").collect()
+        want = duckdb.connect().execute(f"select x, {_FIGURE('x', digits)} from (select unnest({numbers}::double[]) as x)").fetchall()
+        assert sorted(map(tuple, got)) == sorted(want)
