@@ -38,6 +38,25 @@ def over_time(df: DataFrame, keys: Sequence[str], ts: str, reach: int, columns:
     return dealt.withColumns(columns(w)).where("_own").drop("_at", "_chunk", "_own")
 
 
+def mean_over_time(df: DataFrame, keys: Sequence[str], ts: str, reach: int, value: str, into: str) -> DataFrame:
+    """Adds the mean of the values from ``reach`` seconds before each row up to it (equal times included), in time in
+    proportion to the rows however many a frame has: ``over_time`` adds each frame up anew.
+
+    Chunks are as long as the reach, so a frame is the chunk's own rows up to the row and the last ones of the chunk
+    before. Each row is also placed a reach later, in the next chunk; there a running sum from the end of the chunk
+    gives the second part, as one from its beginning gives the first. Nothing is subtracted, so no precision is lost.
+    """
+    length = reach * 1_000_000
+    at = _micros(ts)
+    place = lambda ahead: F.struct((F.floor(at / length) + ahead).alias("chunk"), (at + ahead * length).alias("at"), F.lit(ahead == 0).alias("own"))
+    dealt = df.withColumn("_p", F.explode(F.when(at.isNotNull(), F.array(place(0), place(1))).otherwise(F.array(place(0))))).withColumns({"_chunk": F.col("_p.chunk"), "_at": F.col("_p.at"), "_own": F.col("_p.own")})
+    up, down = (Window.partitionBy(*keys, "_chunk").orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.col("_at").asc(), F.col("_at").desc()))
+    mine, before = F.when(F.col("_own"), F.col(value)), F.when(~F.col("_own"), F.col(value))
+    summed = dealt.withColumns({"_sum": F.sum(mine).over(up), "_n": F.count(mine).over(up), "_sum_b": F.sum(before).over(down), "_n_b": F.count(before).over(down)}).where("_own")
+    mean = (F.coalesce("_sum", F.lit(0.0)) + F.coalesce("_sum_b", F.lit(0.0))) / F.nullif(F.col("_n") + F.col("_n_b"), F.lit(0))
+    return summed.withColumn(into, mean).drop("_p", "_chunk", "_at", "_own", "_sum", "_n", "_sum_b", "_n_b")
+
+
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], into: str = "rank") -> DataFrame:
     """Adds the 0-based place of each row among its key's, without one task a key (or, without keys, for all rows).
 

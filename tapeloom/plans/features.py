@@ -125,7 +125,7 @@ def quantile_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def range_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "v_trades").select("trade_id", "symbol", "trade_ts", (F.col("price") * F.col("quantity")).alias("usd"))
-    return chunked.over_time(rows, ["symbol"], "trade_ts", 6 * 3600, lambda w: {"baseline": F.avg("usd").over(w)}).select("trade_id", "symbol", "baseline")
+    return chunked.mean_over_time(rows, ["symbol"], "trade_ts", 6 * 3600, "usd", "baseline").select("trade_id", "symbol", "baseline")
 
 
 @query(

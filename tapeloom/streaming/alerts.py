@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import ieee_div
-from tapeloom.operators.chunked import over_time
+from tapeloom.operators.chunked import mean_over_time
 from tapeloom.operators.joins import interval_join
 
 KEY = ["symbol", "event_time"]
@@ -103,7 +103,7 @@ def _first_last(x: str, ts: str, tie: str) -> tuple[Column, Column]:
 def with_baseline(df: DataFrame, ts: str, seconds: int) -> DataFrame:
     """Adds the value in quote currency and its mean over the symbol's last seconds, in time chunks: a busy symbol is many tasks."""
     valued = df.withColumn("_usd", F.col("price") * F.col("quantity"))
-    return over_time(valued, ["symbol"], ts, seconds, lambda w: {"_avg": F.avg("_usd").over(w)})
+    return mean_over_time(valued, ["symbol"], ts, seconds, "_usd", "_avg")
 
 
 def pump_windows(trades: DataFrame, p: dict) -> DataFrame:
