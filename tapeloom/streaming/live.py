@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import ieee_div
-from tapeloom.streaming.alerts import DEFAULTS
+from tapeloom.streaming.alerts import DEFAULTS, KEY
 from tapeloom.streaming.state import rolling
 
 
@@ -51,19 +51,24 @@ def windows(df: DataFrame, ts: str, seconds: int, aggregates: dict[str, Column],
     return df.groupBy(w.alias("w"), "symbol").agg(*[c.alias(n) for n, c in aggregates.items()]).select(F.window_time("w").alias("event_time"), "symbol", *aggregates)
 
 
-def meets(w: DataFrame, other: DataFrame, ts: str, low: int, high: int, met: Column, flag: str | None = None) -> DataFrame:
+def meets(w: DataFrame, other: DataFrame, ts: str, low: int, high: int, met: Column, flag: str | None = None, ahead: int = 1) -> DataFrame:
     """Windows with a row of ``other`` from low to high seconds of their end that meets the condition.
 
     Without ``flag`` only such windows stay. With it all stay, and those that meet none come once the watermark has
-    passed the look-back. A window with several rows comes several times: ``once`` joins these.
+    passed the look-back. A window with several rows comes several times: ``once`` joins these, best before the next join.
+    ``ahead``: microseconds from event_time to the window's end.
+
+    Both sides are kept by symbol and bucket as long as the look-back: a row goes to its bucket and to the one before,
+    a window to that where its look-back begins, so it meets the rows of two look-backs and not all that are held.
     """
     names = {c: f"_o_{c}" for c in other.columns if c in w.columns}
+    start, end = (F.col("event_time") + F.expr(f"interval {x * 1_000_000 + ahead} microseconds") for x in (low, high))
+    bucket = lambda at: F.floor(F.unix_micros(at) / ((high - low) * 1_000_000))
     side = other.withColumnsRenamed(names).withColumnRenamed(ts, "_at")
-    start, end = (F.col("event_time") + F.expr(f"interval {x * 1_000_000 + 1} microseconds") for x in (low, high))
-    on = (F.col("symbol") == F.col("_o_symbol")) & (F.col("_at") >= start) & (F.col("_at") <= end) & met
-    if flag is None:
-        return w.join(side, on).select(*w.columns)
-    return w.join(side, on, "left_outer").select(*w.columns, F.col("_at").isNotNull().alias(flag))
+    side = side.withColumn("_o_bucket", F.explode(F.array(bucket(F.col("_at")), bucket(F.col("_at")) - 1)))
+    on = (F.col("symbol") == F.col("_o_symbol")) & (F.col("_bucket") == F.col("_o_bucket")) & (F.col("_at") >= start) & (F.col("_at") <= end) & met
+    j = w.withColumn("_bucket", bucket(start)).join(side, on, "inner" if flag is None else "left_outer")
+    return j.select(*w.columns) if flag is None else j.select(*w.columns, F.col("_at").isNotNull().alias(flag))
 
 
 def once(w: DataFrame, *flags: str) -> DataFrame:
@@ -96,13 +101,13 @@ def _sums(base: DataFrame, seconds: int, total: str, mean: str) -> DataFrame:
 
 def bull_trap(base, book, sent, chain, p=DEFAULTS) -> DataFrame:
     w = _pumps(base, p).where(F.col("vol_usd") < F.col("avg_trade") * p["max_pump_vol_multiplier"])
-    w = meets(w, book, "ob_ts", -p["book_seconds"], 0, F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * p["ask_bid_imbalance"])
+    w = once(meets(w.select(*KEY), book, "ob_ts", -p["book_seconds"], 0, F.col("ask_vol_1pct_usd") > F.col("bid_vol_1pct_usd") * p["ask_bid_imbalance"]))
     return alerts(w, "BULL_TRAP", sent, chain, (F.col("funding_rate_pct") > 0.05) & (F.col("oi_delta_pct") > 1.0), F.col("tx_type") == "INFLOW", p)
 
 
 def true_breakout(base, book, sent, chain, p=DEFAULTS) -> DataFrame:
     w = _pumps(base, p).where(F.col("vol_usd") > F.col("avg_trade") * p["min_vol_multiplier"])
-    w = meets(w, book, "ob_ts", -p["book_seconds"], 0, F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_ask_imbalance"])
+    w = once(meets(w.select(*KEY), book, "ob_ts", -p["book_seconds"], 0, F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_ask_imbalance"]))
     return alerts(w, "TRUE_BREAKOUT", sent, chain, (F.col("funding_rate_pct") < 0) & (F.col("oi_delta_pct") > 1.0), F.col("tx_type") == "OUTFLOW", p)
 
 
@@ -110,16 +115,15 @@ def bottom_catcher(base, liq_base, book, sent, chain, p=DEFAULTS, floor_usd: flo
     w = _sums(liq_base, p["window_seconds"], "liq_usd", "avg_liq").where(F.col("liq_usd") > F.greatest(F.col("avg_liq"), F.lit(floor_usd)) * p["liq_multiplier"])
     buys = _sums(base, p["window_seconds"], "buy_usd", "avg_trade").where(F.col("buy_usd") > F.col("avg_trade") * p["whale_multiplier"])
     # both sides carry the last microsecond of their windows, so their ends differ as these do
-    b = buys.select(F.col("symbol").alias("_b"), F.col("event_time").alias("_buy_time"))
-    later = (F.col("_buy_time") >= F.col("event_time")) & (F.col("_buy_time") <= F.col("event_time") + F.expr(f"interval {2 * p['window_seconds']} seconds"))
-    w = once(w.select("event_time", "symbol").join(b, (F.col("symbol") == F.col("_b")) & later).select("event_time", "symbol"))
+    w = once(meets(w.select(*KEY), buys.select("symbol", F.col("event_time").alias("_buy_time")), "_buy_time", 0, 2 * p["window_seconds"], F.lit(True), ahead=0))
     w = meets(w, book, "ob_ts", -p["book_seconds"], p["book_seconds"], F.col("bid_vol_1pct_usd") > F.col("ask_vol_1pct_usd") * p["bid_wall_multiplier"])
+    w = once(w)
     return alerts(w, "BOTTOM_CATCHER", sent, chain, F.col("funding_rate_pct") < 0, F.col("tx_type") == "OUTFLOW", p)
 
 
 def liquidation_cascade(liq_base, book, sent, chain, p=DEFAULTS) -> DataFrame:
     w = _sums(liq_base, p["cascade_window_seconds"], "liq_usd", "avg_liq").where(F.col("liq_usd") > F.greatest(F.col("avg_liq"), F.lit(p["min_base_liq_usd"])) * p["cascade_liq_multiplier"])
-    w = meets(w, book, "ob_ts", -p["book_seconds"], 0, F.col("liq_usd") > F.col("bid_vol_1pct_usd") * p["liquidity_ratio"])
+    w = once(meets(w, book, "ob_ts", -p["book_seconds"], 0, F.col("liq_usd") > F.col("bid_vol_1pct_usd") * p["liquidity_ratio"]).select(*KEY))
     return alerts(w, "LIQUIDATION_CASCADE", sent, chain, F.col("funding_rate_pct") > 0.05, F.col("tx_type") == "INFLOW", p)
 
 
