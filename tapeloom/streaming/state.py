@@ -1,14 +1,17 @@
-"""Keyed state that grows by event: each symbol's events taken in time order, an entry of the state store an event.
+"""Keyed state that grows by event: each symbol's events taken in time order, an entry of the state store a block of them.
 
 Rows wait in the store until the watermark has passed them, so what comes out doesn't depend on how they were cut into
-micro-batches or in which order they came. A value is written once and removed once; nothing is rewritten as a whole.
+micro-batches or in which order they came. Events that come together are one entry, as a call to the store costs far
+more than an event; only those of a block that the watermark's delay lets wait are written again.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,10 @@ def use_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+#: Events that are made Python values at a time.
+SLICE = 50_000
+
+
 class InOrder(StatefulProcessor):
     """Hands a key's events to ``step`` in the order of (time, tie) once the watermark is past them.
 
@@ -31,44 +38,58 @@ class InOrder(StatefulProcessor):
 
     def __init__(self, names: list[str], ttl_ms: int):
         self.names, self.ttl_ms = names, ttl_ms
+        self.row = np.dtype([("at", "<i8"), ("tie", "<i8"), ("nth", "<i8"), *[(f"v{i}", "<f8") for i in range(len(names))]])
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long, tie long, nth long", ", ".join(f"{c} double" for c in self.names))
+        self.waiting = handle.getMapState("waiting", "block long", "soonest long, events binary")
         self.clock = handle.getValueState("clock", "arrived long, last long, expiry long")
         self.open()
 
+    def _wait(self, events: np.ndarray) -> None:
+        self.waiting.updateValue((int(events["nth"][0]),), (int(events["at"].min()), events.tobytes()))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived, last, expiry = self.clock.get() if self.clock.exists() else (0, -1, -1)
         soonest = None
         for frame in rows:
-            for at, tie, *values in frame[["at", "tie", *self.names]].itertuples(index=False, name=None):
-                self.waiting.updateValue((int(at), int(tie), arrived), tuple(float(v) for v in values))
-                arrived += 1
-                soonest = at if soonest is None else min(at, soonest)
+            if not len(frame):
+                continue
+            events = np.empty(len(frame), self.row)
+            events["nth"] = np.arange(arrived, arrived + len(frame))
+            for field, name in zip(self.row.names, ["at", "tie", None, *self.names], strict=True):
+                if name:
+                    events[field] = frame[name].to_numpy()
+            self._wait(events)
+            arrived += len(frame)
+            first = int(events["at"].min())
+            soonest = first if soonest is None else min(first, soonest)
         if soonest is not None:
             self.clock.update((arrived, last, expiry))
-            self.handle.registerTimer(int(soonest) // 1000 + 1)
+            self.handle.registerTimer(soonest // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
         due, rest = [], None
-        for k, v in self.waiting.iterator():  # what the watermark's delay lets wait
-            if k[0] < mark:
-                due.append((k, v))
-            else:
-                rest = k[0] if rest is None else min(rest, k[0])
+        for (block,), (soonest, packed) in list(self.waiting.iterator()):
+            if soonest < mark:
+                events = np.frombuffer(packed, self.row)
+                late = events["at"] < mark
+                due.append(events[late])
+                self.waiting.removeKey((block,))
+                if late.all():
+                    continue
+                events = events[~late]  # what the watermark's delay lets wait
+                self._wait(events)
+                soonest = int(events["at"].min())
+            rest = soonest if rest is None else min(rest, soonest)
         arrived, last, expiry = self.clock.get() if self.clock.exists() else (0, -1, -1)
         if due:
-            due.sort()
-            runs = []  # cut where the key was silent for too long, whether or not a timer came in between
-            for k, v in due:
-                self.waiting.removeKey(k)
-                if not runs or k[0] - last > self.ttl_ms * 1000:
-                    runs.append((last >= 0 and k[0] - last > self.ttl_ms * 1000, []))
-                runs[-1][1].append((k, v))
-                last = k[0]
+            due = np.sort(np.concatenate(due), order=["at", "tie", "nth"])
+            # cut where the key was silent for too long, whether or not a timer came in between
+            silent = np.diff(due["at"], prepend=last if last >= 0 else due["at"][0]) > self.ttl_ms * 1000
+            last = int(due["at"][-1])
             if expiry > 0:
                 self.handle.deleteTimer(expiry)
             expiry = last // 1000 + self.ttl_ms
@@ -76,10 +97,15 @@ class InOrder(StatefulProcessor):
             self.handle.registerTimer(expiry)
             if rest is not None:
                 self.handle.registerTimer(rest // 1000 + 1)
-            for silent, events in runs:
-                if silent:
+            cuts = np.flatnonzero(silent)
+            # slices end where the time changes, as events of one time belong together
+            starts = np.flatnonzero(np.diff(due["at"], prepend=due["at"][0] - 1))
+            ends = starts[np.searchsorted(starts, np.arange(SLICE, len(due), SLICE)).clip(max=len(starts) - 1)]
+            edges = np.unique(np.concatenate([[0], cuts, ends, [len(due)]]))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if silent[a]:
                     self.forget()
-                yield self.step(key, events)
+                yield self.step(key, [(e[:3], e[3:]) for e in due[a:b].tolist()])
         elif rest is None and last >= 0 and expiredTimerInfo.getExpiryTimeInMs() >= expiry:
             self.forget()
             self.clock.clear()
@@ -89,14 +115,14 @@ class InOrder(StatefulProcessor):
 
 
 class Rolling(InOrder):
-    """Mean and population deviation over the last seconds or rows: a queue of values in the store, head and tail counted."""
+    """Mean and population deviation over the last seconds or rows: a queue of values in the store, in blocks; head and tail counted."""
 
     def __init__(self, names: list[str], ttl_ms: int, seconds: int | None, rows: int | None):
         super().__init__(names, ttl_ms)
         self.reach, self.rows = None if seconds is None else seconds * 1_000_000, rows
 
     def open(self) -> None:
-        self.queue = self.handle.getMapState("queue", "nth long", "at long, value double")
+        self.queue = self.handle.getMapState("queue", "first long", "size long, events binary")
         self.sums = self.handle.getValueState("sums", "head long, tail long, mean double, square double")
 
     def forget(self) -> None:
@@ -105,27 +131,35 @@ class Rolling(InOrder):
 
     def step(self, key, due) -> pd.DataFrame:
         head, tail, mean, square = self.sums.get() if self.sums.exists() else (0, 0, 0.0, 0.0)
-        out = []
+        entry = np.dtype([("at", "<i8"), ("value", "<f8")])
+        blocks = sorted((first, size, packed) for (first,), (size, packed) in self.queue.iterator())
+        held = deque(e for first, _, packed in blocks for e in np.frombuffer(packed, entry)[max(0, head - first) :].tolist())
+        added, out = tail, []
         # over seconds, events of one time see each other, as rows of a range frame do
         for _, peers in groupby(due, key=(lambda e: e[0][0]) if self.rows is None else (lambda e: e[0])):
             peers = list(peers)
             for (at, _, _), (value, *_) in peers:
-                self.queue.updateValue((tail,), (at, value))
+                held.append((at, value))
                 tail += 1
                 before, n = mean, tail - head
                 mean += (value - mean) / n
                 square += (value - before) * (value - mean)
-            while head < tail:
-                at, value = self.queue.getValue((head,))
+            while held:
+                at, value = held[0]
                 if (self.rows is None and at >= peers[-1][0][0] - self.reach) or (self.rows is not None and tail - head <= self.rows):
                     break
-                self.queue.removeKey((head,))
+                held.popleft()
                 head += 1
                 before, n = mean, tail - head
                 mean = mean + (mean - value) / n if n else 0.0
                 square = square - (value - before) * (value - mean) if n else 0.0
             dev = (max(0.0, square) / (tail - head)) ** 0.5
             out += [(key[0], k[0], k[1], *v, mean, dev) for k, v in peers]
+        for first, size, _ in blocks:
+            if first + size <= head:
+                self.queue.removeKey((first,))
+        if (kept := max(added, head)) < tail:
+            self.queue.updateValue((kept,), (tail - kept, np.array(list(islice(held, len(held) - (tail - kept), None)), entry).tobytes()))
         self.sums.update((head, tail, mean, square))
         return pd.DataFrame(out, columns=["symbol", "at", "tie", *self.names, "mean", "dev"])
 
