@@ -105,7 +105,7 @@ for _name in STREAMS:
 def oi_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M59 as a stream: the observation before is kept as state."""
     own, events, folder = stream_session(spark), f"{sf_dir}/events.parquet", shared_folder(spark, "oi_delta")
-    df = state.change(streamed(own, events, "sent").withColumn("open_interest", F.col("oi_delta_pct") + 10), "sent_ts", "sent_id", F.col("open_interest"))
+    df = state.change(streamed(own, events, "sent").withColumn("open_interest", F.col("oi_delta_pct") + 10), "sent_ts", "sent_id", F.col("open_interest"), ttl_minutes=None)
     run(df, folder, "changes")
     rows = spark.read.schema(df.schema).parquet(f"{folder}/changes").join(_until(spark, events), F.col("ts") <= F.col("until"))
     return rows.select(F.col("tie").alias("sent_id"), "symbol", F.col("change_pct").alias("oi_delta_pct"))

@@ -26,6 +26,8 @@ def use_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+#: A silence in milliseconds that no feed has: thirty thousand years.
+_NEVER = 10**15
 #: Events that are made Python values at a time.
 SLICE = 50_000
 
@@ -206,8 +208,11 @@ def rolling(df: DataFrame, ts: str, tie: str, value: Column, seconds: int | None
     return _run(df, Rolling(names, ttl, seconds, rows), ts, tie, value, carry or [], "mean double, dev double")
 
 
-def change(df: DataFrame, ts: str, tie: str, value: Column, carry: list[str] | None = None, ttl_minutes: int = 24 * 60) -> DataFrame:
-    """Per symbol, the value before each one and the change against it in per cent (null where there is none or it is 0)."""
+def change(df: DataFrame, ts: str, tie: str, value: Column, carry: list[str] | None = None, ttl_minutes: int | None = 24 * 60) -> DataFrame:
+    """Per symbol, the value before each one and the change against it in per cent (null where there is none or it is 0).
+
+    Without ``ttl_minutes`` a symbol's last value is kept however long it is silent: a row a symbol.
+    """
     names = ["value", *(carry or [])]
-    out = _run(df, Previous(names, ttl_minutes * 60_000), ts, tie, value, carry or [], "before double")
+    out = _run(df, Previous(names, _NEVER if ttl_minutes is None else ttl_minutes * 60_000), ts, tie, value, carry or [], "before double")
     return out.withColumn("change_pct", (F.col("value") - F.col("before")) / F.nullif("before", F.lit(0.0)) * 100)
