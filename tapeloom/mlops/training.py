@@ -195,17 +195,16 @@ def strategy_folds(
         if strategy.days is not None:
             before = before & (F.col(ts) >= F.lit(first) - F.make_dt_interval(F.lit(strategy.days)))
         train, test = table.where(before), table.where((F.col(ts) >= F.lit(first)) & (F.col(ts) <= F.lit(last)))
-        present = [r[0] for r in train.select("label_text").distinct().orderBy("label_text").collect()]  # the classes
-        counts = train.count(), test.count()
+        classes = {r[0]: r[1] for r in train.groupBy("label_text").count().collect()}
+        present, counts = sorted(classes), (sum(classes.values()), test.count())
         if len(present) < 2 or not counts[1]:
             return (strategy.name, fold, *counts, None, None, None)
         weighed = balanced_weights(train, sample_weight)
         model = fit_boosted(weighed, numeric, categorical, present) if strategy.kind == "boosted" else pipeline(numeric, categorical, strategy.kind).fit(weighed)
-        got = []
-        for part in (train, test):
-            scored = score(model, part, present).select(F.col("label_text").alias("actual"), "predicted")
-            got.append(metrics.classification(scored, [], labels).first())
-        return (strategy.name, fold, *counts, got[0]["macro_f1"], got[1]["macro_f1"], got[1]["balanced_accuracy"])
+        both = train.withColumn("_seen", F.lit(True)).unionAll(test.withColumn("_seen", F.lit(False)))
+        scored = score(model, both, present).select("_seen", F.col("label_text").alias("actual"), "predicted")
+        got = {r["_seen"]: r for r in metrics.classification(scored, ["_seen"], labels).collect()}  # two rows
+        return (strategy.name, fold, *counts, got[True]["macro_f1"], got[False]["macro_f1"], got[False]["balanced_accuracy"])
 
     jobs = [(s, b) for s in strategies for b in bounds]
     with ThreadPoolExecutor(max_workers=workers) as pool:
